@@ -1,9 +1,10 @@
 """Cron expressions as data.
 
-``with_fields`` turns expression text into typed field sets, ``with_next`` finds
-the first fire after an instant and ``fires_on`` lists the fires of one local
-day. All run on rows of distinct (expression, zone) pairs, with built-in
-functions only.
+``parse`` turns expression text into typed field sets, ``fires_on`` lists the
+fires of one local day and ``next_fire`` finds the first after an instant. Each
+is one SQL expression over built-in functions, evaluated on rows of distinct
+(expression, zone) pairs. Intermediate values are bound with ``let``: named
+columns would be copied into every filter the optimizer pushes below them.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -29,104 +30,89 @@ NEAR_DAYS = 40
 DAY = 86_400
 
 
-def _number(token: Column, low: int, names: tuple[str, ...]) -> Column:
-    plain = F.when(token.rlike(r"^\+?[0-9]+$"), F.ltrim(token, F.lit("+")).try_cast("int"))
+def let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def struct(**members: str) -> str:
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in members.items()) + ")"
+
+
+def _number(token: str, low: int, names: tuple[str, ...]) -> str:
+    plain = f"IF({token} RLIKE '^[+]?[0-9]+$', try_cast({token} AS INT), NULL)"
     if not names:
         return plain
-    lookup = F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, low + i)])
-    return F.coalesce(F.element_at(lookup, F.lower(token)), plain)
-
-
-def _element(token: Column, low: int, high: int, names: tuple[str, ...]) -> Column:
-    """One list element: struct(start, end, step, star), NULL members when malformed."""
-    by_slash = F.split(token, "/")
-    bounds = F.split(by_slash[0], "-")
-    star = bounds[0].isin("*", "?")
-    start = F.when(star, F.lit(low)).otherwise(_number(bounds[0], low, names))
-    last = (F.when(star, F.lit(high))
-            .when(F.size(bounds) == 1, start)
-            .when(F.size(bounds) == 2, _number(F.get(bounds, F.lit(1)), low, names)))
-    stepped = F.size(by_slash) == 2
-    step = (F.when(F.size(by_slash) == 1, F.lit(1))
-            .when(stepped, _number(F.get(by_slash, F.lit(1)), 0, ())))
-    end = F.when(stepped & (F.size(bounds) == 1), F.lit(high)).otherwise(last)
-    return F.struct(start.alias("start"), end.alias("end"), step.alias("step"),
-                    (star & (step <= 1)).alias("star"))
-
-
-def _valid(e: Column, low: int, high: int) -> Column:
-    return F.coalesce((e["step"] >= 1) & (e["start"] >= low) & (e["end"] <= high)
-                      & (e["start"] <= e["end"]), F.lit(False))
-
-
-def _reader(low: int, high: int, names: tuple[str, ...]):
-    return lambda token: _element(token, low, high, names)
-
-
-def _checker(low: int, high: int, wanted: bool):
-    return lambda e: _valid(e, low, high) == F.lit(wanted)
-
-
-def with_fields(df: DataFrame, expr: str = "cron_expr") -> DataFrame:
-    """Add ``cron``: struct of the field arrays, star flags, ``every_sec``, ``zone`` and ``error``."""
-    raw = F.col(expr)
-    prefixed = raw.rlike("^(CRON_)?TZ=")
-    df = df.withColumn("_zone", F.when(prefixed, F.regexp_extract(raw, "^(?:CRON_)?TZ=([^ ]*)", 1)))
-    body = F.when(prefixed, F.regexp_replace(raw, "^(CRON_)?TZ=[^ ]*", "")).otherwise(raw)
-    body = F.regexp_replace(body, r"^\s+|\s+$", "")
-    shorthand = F.create_map(*[F.lit(x) for pair in DESCRIPTORS.items() for x in pair])
-    df = df.withColumn("_body", F.coalesce(F.element_at(shorthand, body), body))
-    is_every = F.col("_body").startswith("@every ")
-    df = df.withColumn("_every", F.when(
-        is_every, durations.every_seconds(F.regexp_replace("_body", "^@every ", ""))))
-    df = df.withColumn("_parts", F.when(~F.col("_body").startswith("@"), F.split("_body", r"\s+")))
-    for i, (name, low, high, names) in enumerate(FIELDS):
-        tokens = F.filter(F.split(F.get("_parts", F.lit(i)), ","), lambda t: t != "")
-        df = df.withColumn(f"_{name}", F.transform(tokens, _reader(low, high, names)))
-    field_errors = [
-        F.when(F.exists(f"_{name}", _checker(low, high, wanted=False)),
-               F.concat(F.lit("bad "), F.lit(name), F.lit(" field: "), F.get("_parts", F.lit(i))))
-        for i, (name, low, high, _) in enumerate(FIELDS)]
-    df = df.withColumn("_error", F.coalesce(
-        F.when(F.col("_zone").isNotNull() & ~zones.is_known(F.col("_zone"))
-               & ~F.col("_zone").isin("", "Local"),
-               F.concat(F.lit("provided bad location "), F.col("_zone"))),
-        F.when(F.col("_body") == "", F.lit("empty spec string")),
-        F.when(is_every & F.col("_every").isNull(),
-               F.concat(F.lit("failed to parse duration "), F.col("_body"))),
-        F.when(F.col("_body").startswith("@") & ~is_every,
-               F.concat(F.lit("unrecognized descriptor: "), F.col("_body"))),
-        F.when(F.size("_parts") != 5, F.concat(
-            F.lit("expected exactly 5 fields, found "), F.size("_parts").cast("string"),
-            F.lit(": ["), F.array_join("_parts", " "), F.lit("]"))),
-        *field_errors))
-    members = []
-    for name, low, high, _ in FIELDS:
-        spans = F.filter(f"_{name}", _checker(low, high, wanted=True))
-        values = F.array_sort(F.array_distinct(F.flatten(F.transform(
-            spans, lambda e: F.sequence(e["start"], e["end"], e["step"])))))
-        members.append(F.when(F.col("_error").isNull(), values).alias(name))
-    members += [F.coalesce(F.exists("_dom", lambda e: e["star"]), F.lit(False)).alias("dom_star"),
-                F.coalesce(F.exists("_dow", lambda e: e["star"]), F.lit(False)).alias("dow_star"),
-                F.col("_every").alias("every_sec"), F.nullif(F.nullif(F.col("_zone"), F.lit("")), F.lit("Local")).alias("zone"),
-                F.col("_error").alias("error")]
-    scratch = ["_zone", "_body", "_every", "_parts", "_error"] + [f"_{f[0]}" for f in FIELDS]
-    return df.withColumn("cron", F.struct(*members)).drop(*scratch)
-
-
-def minutes_of_day(cron: Column) -> Column:
-    return F.flatten(F.transform(cron["hour"], lambda h: F.transform(
-        cron["minute"], lambda m: h * 60 + m)))
-
-
-def day_matches(day: Column, cron: Column) -> Column:
-    by_date = F.array_contains(cron["dom"], F.dayofmonth(day))
-    by_weekday = F.array_contains(cron["dow"], F.dayofweek(day) - 1)
-    either = F.when(cron["dom_star"] | cron["dow_star"], by_date & by_weekday).otherwise(by_date | by_weekday)
-    return F.array_contains(cron["month"], F.month(day)) & either
-
-
-def fires_on(day: Column, minutes: Column, zone: Column) -> Column:
+    position = f"find_in_set(lower({token}), '{','.join(names)}')"
+    return f"IF({position} > 0, {position} + {low - 1}, {plain})"
+
+
+def _elements(field: str, low: int, high: int, names: tuple[str, ...]) -> str:
+    """Array of struct(start, end, step, star, ok), one per element of a field's list.
+
+    An element is a value, a range or a star, with an optional step; a stepped
+    single value runs to the field's upper bound.
+    """
+    parts = struct(bounds="split(split(t, '/')[0], '-')", slashed="split(t, '/')")
+    numbers = struct(
+        star="p.bounds[0] IN ('*', '?')", n="size(p.bounds)", m="size(p.slashed)",
+        start=f"IF(p.bounds[0] IN ('*', '?'), {low}, {_number('p.bounds[0]', low, names)})",
+        last=_number("get(p.bounds, 1)", low, names), step=_number("get(p.slashed, 1)", 0, ()))
+    span = struct(
+        start="x.start", star="x.star",
+        end=f"CASE WHEN x.star OR (x.m = 2 AND x.n = 1) THEN {high} WHEN x.n = 1 THEN x.start WHEN x.n = 2 THEN x.last END",
+        step="CASE x.m WHEN 1 THEN 1 WHEN 2 THEN x.step END")
+    checked = struct(
+        start="e.start", end="e.end", step="e.step", star="e.star AND e.step <= 1",
+        ok=f"coalesce(e.step >= 1 AND e.start >= {low} AND e.end <= {high} AND e.start <= e.end, false)")
+    steps = f"filter(split({field}, ','), t -> t != '')"
+    for name, body in (("t", parts), ("p", numbers), ("x", span), ("e", checked)):
+        steps = f"transform({steps}, {name} -> {body})"
+    return steps
+
+
+def parse(text: str) -> str:
+    """Struct of the field arrays, dom_star, dow_star, every_sec, zone and error."""
+    split_zone = struct(
+        zone=f"IF({text} RLIKE '^(CRON_)?TZ=', regexp_extract({text}, '^(?:CRON_)?TZ=([^ ]*)', 1), NULL)",
+        body=f"regexp_replace(regexp_replace({text}, '^(CRON_)?TZ=[^ ]*', ''), '^[ \\\\t\\\\n\\\\r]+|[ \\\\t\\\\n\\\\r]+$', '')")
+    expanded = struct(zone="a.zone", body="CASE a.body " + " ".join(
+        f"WHEN '{k}' THEN '{v}'" for k, v in DESCRIPTORS.items()) + " ELSE a.body END")
+    cut = struct(zone="b.zone", body="b.body", named="b.body LIKE '@%'", stepped="b.body LIKE '@every %'",
+                 every=f"IF(b.body LIKE '@every %', {durations.every_seconds('substring(b.body, 8)')}, NULL)",
+                 parts="IF(b.body LIKE '@%', NULL, split(b.body, '[ \\\\t\\\\n\\\\r]+'))")
+    read = struct(zone="c.zone", body="c.body", named="c.named", stepped="c.stepped", every="c.every", parts="c.parts",
+                  **{name: _elements(f"get(c.parts, {i})", low, high, names)
+                     for i, (name, low, high, names) in enumerate(FIELDS)})
+    error = f"""CASE
+      WHEN d.zone IS NOT NULL AND d.zone NOT IN ('', 'Local') AND NOT {zones.is_known('d.zone')} THEN concat('provided bad location ', d.zone)
+      WHEN d.body = '' THEN 'empty spec string'
+      WHEN d.stepped AND d.every IS NULL THEN concat('failed to parse duration ', d.body)
+      WHEN d.named AND NOT d.stepped THEN concat('unrecognized descriptor: ', d.body)
+      WHEN size(d.parts) != 5 THEN concat('expected exactly 5 fields, found ', size(d.parts), ': [', array_join(d.parts, ' '), ']')
+      {' '.join(f"WHEN exists(d.{name}, e -> NOT e.ok) THEN concat('bad {name} field: ', get(d.parts, {i}))"
+                for i, (name, *_) in enumerate(FIELDS))} END"""
+    sets = {name: f"IF(f.error IS NULL, array_sort(array_distinct(flatten(transform(f.d.{name}, e -> sequence(e.start, e.end, e.step))))), NULL)"
+            for name, *_ in FIELDS}
+    result = struct(**sets, dom_star="coalesce(exists(f.d.dom, e -> e.star), false)",
+                    dow_star="coalesce(exists(f.d.dow, e -> e.star), false)", every_sec="f.d.every",
+                    zone="nullif(nullif(f.d.zone, ''), 'Local')", error="f.error")
+    return let("a", split_zone, let("b", expanded, let("c", cut, let("d", read, let(
+        "f", struct(d="d", error=error), result)))))
+
+
+def minutes_of_day(cron: str) -> str:
+    return f"flatten(transform({cron}.hour, h -> transform({cron}.minute, m -> h * 60 + m)))"
+
+
+def day_matches(day: str, cron: str) -> str:
+    by_date = f"array_contains({cron}.dom, dayofmonth({day}))"
+    by_weekday = f"array_contains({cron}.dow, dayofweek({day}) - 1)"
+    return (f"(array_contains({cron}.month, month({day})) AND IF({cron}.dom_star OR {cron}.dow_star, "
+            f"{by_date} AND {by_weekday}, {by_date} OR {by_weekday}))")
+
+
+def fires_on(day: str, minutes: str, zone: str) -> str:
     """Epoch seconds (an array) at which the local clock of ``zone`` shows ``day`` at ``minutes``.
 
     The UTC offsets in force around the day are sampled; with one offset every
@@ -134,53 +120,46 @@ def fires_on(day: Column, minutes: Column, zone: Column) -> Column:
     it back to the same local time, which drops skipped minutes and keeps both
     passes of repeated ones.
     """
-    start = F.unix_date(day).cast("bigint") * DAY
-    offsets = F.array_distinct(F.transform(
-        F.array(*[F.lit(x).cast("bigint") for x in (-DAY, 0, DAY, 2 * DAY)]),
-        lambda x: zones.offset_seconds(start + x, zone)))
-    instants = F.flatten(F.transform(offsets, lambda off: F.filter(
-        F.transform(minutes, lambda m: start + m * 60 - off),
-        lambda c: (F.size(offsets) == 1) | (zones.offset_seconds(c, zone) == off))))
-    return F.array_distinct(instants)
+    samples = f"transform(array({-DAY}L, 0L, {DAY}L, {2 * DAY}L), x -> {zones.offset_seconds('s0 + x', zone)})"
+    instants = (f"flatten(transform(s.offsets, off -> filter(transform({minutes}, m -> s.start + m * 60 - off), "
+                f"inst -> size(s.offsets) = 1 OR {zones.offset_seconds('inst', zone)} = off)))")
+    return let("s0", f"unix_date({day}) * {DAY}L", let(
+        "s", struct(start="s0", offsets=f"array_distinct({samples})"), instants))
+
+
+def next_fire(cron: str, expr: str, tz: str, after: str) -> str:
+    """Struct(at, error): the first fire strictly after the timestamp ``after``, or why there is none."""
+    # A safe zone in every row: an unknown name would fail the whole query.
+    known = zones.is_known(f"IF({tz} = '', 'UTC', {tz})")
+    place = struct(cron=cron, known=known, after=after)
+    local = struct(cron="a.cron", known="a.known", after="a.after",
+                   tz=f"IF(a.known, coalesce(a.cron.zone, IF({tz} = '', 'UTC', {tz})), 'UTC')",
+                   usable="a.known AND a.cron.error IS NULL AND a.cron.every_sec IS NULL")
+    start = struct(b="b", day="to_date(from_utc_timestamp(b.after, b.tz))",
+                   minutes=f"IF(b.usable, {minutes_of_day('b.cron')}, NULL)")
+
+    def first(days: str) -> str:
+        return (f"array_min(filter(flatten(transform({days}, d -> {fires_on('d', 'c.minutes', 'c.b.tz')})), "
+                f"c1 -> c1 * 1000000 > unix_micros(c.b.after)))")
+
+    def matching(last: str) -> str:
+        return f"filter(sequence(c.day, {last}), d -> {day_matches('d', 'c.b.cron')})"
+
+    near = first(f"slice({matching(f'date_add(c.day, {NEAR_DAYS})')}, 1, 3)")
+    far = first(matching(f"make_date(year(c.day) + {SEARCH_YEARS}, 12, 31)"))
+    by_step = "date_trunc('second', c.b.after) + make_dt_interval(0, 0, 0, CAST(c.b.cron.every_sec AS DECIMAL(18, 6)))"
+    found = struct(c="c", at=f"""CASE WHEN c.b.cron.every_sec IS NOT NULL THEN {by_step}
+      WHEN c.b.usable THEN timestamp_seconds(coalesce({near}, {far})) END""")
+    error = f"""CASE WHEN NOT g.c.b.known THEN concat('unknown timezone "', {tz}, '"')
+      WHEN g.c.b.cron.error IS NOT NULL THEN concat('invalid cron_expr: ', g.c.b.cron.error)
+      WHEN g.at IS NULL AND {expr} IS NOT NULL THEN concat('cron_expr "', {expr}, '" never fires') END"""
+    return let("a", place, let("b", local, let("c", start, let("g", found, let(
+        "h", struct(at="g.at", error=error), struct(at="IF(h.error IS NULL, h.at, NULL)", error="h.error"))))))
 
 
 def with_next(df: DataFrame, after: Column, expr: str = "cron_expr", tz: str = "timezone") -> DataFrame:
     """Add ``next_run_at`` (first fire strictly after ``after``) and ``next_error`` to each row."""
-    df = with_fields(df, expr).withColumn("_after", after)
-    named = F.when(F.col(tz) == "", F.lit("UTC")).otherwise(F.col(tz))
-    df = df.withColumn("_known", zones.is_known(named))
-    # A safe zone in every row: an unknown name would fail the whole query.
-    df = df.withColumn("_tz", F.when(F.col("_known"), F.coalesce(F.col("cron.zone"), named)).otherwise("UTC"))
-    cron = F.col("cron")
-    usable = F.col("_known") & cron["error"].isNull() & cron["every_sec"].isNull()
-    df = df.withColumn("_minutes", minutes_of_day(cron))
-    df = df.withColumn("_day", F.to_date(F.from_utc_timestamp("_after", F.col("_tz"))))
-    floor = F.unix_micros("_after")
-
-    def first_fire(days: Column) -> Column:
-        later = F.filter(F.flatten(F.transform(
-            days, lambda d: fires_on(d, F.col("_minutes"), F.col("_tz")))),
-            lambda c: c * 1_000_000 > floor)
-        return F.array_min(later)
-
-    def matching(first: Column, last: Column) -> Column:
-        return F.filter(F.sequence(first, last), lambda d: day_matches(d, cron))
-
-    df = df.withColumn("_days", F.when(usable, F.slice(
-        matching(F.col("_day"), F.date_add("_day", NEAR_DAYS)), 1, 3)))
-    df = df.withColumn("_near", first_fire(F.col("_days")))
-    horizon = F.make_date(F.year("_day") + SEARCH_YEARS, F.lit(12), F.lit(31))
-    df = df.withColumn("_far_days", F.when(
-        usable & F.col("_near").isNull(), matching(F.col("_day"), horizon)))
-    df = df.withColumn("_far", first_fire(F.col("_far_days")))
-    by_step = F.date_trunc("second", "_after") + F.make_dt_interval(secs=cron["every_sec"].cast("decimal(18,6)"))
-    found = F.when(cron["every_sec"].isNotNull(), by_step).otherwise(
-        F.timestamp_seconds(F.coalesce("_near", "_far")))
-    problem = F.coalesce(
-        F.when(~F.col("_known"), F.concat(F.lit('unknown timezone "'), F.col(tz), F.lit('"'))),
-        F.concat(F.lit("invalid cron_expr: "), cron["error"]),
-        F.when(found.isNull() & F.col(expr).isNotNull(),
-               F.concat(F.lit('cron_expr "'), F.col(expr), F.lit('" never fires'))))
-    return (df.withColumn("next_error", problem)
-            .withColumn("next_run_at", F.when(F.col("next_error").isNull(), found))
-            .drop("cron", "_after", "_known", "_tz", "_minutes", "_day", "_days", "_near", "_far_days", "_far"))
+    fire = F.expr(next_fire(parse(expr), expr, tz, "_after"))
+    return (df.withColumn("_after", after).withColumn("_next", fire)
+            .withColumn("next_run_at", F.col("_next.at")).withColumn("next_error", F.col("_next.error"))
+            .drop("_after", "_next"))

@@ -1,38 +1,28 @@
-"""Durations written like ``30s``, ``1h30m`` or ``1.5h``."""
-
-from pyspark.sql import Column, functions as F
+"""Durations written like ``30s``, ``1h30m`` or ``1.5h``. Arguments and results are SQL text."""
 
 # Units in nanoseconds.
 UNIT_NANOS = {
     "ns": 1, "us": 1_000, "µs": 1_000, "μs": 1_000, "ms": 1_000_000,
     "s": 1_000_000_000, "m": 60_000_000_000, "h": 3_600_000_000_000,
 }
-_UNITS = "ns|us|µs|μs|ms|s|m|h"
-_PART = rf"([0-9]+\.?[0-9]*|\.[0-9]+)({_UNITS})"
-_WHOLE = rf"^[+-]?({_PART})+$"
+_PART = f"([0-9]+[.]?[0-9]*|[.][0-9]+)({'|'.join(UNIT_NANOS)})"
 
 
-def nanos(text: Column) -> Column:
+def nanos(text: str) -> str:
     """BIGINT nanoseconds, or NULL when ``text`` is not a duration."""
-    scale = F.create_map(*[F.lit(x) for pair in UNIT_NANOS.items() for x in pair])
-    amounts = F.regexp_extract_all(text, F.lit(_PART), 1)
-    units = F.regexp_extract_all(text, F.lit(_PART), 2)
-    terms = F.zip_with(amounts, units, lambda n, u: (
-        n.try_cast("decimal(28,9)") * F.element_at(scale, u)).try_cast("decimal(38,0)"))
-    total = F.aggregate(terms, F.lit(0).cast("decimal(38,0)"),
-                        lambda acc, x: (acc + x).cast("decimal(38,0)"))
-    signed = F.when(text.startswith("-"), -total).otherwise(total)
-    return (F.when(text.isin("0", "+0", "-0"), F.lit(0).cast("bigint"))
-            .when(text.rlike(_WHOLE), signed.try_cast("bigint")))
+    scale = " ".join(f"WHEN '{unit}' THEN {n}BD" for unit, n in UNIT_NANOS.items())
+    terms = (f"zip_with(regexp_extract_all({text}, '{_PART}', 1), regexp_extract_all({text}, '{_PART}', 2), "
+             f"(n, u) -> CAST(try_cast(n AS DECIMAL(28, 9)) * CASE u {scale} END AS DECIMAL(38, 0)))")
+    total = f"aggregate({terms}, CAST(0 AS DECIMAL(38, 0)), (acc, x) -> CAST(acc + x AS DECIMAL(38, 0)))"
+    return (f"CASE WHEN {text} IN ('0', '+0', '-0') THEN 0L WHEN {text} RLIKE '^[+-]?({_PART})+$' "
+            f"THEN try_cast({total} * IF({text} LIKE '-%', -1, 1) AS BIGINT) END")
 
 
-def seconds(text: Column) -> Column:
+def seconds(text: str) -> str:
     """DOUBLE seconds, or NULL when ``text`` is not a duration."""
-    return nanos(text) / F.lit(1e9)
+    return f"({nanos(text)}) / 1e9D"
 
 
-def every_seconds(text: Column) -> Column:
+def every_seconds(text: str) -> str:
     """Whole seconds of an ``@every`` step: floored, at least one."""
-    n = nanos(text)
-    return F.greatest(F.lit(1).cast("bigint"), F.floor(n / F.lit(1_000_000_000)).cast("bigint")) \
-        + F.when(n.isNull(), F.lit(None).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    return f"transform(array({nanos(text)}), n -> IF(n IS NULL, n, greatest(1L, n div 1000000000)))[0]"

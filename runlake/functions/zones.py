@@ -1,21 +1,21 @@
-"""Time zone names and UTC offsets."""
+"""Time zone names and UTC offsets, as SQL text."""
 
 from functools import lru_cache
 
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import SparkSession
 
 
 @lru_cache(maxsize=1)
-def known_zones() -> tuple[str, ...]:
-    """IANA names the engine can evaluate: about 600 short strings, a fixed set."""
+def known_zones() -> str:
+    """IANA names the engine can evaluate, as one comma-separated text: a fixed set of about 600."""
     ids = SparkSession.active()._jvm.java.time.ZoneId.getAvailableZoneIds()
-    return tuple(sorted({z for z in ids if not z.startswith("SystemV/")} | {"EST", "MST", "HST"}))
+    return ",".join(sorted({z for z in ids if not z.startswith("SystemV/")} | {"EST", "MST", "HST"}))
 
 
-def is_known(zone: Column) -> Column:
-    return F.coalesce(zone.isin(*known_zones()), F.lit(False))
+def is_known(zone: str) -> str:
+    return f"coalesce({zone} != '' AND find_in_set({zone}, '{known_zones()}') > 0, false)"
 
 
-def offset_seconds(utc_seconds: Column, zone: Column) -> Column:
+def offset_seconds(utc_seconds: str, zone: str) -> str:
     """Local minus UTC, in seconds, at an instant given in epoch seconds."""
-    return F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(utc_seconds), zone)) - utc_seconds
+    return f"unix_seconds(from_utc_timestamp(timestamp_seconds({utc_seconds}), {zone})) - ({utc_seconds})"

@@ -39,7 +39,7 @@ def join_pairs(jobs: DataFrame, pairs: DataFrame, how: str = "left", salts: int
 
 def parse_pairs(jobs: DataFrame) -> DataFrame:
     """(cron_expr, timezone, cron) of every distinct schedule."""
-    return cron.with_fields(distinct_pairs(jobs))
+    return distinct_pairs(jobs).withColumn("cron", F.expr(cron.parse("cron_expr")))
 
 
 def with_next_run(jobs: DataFrame, after: Column) -> DataFrame:
@@ -59,28 +59,22 @@ def pair_occurrences(schedules: DataFrame, start: Column, end: Column) -> DataFr
 
     ``@every`` counts its steps from ``start``. Bad schedules have no fires.
     """
-    df = parse_pairs(schedules).filter(F.col("cron.error").isNull() & zones.is_known(F.col("timezone")))
-    df = df.withColumn("_tz", F.coalesce("cron.zone", "timezone"))
-    first, last = F.unix_micros(start), F.unix_micros(end)
-    inside = lambda c: (c * 1_000_000 >= first) & (c * 1_000_000 < last)
-    day = lambda ts: F.to_date(F.from_utc_timestamp(ts, F.col("_tz")))
-    by_clock = (df.filter(F.col("cron.every_sec").isNull())
-                .withColumn("_minutes", cron.minutes_of_day(F.col("cron")))
-                .withColumn("_day", F.explode(F.sequence(day(start), day(end))))
-                .filter(cron.day_matches(F.col("_day"), F.col("cron")))
-                .withColumn("fires", F.filter(
-                    cron.fires_on(F.col("_day"), F.col("_minutes"), F.col("_tz")), inside)))
-    step = F.col("cron.every_sec")
-    origin = F.unix_seconds(start)
-    # Steps are listed in slices, so a short step over a long window is no giant array.
-    slices = F.sequence(origin, F.greatest(origin, F.unix_seconds(end)), F.lit(86_400).cast("bigint"))
-    by_step = (df.filter(step.isNotNull()).withColumn("_from", F.explode(slices))
-               .withColumn("_k", F.greatest(F.lit(1).cast("bigint"), F.ceil((F.col("_from") - origin) / step)))
-               .withColumn("_k2", F.ceil((F.col("_from") + 86_400 - origin) / step) - 1)
-               .withColumn("fires", F.when(F.col("_k2") >= F.col("_k"), F.filter(
-                   F.transform(F.sequence("_k", "_k2"), lambda k: origin + k * step), inside))))
+    df = parse_pairs(schedules).filter(F.expr(f"cron.error IS NULL AND {zones.is_known('timezone')}"))
+    df = df.select(*PAIR, "cron", F.coalesce("cron.zone", "timezone").alias("_tz"),
+                   start.alias("_start"), end.alias("_end"))
+    inside = "c -> c * 1000000 >= unix_micros(_start) AND c * 1000000 < unix_micros(_end)"
+    days = F.expr("sequence(to_date(from_utc_timestamp(_start, _tz)), to_date(from_utc_timestamp(_end, _tz)))")
+    by_clock = (df.filter("cron.every_sec IS NULL").withColumn("_day", F.explode(days))
+                .withColumn("fires", F.expr(f"filter(IF({cron.day_matches('_day', 'cron')}, "
+                            f"{cron.fires_on('_day', cron.minutes_of_day('cron'), '_tz')}, array()), {inside})")))
+    # Steps are listed a day at a time, so a short step over a long window is no giant array.
+    slices = F.expr(f"sequence(0L, greatest(0L, unix_seconds(_end) - unix_seconds(_start)), {cron.DAY}L)")
+    by_step = (df.filter("cron.every_sec IS NOT NULL").withColumn("_from", F.explode(slices))
+               .withColumn("fires", F.expr(f"""filter(transform(
+                   sequence(_from div cron.every_sec, (_from + {cron.DAY} - 1) div cron.every_sec),
+                   k -> IF(k > 0 AND k * cron.every_sec >= _from, unix_seconds(_start) + k * cron.every_sec, NULL)), {inside})""")))
     keep = [*PAIR, "fires"]
-    return by_clock.select(*keep).unionByName(by_step.select(*keep)).filter(F.size("fires") > 0)
+    return by_clock.select(*keep).unionByName(by_step.select(*keep))
 
 
 def occurrences(jobs: DataFrame, start: Column, end: Column) -> DataFrame:

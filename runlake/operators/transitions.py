@@ -17,7 +17,9 @@ from runlake.operators.keys import first_per_key, overwrite
 from runlake.operators.lookup import with_job
 from runlake.schema import FAILED, QUEUED, RUNNING, RUNS, SUCCEEDED
 
-NULL = F.lit(None)
+
+def null() -> Column:
+    return F.lit(None)
 
 
 @dataclass(frozen=True)
@@ -61,13 +63,13 @@ def _pick(df: DataFrame, guard: Column, order: str, limit: int | None) -> tuple[
 
 def requeue_values(as_of: Column) -> dict[str, Column]:
     """What every return to the queue sets, whatever its cause."""
-    return {"status": F.lit(QUEUED), "attempt": F.col("attempt") + 1, "worker_id": NULL,
-            "queued_at": as_of, "started_at": NULL, "last_heartbeat_at": NULL}
+    return {"status": F.lit(QUEUED), "attempt": F.col("attempt") + 1, "worker_id": null(),
+            "queued_at": as_of, "started_at": null(), "last_heartbeat_at": null()}
 
 
 def _by_exhaustion(exhausted: Column, as_of: Column) -> dict[str, Column]:
     """Final failure where the retries are used up, otherwise back to the queue."""
-    retried = requeue_values(as_of) | {"finished_at": NULL}
+    retried = requeue_values(as_of) | {"finished_at": null()}
     final = {"status": F.lit(FAILED), "finished_at": as_of}
     return {c: F.when(exhausted, final.get(c, F.col(c))).otherwise(v) for c, v in retried.items()}
 
@@ -112,7 +114,7 @@ def claim(runs: DataFrame, requests: DataFrame, as_of: Column, order=("arrived_a
     guard = (F.col("status") == QUEUED) & _backoff_over(as_of) & F.col("_claimant").isNotNull()
     return _mark(df, guard, {
         "status": F.lit(RUNNING), "worker_id": F.col("_claimant"), "started_at": as_of,
-        "last_heartbeat_at": as_of, "finished_at": NULL, "next_attempt_at": NULL})
+        "last_heartbeat_at": as_of, "finished_at": null(), "next_attempt_at": null()})
 
 
 def heartbeat(runs: DataFrame, reports: DataFrame, as_of: Column, order=()) -> Transition:
@@ -122,7 +124,7 @@ def heartbeat(runs: DataFrame, reports: DataFrame, as_of: Column, order=()) -> T
 def finish(runs: DataFrame, reports: DataFrame, as_of: Column, order=("output",)) -> Transition:
     """Record success; ``reports`` carry the ``output``."""
     return _mark(_with_reports(runs, reports, order), _owned(), {
-        "status": F.lit(SUCCEEDED), "output": F.col("_report.output"), "error": NULL, "finished_at": as_of})
+        "status": F.lit(SUCCEEDED), "output": F.col("_report.output"), "error": null(), "finished_at": as_of})
 
 
 def release(runs: DataFrame, reports: DataFrame, as_of: Column, order=("reason",)) -> Transition:
@@ -137,7 +139,7 @@ def fail_or_retry(runs: DataFrame, jobs: DataFrame, reports: DataFrame, as_of: C
     df = with_job(_with_reports(runs, reports, order), jobs, "left")
     after = retry.plus_seconds(as_of, retry.delay_seconds(F.col("attempt"), policy))
     return _mark(df, _owned() & F.col("max_retries").isNotNull(), _by_exhaustion(_exhausted(), as_of) | {
-        "next_attempt_at": F.when(_exhausted(), NULL).otherwise(after), "error": F.col("_report.error")})
+        "next_attempt_at": F.when(_exhausted(), null()).otherwise(after), "error": F.col("_report.error")})
 
 
 def fail_queued(runs: DataFrame, reports: DataFrame, as_of: Column, order=("reason",)) -> Transition:
@@ -169,7 +171,7 @@ def reap_step(df: DataFrame, as_of: Column, stale_after: int, limit: int | None
 def retry_step(df: DataFrame, as_of: Column, limit: int | None = None) -> Transition:
     guard = (F.col("status") == QUEUED) & (F.col("next_attempt_at") <= as_of) & _has_job()
     df, hit = _pick(df, guard, "next_attempt_at", limit)
-    return _mark(df, hit, {"next_attempt_at": NULL, "queued_at": as_of})
+    return _mark(df, hit, {"next_attempt_at": null(), "queued_at": as_of})
 
 
 def sweep_step(df: DataFrame, as_of: Column, older_than: int, limit: int | None = None) -> Transition:

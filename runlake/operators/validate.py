@@ -27,7 +27,8 @@ def _trim(c: Column) -> Column:
 
 
 def check_requests(requests: DataFrame, as_of: Column, body: str = "body") -> DataFrame:
-    """Add the job columns a request asks for and ``reason``, the first rule it breaks or NULL.
+    """Add the job columns a request asks for, ``next_run_at`` and ``reason``, the first
+    rule it breaks or NULL.
 
     ``requests`` need a unique ``id``. A payload given as null counts as one with
     nothing set. max_retries and timeout_sec stay NULL where not given.
@@ -53,10 +54,12 @@ def check_requests(requests: DataFrame, as_of: Column, body: str = "body") -> Da
           .withColumn("max_retries", F.when(ok, d["max_retries"]))
           .withColumn("timeout_sec", F.when(ok, d["timeout_sec"])).drop("_m"))
     df = payload.with_payload(df).drop(*payload.PARSED)
-    df = df.withColumn("_zone", F.when(~zones.is_known(F.col("timezone")), F.concat(
+    df = df.withColumn("_zone", F.when(~F.expr(zones.is_known("timezone")), F.concat(
         F.lit('unknown timezone "'), F.col("timezone"), F.lit('"'))))
-    pairs = cron.with_next(df.filter(F.col("cron_expr").isNotNull() & F.col("_zone").isNull())
-                           .select("cron_expr", "timezone").distinct(), as_of)
+    # One pair of NULLs stands for all requests without a usable schedule; it joins to nothing.
+    usable = F.col("cron_expr").isNotNull() & F.col("_zone").isNull()
+    pairs = cron.with_next(df.select(F.when(usable, F.col("cron_expr")).alias("cron_expr"),
+                                     F.when(usable, F.col("timezone")).alias("timezone")).distinct(), as_of)
     df = join_pairs(df, pairs)
 
     def outside(name: str, low: int, high: int) -> Column:

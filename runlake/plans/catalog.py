@@ -130,8 +130,7 @@ def _checked(v: Views) -> DataFrame:
 
 @query
 def create_jobs(v: Views) -> DataFrame:
-    valid = schedule.with_next_run(validate.split_requests(_checked(v)).valid, v.as_of)
-    return inserts.create_jobs(valid.withColumn("next_run_at", F.col("next_at")), v.as_of)
+    return inserts.create_jobs(validate.split_requests(_checked(v)).valid, v.as_of)
 
 
 # Projections, filters, lookups, top-k -----------------------------------------
@@ -333,7 +332,7 @@ def cron_parse(v: Views) -> DataFrame:
 
 @query
 def duration_seconds(v: Views) -> DataFrame:
-    secs = durations.seconds(F.col("duration"))
+    secs = F.expr(durations.seconds("duration"))
     return v.durations.select("id", "duration", secs.isNotNull().alias("valid"),
                               F.coalesce(secs, F.lit(0.0)).alias("seconds"))
 
