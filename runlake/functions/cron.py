@@ -26,7 +26,8 @@ DESCRIPTORS = {
     "@hourly": "0 * * * *",
 }
 SEARCH_YEARS = 5
-NEAR_DAYS = 40
+# Search windows in days: most schedules fire within the first, monthly ones within the second.
+NEAR_DAYS = (8, 40)
 DAY = 86_400
 
 
@@ -145,7 +146,7 @@ def next_fire(cron: str, expr: str, tz: str, after: str) -> str:
     def matching(last: str) -> str:
         return f"filter(sequence(c.day, {last}), d -> {day_matches('d', 'c.b.cron')})"
 
-    near = first(f"slice({matching(f'date_add(c.day, {NEAR_DAYS})')}, 1, 3)")
+    near = ", ".join(first(f"slice({matching(f'date_add(c.day, {n})')}, 1, 3)") for n in NEAR_DAYS)
     far = first(matching(f"make_date(year(c.day) + {SEARCH_YEARS}, 12, 31)"))
     by_step = "date_trunc('second', c.b.after) + make_dt_interval(0, 0, 0, CAST(c.b.cron.every_sec AS DECIMAL(18, 6)))"
     found = struct(c="c", at=f"""CASE WHEN c.b.cron.every_sec IS NOT NULL THEN {by_step}

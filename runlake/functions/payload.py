@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from runlake import config
 from runlake.functions import strict_json
+from runlake.operators.keys import pinned
 from runlake.schema import GENERATE_TEXT
 
 # Payload members.
@@ -52,7 +53,7 @@ def with_payload(df: DataFrame, job_type: str = "type", payload: str = "payload"
         value = (F.coalesce(F.nullif(strict_json.text_of(p["prefix"]), F.lit("")), F.lit("line"))
                  if name == "prefix" else number[name].cast("int"))
         df = df.withColumn(name, F.when(ok, value))
-    return df.drop("_p", "_extra")
+    return pinned(df.drop("_p", "_extra"))
 
 
 def expected_error(attempt: Column) -> Column:

@@ -16,10 +16,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from runlake.config import DEFAULT_POLICY, Policy
-from runlake.functions import retry
+from runlake.functions.cron import struct
 from runlake.operators.lookup import is_final, with_job
-from runlake.operators.transitions import requeue_values
-from runlake.schema import FAILED, QUEUED, RUNNING, RUNS, SUCCEEDED
+from runlake.schema import QUEUED, RUNNING, RUNS
 from runlake.session import materialize
 
 HOT_EVENTS = 50_000
@@ -29,48 +28,48 @@ ENDINGS = ("finish", "fail", "release")
 STATE = {c: t for c, t in RUNS.items() if c not in ("id", "job_id", "scheduled_time", "trigger")}
 
 
-def _new_values(s: Column, e: Column, policy: Policy) -> list[tuple[Column, dict[str, Column]]]:
-    """(guard, changed fields) per kind; ``s`` is the run so far and ``e`` the event."""
-    owned = ((s["status"] == RUNNING) & s["worker_id"].eqNullSafe(e["worker_id"])
-             & (s["attempt"] == e["attempt"]))
-    waiting = s["status"] == QUEUED
-    ready = waiting & (s["next_attempt_at"].isNull() | (s["next_attempt_at"] <= e["at"]))
-    spent = s["attempt"] > s["max_retries"]
-    null = F.lit(None)
-    requeued = requeue_values(e["at"]) | {"attempt": s["attempt"] + 1}
-    backoff = retry.plus_seconds(e["at"], retry.delay_seconds(s["attempt"], policy))
-    return [
-        ((e["kind"] == "claim") & ready, {
-            "status": F.lit(RUNNING), "worker_id": e["worker_id"], "started_at": e["at"],
-            "last_heartbeat_at": e["at"], "finished_at": null, "next_attempt_at": null}),
-        ((e["kind"] == "heartbeat") & owned, {"last_heartbeat_at": e["at"]}),
-        ((e["kind"] == "finish") & owned, {
-            "status": F.lit(SUCCEEDED), "output": e["message"], "error": null, "finished_at": e["at"]}),
-        ((e["kind"] == "release") & owned, requeued | {"error": e["message"]}),
-        ((e["kind"] == "fail") & owned & spent, {
-            "status": F.lit(FAILED), "finished_at": e["at"], "error": e["message"], "next_attempt_at": null}),
-        ((e["kind"] == "fail") & owned & ~spent, requeued | {
-            "finished_at": null, "next_attempt_at": backoff, "error": e["message"]}),
-        ((e["kind"] == "fail_queued") & waiting, {
-            "status": F.lit(FAILED), "finished_at": e["at"], "error": e["message"]}),
-    ]
-
-
-def _advance(s: Column, e: Column, policy: Policy) -> Column:
-    cases = _new_values(s, e, policy)
-
-    def field(name: str, kind: str) -> Column:
-        touching = [(guard, new[name]) for guard, new in cases if name in new]
-        value = F.when(F.lit(False), s[name])
-        for guard, new in touching:
-            value = value.when(guard, new.cast(kind))
-        return value.otherwise(s[name]).alias(name)
-
-    taken = F.coalesce(reduce(lambda a, b: a | b, [guard for guard, _ in cases]), F.lit(False))
-    one = F.lit(1).cast("bigint")
-    return F.struct(*[field(c, t) for c, t in STATE.items()], s["max_retries"].alias("max_retries"),
-                    F.when(taken, s["accepted"] + one).otherwise(s["accepted"]).alias("accepted"),
-                    F.when(taken, s["rejected"]).otherwise(s["rejected"] + one).alias("rejected"))
+# What an event does to a run, in the order the guards are tried.
+CLAIM, HEARTBEAT, FINISH, RELEASE, FINAL, AGAIN, FAIL_QUEUED = range(1, 8)
+_OWNED = "s.status = 'RUNNING' AND s.worker_id <=> e.worker_id AND s.attempt = e.attempt"
+_ACTION = f"""CASE e.kind
+  WHEN 'claim' THEN IF(s.status = 'QUEUED' AND (s.next_attempt_at IS NULL OR s.next_attempt_at <= e.at), {CLAIM}, 0)
+  WHEN 'heartbeat' THEN IF({_OWNED}, {HEARTBEAT}, 0)
+  WHEN 'finish' THEN IF({_OWNED}, {FINISH}, 0)
+  WHEN 'release' THEN IF({_OWNED}, {RELEASE}, 0)
+  WHEN 'fail' THEN IF({_OWNED}, IF(s.attempt > s.max_retries, {FINAL}, {AGAIN}), 0)
+  WHEN 'fail_queued' THEN IF(s.status = 'QUEUED', {FAIL_QUEUED}, 0) ELSE 0 END"""
+
+
+def _effects(policy: Policy) -> dict[str, str]:
+    """Per column, its new value by action ``x``; columns not named keep theirs."""
+    delay = (f"least(CAST({policy.retry_base} AS BIGINT) * CAST(pow(2.0D, least(s.attempt - 1, 30)) AS BIGINT), "
+             f"CAST({policy.retry_cap} AS BIGINT))")
+    backoff = f"e.at + make_dt_interval(0, 0, 0, CAST({delay} AS DECIMAL(18, 6)))"
+    requeued = f"x = {RELEASE} OR x = {AGAIN}"
+    return {
+        "status": f"CASE x WHEN {CLAIM} THEN 'RUNNING' WHEN {FINISH} THEN 'SUCCEEDED' WHEN {RELEASE} THEN 'QUEUED' "
+                  f"WHEN {AGAIN} THEN 'QUEUED' WHEN {FINAL} THEN 'FAILED' WHEN {FAIL_QUEUED} THEN 'FAILED' ELSE s.status END",
+        "attempt": f"IF({requeued}, s.attempt + 1, s.attempt)",
+        "worker_id": f"CASE WHEN x = {CLAIM} THEN e.worker_id WHEN {requeued} THEN NULL ELSE s.worker_id END",
+        "queued_at": f"IF({requeued}, e.at, s.queued_at)",
+        "started_at": f"CASE WHEN x = {CLAIM} THEN e.at WHEN {requeued} THEN NULL ELSE s.started_at END",
+        "finished_at": f"CASE WHEN x = {FINISH} OR x = {FINAL} OR x = {FAIL_QUEUED} THEN e.at "
+                       f"WHEN x = {CLAIM} OR x = {AGAIN} THEN NULL ELSE s.finished_at END",
+        "last_heartbeat_at": f"CASE WHEN x = {CLAIM} OR x = {HEARTBEAT} THEN e.at WHEN {requeued} THEN NULL "
+                             f"ELSE s.last_heartbeat_at END",
+        "next_attempt_at": f"CASE WHEN x = {AGAIN} THEN {backoff} WHEN x = {CLAIM} OR x = {FINAL} THEN NULL "
+                           f"ELSE s.next_attempt_at END",
+        "error": f"CASE WHEN x = {FINISH} THEN NULL WHEN x >= {RELEASE} THEN e.message ELSE s.error END",
+        "output": f"IF(x = {FINISH}, e.message, s.output)",
+        "max_retries": "s.max_retries",
+        "accepted": "IF(x > 0, s.accepted + 1L, s.accepted)",
+        "rejected": "IF(x > 0, s.rejected, s.rejected + 1L)",
+    }
+
+
+def advance(policy: Policy) -> str:
+    """SQL text of the run ``s`` after the event ``e``."""
+    return f"transform(array({_ACTION}), x -> {struct(**_effects(policy))})[0]"
 
 
 _ACC = "struct<" + ", ".join(f"{c}:{t}" for c, t in STATE.items()) \
@@ -95,9 +94,10 @@ def _fold_gathered(runs: DataFrame, events: DataFrame, policy: Policy) -> DataFr
     per_run = (events.groupBy(F.col("run_id").alias("id"))
                .agg(F.array_sort(F.collect_list(F.struct(*ORDER))).alias("_events")))
     df = runs.join(per_run, "id", "left")
-    end = F.aggregate(F.coalesce("_events", F.array().cast(per_run.schema["_events"].dataType)),
-                      _initial(), lambda s, e: _advance(s, e, policy).cast(_ACC))
-    df = df.withColumn("_end", end)
+    df = df.withColumn("_start", _initial())
+    # No events, no fold: the run stays as it is.
+    df = df.withColumn("_end", F.expr(
+        f"IF(_events IS NULL, _start, aggregate(_events, _start, (s, e) -> {advance(policy)}))"))
     return df.select(*[F.col(f"_end.{c}").alias(c) if c in STATE else F.col(c) for c in RUNS],
                      "_end.accepted", "_end.rejected")
 
@@ -123,15 +123,14 @@ def _fold_hot(runs: DataFrame, events: DataFrame, policy: Policy) -> DataFrame:
 
     def step(state: DataFrame, candidates: DataFrame, turn: str) -> DataFrame:
         """Apply each run's first effective candidate event; runs of this turn without one are stuck."""
-        first = candidates.groupBy(F.col("run_id").alias("id")).agg(F.min("_event").alias("_e"))
-        df = state.join(first, "id", "left").withColumn(
-            "_s", F.struct(*STATE, "max_retries", zero.alias("accepted"), zero.alias("rejected")))
-        df = df.withColumn("_n", F.when(F.col("_e").isNotNull(), _advance(F.col("_s"), F.col("_e"), policy).cast(_ACC))
-                           .otherwise(F.col("_s").cast(_ACC)))
-        hit = F.col("_e").isNotNull()
+        first = candidates.groupBy(F.col("run_id").alias("id")).agg(F.min("_event").alias("e"))
+        df = state.join(first, "id", "left").withColumn("s", _initial())
+        df = df.withColumn("_n", F.expr(
+            f"IF(e IS NULL, s, {advance(policy)})"))
+        hit = F.col("e").isNotNull()
         return materialize(df.select(
             *[F.col(f"_n.{c}").alias(c) if c in STATE else F.col(c) for c in RUNS], "max_retries",
-            F.when(hit, F.col("_e").cast(pos_type)).otherwise(F.col("_pos")).alias("_pos"),
+            F.when(hit, F.col("e").cast(pos_type)).otherwise(F.col("_pos")).alias("_pos"),
             (F.col("_stuck") | ((F.col("status") == turn) & ~hit)).alias("_stuck"),
             (F.col("_steps") + F.when(hit, 1).otherwise(0)).alias("_steps")), "hot-state")
 

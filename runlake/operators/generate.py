@@ -1,6 +1,7 @@
 """What a ``generate_text`` run produces: lines, output, progress log, outcome, timeline.
 
-All are row-local: a run fans out where it is, with no shuffle.
+All are row-local. The ones that fan out first spread the still narrow rows, so
+that runs with long outputs lying in one file do not end up in one task.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -20,23 +21,27 @@ def with_run_payload(runs: DataFrame, jobs: DataFrame) -> DataFrame:
     return runs.join(parsed.withColumnRenamed("type", "job_type"), "job_id")
 
 
+def _spread(runs: DataFrame) -> DataFrame:
+    """Valid runs, narrow and spread by id: a run of 100,000 lines is one small row until here."""
+    return (runs.filter(F.col("payload_error").isNull())
+            .select(F.col("id").alias("run_id"), "attempt", "lines", "prefix", "fail_at", "fail_attempts")
+            .repartition("run_id"))
+
+
 def _text(i: Column) -> Column:
     return F.concat(F.col("prefix"), F.lit(" "), i.cast("string"))
 
 
 def generate_lines(runs: DataFrame) -> DataFrame:
     """(run_id, i, line) for runs with a valid payload."""
-    return (runs.filter(F.col("payload_error").isNull())
-            .select(F.col("id").alias("run_id"), "prefix", F.explode(F.sequence(F.lit(1), "lines")).alias("i"))
+    return (_spread(runs).select("run_id", "prefix", F.explode(F.sequence(F.lit(1), "lines")).alias("i"))
             .select("run_id", "i", _text(F.col("i")).alias("line")))
 
 
 def generate_output(runs: DataFrame) -> DataFrame:
     """(run_id, output): the lines as one text, each ended by a newline."""
     lines = F.transform(F.sequence(F.lit(1), "lines"), _text)
-    return (runs.filter(F.col("payload_error").isNull())
-            .select(F.col("id").alias("run_id"),
-                    F.concat(F.array_join(lines, "\n"), F.lit("\n")).alias("output")))
+    return _spread(runs).select("run_id", F.concat(F.array_join(lines, "\n"), F.lit("\n")).alias("output"))
 
 
 def progress_log(runs: DataFrame) -> DataFrame:
@@ -60,8 +65,7 @@ def progress_log(runs: DataFrame) -> DataFrame:
                   F.col("fail_attempts"), ")")))
               .otherwise(none))
     entries = F.concat(F.array(entry("info", "generating ", n, " lines")), progress, ending)
-    return (runs.filter(F.col("payload_error").isNull())
-            .select(F.col("id").alias("run_id"), "attempt", F.posexplode(entries).alias("_i", "_e"))
+    return (_spread(runs).select("run_id", "attempt", F.posexplode(entries).alias("_i", "_e"))
             .select("run_id", "attempt", (F.col("_i") + 1).cast("bigint").alias("seq"), "_e.level", "_e.line"))
 
 

@@ -8,6 +8,15 @@ row per map task.
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+def pinned(df: DataFrame) -> DataFrame:
+    """The same rows, with filters added later kept above the columns computed so far.
+
+    Otherwise a filter on a derived column is rewritten in terms of the scan and
+    repeats the parsing it depends on, once per mention.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def first_per_key(df: DataFrame, keys, order) -> DataFrame:
     """One row per key: the first by ``order``, whose columns must fix a total order of distinct rows."""
     keys, order = list(keys), list(order)

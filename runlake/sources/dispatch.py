@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from runlake.config import DISPATCH_TOPIC
 from runlake.functions import strict_json
+from runlake.operators.keys import pinned
 
 _MEMBERS = "run_id variant, job_id variant, job_type variant, attempt bigint"
 
@@ -30,8 +31,8 @@ def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     good = F.col("reject_reason").isNull()
     for name in ("run_id", "job_id", "job_type"):
         df = df.withColumn(name, F.when(good, text(name)))
-    return df.withColumn("attempt", F.when(good, F.coalesce(d["attempt"], F.lit(0)).cast("int"))) \
-        .drop("_m", "_sound")
+    df = df.withColumn("attempt", F.when(good, F.coalesce(d["attempt"], F.lit(0)).cast("int")))
+    return pinned(df.drop("_m", "_sound"))
 
 
 def split(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
