@@ -97,7 +97,7 @@ def parse(text: str) -> str:
             for name, *_ in FIELDS}
     result = struct(**sets, dom_star="coalesce(exists(f.d.dom, e -> e.star), false)",
                     dow_star="coalesce(exists(f.d.dow, e -> e.star), false)", every_sec="f.d.every",
-                    zone="nullif(nullif(f.d.zone, ''), 'Local')", error="f.error")
+                    zone="IF(f.error IS NULL, nullif(nullif(f.d.zone, ''), 'Local'), NULL)", error="f.error")
     return let("a", split_zone, let("b", expanded, let("c", cut, let("d", read, let(
         "f", struct(d="d", error=error), result)))))
 
