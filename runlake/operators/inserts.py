@@ -75,9 +75,9 @@ def cascade_delete(jobs: DataFrame, runs: DataFrame, logs: DataFrame, doomed: Da
     doomed = doomed.select("id").distinct()
     gone_runs = runs.join(doomed.withColumnRenamed("id", "job_id"), "job_id", "left_semi").select("id")
     return Cascade(
-        jobs.join(doomed, "id", "left_anti"),
-        runs.join(doomed.withColumnRenamed("id", "job_id"), "job_id", "left_anti"),
-        logs.join(gone_runs.withColumnRenamed("id", "run_id"), "run_id", "left_anti"))
+        jobs.join(doomed, "id", "left_anti").select(*jobs.columns),
+        runs.join(doomed.withColumnRenamed("id", "job_id"), "job_id", "left_anti").select(*runs.columns),
+        logs.join(gone_runs.withColumnRenamed("id", "run_id"), "run_id", "left_anti").select(*logs.columns))
 
 
 def first_occurrences(runs: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def absent_from(batch: DataFrame, existing: DataFrame, keys) -> DataFrame:
     """
     keys = list(keys)
     seen = existing.select(*keys).join(batch.select(*keys), keys, "left_semi")
-    return batch.join(seen, keys, "left_anti")
+    return batch.join(seen, keys, "left_anti").select(*batch.columns)
 
 
 def overwrite(df: DataFrame, hit: Column, values: dict[str, Column]) -> DataFrame:
