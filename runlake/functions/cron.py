@@ -26,8 +26,9 @@ DESCRIPTORS = {
     "@hourly": "0 * * * *",
 }
 SEARCH_YEARS = 5
-# Search windows in days: most schedules fire within the first, monthly ones within the second.
-NEAR_DAYS = (8, 40)
+# Search windows in days: by tomorrow, within a week, within a month. Tomorrow is always
+# searched with today, as a clock set back just after midnight mixes the two.
+NEAR_DAYS = (1, 8, 40)
 DAY = 86_400
 
 

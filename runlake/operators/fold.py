@@ -62,24 +62,22 @@ def _effects(policy: Policy) -> dict[str, str]:
         "error": f"CASE WHEN x = {FINISH} THEN NULL WHEN x >= {RELEASE} THEN e.message ELSE s.error END",
         "output": f"IF(x = {FINISH}, e.message, s.output)",
         "max_retries": "s.max_retries",
-        "accepted": "IF(x > 0, s.accepted + 1L, s.accepted)",
-        "rejected": "IF(x > 0, s.rejected, s.rejected + 1L)",
+        "accepted": "s.accepted + 1L",
     }
 
 
 def advance(policy: Policy) -> str:
-    """SQL text of the run ``s`` after the event ``e``."""
-    return f"transform(array({_ACTION}), x -> {struct(**_effects(policy))})[0]"
+    """SQL text of the run ``s`` after the event ``e``; a rejected event leaves the very same struct."""
+    return f"transform(array({_ACTION}), x -> IF(x = 0, s, {struct(**_effects(policy))}))[0]"
 
 
 _ACC = "struct<" + ", ".join(f"{c}:{t}" for c, t in STATE.items()) \
-    + ", max_retries:int, accepted:bigint, rejected:bigint>"
+    + ", max_retries:int, accepted:bigint>"
 
 
 def _initial() -> Column:
     zero = F.lit(0).cast("bigint")
-    return F.struct(*[F.col(c) for c in STATE], F.col("max_retries"),
-                    zero.alias("accepted"), zero.alias("rejected")).cast(_ACC)
+    return F.struct(*[F.col(c) for c in STATE], F.col("max_retries"), zero.alias("accepted")).cast(_ACC)
 
 
 def _prepare(events: DataFrame) -> DataFrame:
@@ -99,7 +97,7 @@ def _fold_gathered(runs: DataFrame, events: DataFrame, policy: Policy) -> DataFr
     df = df.withColumn("_end", F.expr(
         f"IF(_events IS NULL, _start, aggregate(_events, _start, (s, e) -> {advance(policy)}))"))
     return df.select(*[F.col(f"_end.{c}").alias(c) if c in STATE else F.col(c) for c in RUNS],
-                     "_end.accepted", "_end.rejected")
+                     "_end.accepted", F.expr("IF(_events IS NULL, 0, size(_events)) - _end.accepted").alias("rejected"))
 
 
 def _position(e: str = "") -> Column:

@@ -40,33 +40,28 @@ def generate_lines(runs: DataFrame) -> DataFrame:
 
 def generate_output(runs: DataFrame) -> DataFrame:
     """(run_id, output): the lines as one text, each ended by a newline."""
-    lines = F.transform(F.sequence(F.lit(1), "lines"), _text)
-    return _spread(runs).select("run_id", F.concat(F.array_join(lines, "\n"), F.lit("\n")).alias("output"))
+    # One join of the numbers with the text between them, rather than a join of built lines.
+    numbers = F.sequence(F.lit(1), "lines").cast("array<string>")
+    between = F.expr("concat('\\n', prefix, ' ')")
+    return _spread(runs).select("run_id", F.concat(
+        F.col("prefix"), F.lit(" "), F.call_function("array_join", numbers, between), F.lit("\n")).alias("output"))
 
 
 def progress_log(runs: DataFrame) -> DataFrame:
     """(run_id, attempt, seq, level, line) that executing each run's attempt writes."""
-    def entry(level: str, *parts) -> Column:
-        text = F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
-        return F.struct(F.lit(level).alias("level"), text.alias("line"))
-
-    n, fail_at = F.col("lines"), F.col("fail_at")
-    every = F.greatest(F.lit(1), F.floor(n / F.lit(20)).cast("int"))
-    reached = F.when(fail_at > 0, fail_at - 1).otherwise(n)
-    marks = F.filter(F.array_distinct(F.concat(
-        F.transform(F.when(reached >= every, F.sequence(F.lit(1), F.floor(reached / every).cast("int")))
-                    .otherwise(F.array().cast("array<int>")), lambda k: (k * every).cast("int")),
-        F.array(n))), lambda i: i <= reached)
-    progress = F.transform(marks, lambda i: entry("info", "wrote ", i, "/", n, " lines"))
-    none = F.filter(F.array(entry("info", "")), lambda e: F.lit(False))
-    ending = (F.when(fail_at > 0, F.array(entry("error", "failing on purpose after ", fail_at, " lines")))
-              .when(F.col("attempt") <= F.col("fail_attempts"), F.array(entry(
-                  "error", "failing attempt ", F.col("attempt"), " on purpose (fail_attempts=",
-                  F.col("fail_attempts"), ")")))
-              .otherwise(none))
-    entries = F.concat(F.array(entry("info", "generating ", n, " lines")), progress, ending)
-    return (_spread(runs).select("run_id", "attempt", F.posexplode(entries).alias("_i", "_e"))
-            .select("run_id", "attempt", (F.col("_i") + 1).cast("bigint").alias("seq"), "_e.level", "_e.line"))
+    df = _spread(runs).withColumn("every", F.expr("greatest(1, lines div 20)").cast("int"))
+    # Lines written before the end, and the progress marks among them: multiples of ``every`` and the last line.
+    df = df.withColumn("reached", F.expr("IF(fail_at > 0, fail_at - 1, lines)"))
+    df = df.withColumn("marks", F.expr(
+        "CAST(reached div every AS INT) + IF(reached = lines AND lines % every != 0, 1, 0)"))
+    df = df.withColumn("fails", F.expr("fail_at > 0 OR attempt <= fail_attempts"))
+    df = df.withColumn("seq", F.explode(F.expr("sequence(1, 1 + marks + IF(fails, 1, 0))")))
+    line = F.expr("""CASE WHEN seq = 1 THEN concat('generating ', lines, ' lines')
+        WHEN seq <= 1 + marks THEN concat('wrote ', least((seq - 1) * every, lines), '/', lines, ' lines')
+        WHEN fail_at > 0 THEN concat('failing on purpose after ', fail_at, ' lines')
+        ELSE concat('failing attempt ', attempt, ' on purpose (fail_attempts=', fail_attempts, ')') END""")
+    return df.select("run_id", "attempt", F.col("seq").cast("bigint").alias("seq"),
+                     F.expr("IF(seq > 1 + marks, 'error', 'info')").alias("level"), line.alias("line"))
 
 
 def expected_outcome(runs: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from runlake.schema import JOBS, LOGS, RUNS, SUCCEEDED
 from runlake.session import configure, shared_dir
 from runlake.sources import dispatch, fixtures, logs as log_source, outputs
 from runlake.streaming import jobs as streams
-from runlake.streaming.batches import read_batches, run_available
+from runlake.streaming.batches import latest, read_batches, run_available, schema_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -516,8 +516,8 @@ def stream_dispatch(v: Views) -> DataFrame:
     good, dead = shared_dir(v.spark, "good"), shared_dir(v.spark, "dead")
     run_available(v.stream("dispatch_raw"), streams.dispatch_writer(good, dead), "dispatch")
     kept, lost = dispatch.split(dispatch.decode(v.dispatch_raw))
-    accepted = read_batches(v.spark, good, streams.schema_of(kept))
-    dropped = read_batches(v.spark, dead, streams.schema_of(lost))
+    accepted = read_batches(v.spark, good, schema_of(kept))
+    dropped = read_batches(v.spark, dead, schema_of(lost))
     return accepted.select("offset_no", "run_id", F.lit("").alias("reject_reason")).unionByName(
         dropped.select("offset_no", F.lit("").alias("run_id"), "reject_reason"))
 
@@ -527,13 +527,7 @@ def stream_claim(v: Views) -> DataFrame:
     target = shared_dir(v.spark, "claims")
     run_available(v.stream("dispatch_raw"),
                   streams.claim_writer(v.runs, target, claim_requests, v.as_of), "claim")
-    return _last_batch(v, target, v.runs)
-
-
-def _last_batch(v: Views, target: str, like: DataFrame) -> DataFrame:
-    written = read_batches(v.spark, target, streams.schema_of(like))
-    last = written.select(F.max("batch").alias("batch"))
-    return written.join(F.broadcast(last), "batch").drop("batch")  # one row
+    return latest(v.runs, target)
 
 
 @query
@@ -541,7 +535,7 @@ def stream_log_append(v: Views) -> DataFrame:
     target = shared_dir(v.spark, "log-lines")
     existing = log_source.first_copies(v.logs.filter(F.col("level") == "error"))
     run_available(v.stream("job_logs"), streams.log_writer(target, existing), "log-append")
-    added = read_batches(v.spark, target, streams.schema_of(existing)).select(*LOGS)
+    added = read_batches(v.spark, target, schema_of(existing)).select(*LOGS)
     return existing.select(*LOGS).unionByName(added)
 
 
@@ -550,15 +544,14 @@ def stream_liveness(v: Views) -> DataFrame:
     target = shared_dir(v.spark, "sessions")
     closed = streams.closed_sessions(v.stream("heartbeats"), SESSION_GAP, STREAM_LATENESS)
     run_available(closed, streams.append_writer(target), "liveness")
-    return read_batches(v.spark, target, streams.schema_of(closed)).drop("batch")
+    return read_batches(v.spark, target, schema_of(closed)).drop("batch")
 
 
 @query
 def stream_state(v: Views) -> DataFrame:
     target = shared_dir(v.spark, "states")
     run_available(v.stream("run_events"), streams.state_writer(v.runs, v.jobs, target), "state")
-    zero = F.lit(0).cast("bigint")
-    return _last_batch(v, target, v.runs.withColumn("accepted", zero).withColumn("rejected", zero))
+    return latest(streams.with_counts(v.runs), target)
 
 
 @query
@@ -566,4 +559,4 @@ def stream_log_tail(v: Views) -> DataFrame:
     lines, sent = shared_dir(v.spark, "tail-lines"), shared_dir(v.spark, "tail-events")
     run_available(v.stream("job_logs"), streams.tail_writer(lambda: v.runs, lines, sent), "tail")
     rows = events.event_rows(v.runs, v.logs)
-    return read_batches(v.spark, sent, streams.schema_of(rows)).drop("batch")
+    return read_batches(v.spark, sent, schema_of(rows)).drop("batch")

@@ -6,7 +6,7 @@ interrupted earlier try of it left there, so replays change nothing.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from runlake.session import shared_dir
 
@@ -19,12 +19,33 @@ def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(batch_dir(root, batch_id))
 
 
+def schema_of(df: DataFrame) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
+
+
 def read_batches(spark: SparkSession, root: str, schema, before: int | None = None) -> DataFrame:
     """Everything written under ``root``, or only by batches below ``before``."""
     df = spark.read.schema(f"{schema}, batch bigint").option("basePath", root).parquet(root)
     return df if before is None else df.filter(df["batch"] < before)
 
 
+def latest(start: DataFrame, root: str, batch_id: int | None = None, ids: DataFrame | None = None) -> DataFrame:
+    """The newest version of each row of ``start``, given the changed rows each batch wrote.
+
+    With ``ids`` only those rows are looked at, so the work of a micro-batch
+    follows the rows it touches. Batches from ``batch_id`` on are left out.
+    """
+    versions = start.withColumn("batch", F.lit(-1).cast("bigint"))
+    if batch_id is None or batch_id > 0:
+        written = read_batches(start.sparkSession, root, schema_of(start), batch_id)
+        versions = versions.unionByName(written)
+    if ids is not None:
+        versions = versions.join(ids, "id", "left_semi")
+    rest = [c for c in start.columns if c != "id"]
+    newest = versions.groupBy("id").agg(F.max(F.struct("batch", *rest)).alias("_v"))
+    return newest.select("id", "_v.*").select(*start.columns)
+
+
 def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], purpose: str) -> None:
     """Process all available input once, batch by batch."""
     (stream.writeStream.foreachBatch(each)

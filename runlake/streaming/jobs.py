@@ -14,15 +14,11 @@ from runlake.operators import fold, transitions
 from runlake.operators.events import event_rows
 from runlake.schema import LOGS, RUNS
 from runlake.sources import dispatch, logs
-from runlake.streaming.batches import read_batches, write_batch
+from runlake.streaming.batches import latest, read_batches, schema_of, write_batch
 
 Writer = Callable[[DataFrame, int], None]
 
 
-def schema_of(df: DataFrame) -> str:
-    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
-
-
 def dispatch_writer(good_dir: str, dead_dir: str) -> Writer:
     """Decode messages; good ones and dead letters go to two folders."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -32,24 +28,20 @@ def dispatch_writer(good_dir: str, dead_dir: str) -> Writer:
     return write
 
 
-def _latest(root: str, batch: DataFrame, start: DataFrame, batch_id: int) -> DataFrame:
-    """The snapshot left by the batch before this one."""
-    if batch_id == 0:
-        return start
-    return batch.sparkSession.read.schema(start.schema).parquet(f"{root}/batch={batch_id - 1}")
-
-
-def claim_writer(runs: DataFrame, snapshots: str, requests: Callable[[DataFrame], DataFrame],
+def claim_writer(runs: DataFrame, changes: str, requests: Callable[[DataFrame], DataFrame],
                  as_of: Column) -> Writer:
     """Let arriving messages claim runs.
 
     A message repeated in a later batch may claim again, as a re-dispatch must,
     so messages are reduced only within their batch; the run's status decides.
+    A batch reads the runs it names and writes those it claims; ``latest`` of the
+    changes gives all runs.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         good, _ = dispatch.split(dispatch.decode(batch))
-        now = _latest(snapshots, batch, runs, batch_id)
-        write_batch(transitions.claim(now, requests(good), as_of).snapshot, snapshots, batch_id)
+        asked = requests(good)
+        now = latest(runs, changes, batch_id, asked.select(F.col("run_id").alias("id")).distinct())
+        write_batch(transitions.claim(now, asked, as_of).changed, changes, batch_id)
     return write
 
 
@@ -89,19 +81,26 @@ def append_writer(target: str) -> Writer:
     return write
 
 
-def state_writer(runs: DataFrame, jobs: DataFrame, snapshots: str,
-                 policy: Policy = DEFAULT_POLICY) -> Writer:
-    """Fold arriving events into the stored runs; event counts add up over batches."""
+def with_counts(runs: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("bigint")
-    start = runs.select(*RUNS).withColumn("accepted", zero).withColumn("rejected", zero)
+    return runs.select(*RUNS).withColumn("accepted", zero).withColumn("rejected", zero)
+
+
+def state_writer(runs: DataFrame, jobs: DataFrame, changes: str,
+                 policy: Policy = DEFAULT_POLICY) -> Writer:
+    """Fold arriving events into the stored runs; event counts add up over batches.
+
+    As with claims, a batch reads and writes only the runs it has events for.
+    """
+    start = with_counts(runs)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        before = _latest(snapshots, batch, start, batch_id)
+        before = latest(start, changes, batch_id, batch.select(F.col("run_id").alias("id")).distinct())
         after = fold.state_fold(before.select(*RUNS), jobs, batch, policy)
         past = before.select("id", F.col("accepted").alias("_a"), F.col("rejected").alias("_r"))
         write_batch(after.join(past, "id").select(
             *RUNS, (F.col("accepted") + F.col("_a")).alias("accepted"),
-            (F.col("rejected") + F.col("_r")).alias("rejected")), snapshots, batch_id)
+            (F.col("rejected") + F.col("_r")).alias("rejected")), changes, batch_id)
     return write
 
 

@@ -10,7 +10,7 @@ from runlake.operators import events, fold, transitions
 from runlake.plans import catalog
 from runlake.sources import dispatch, tables
 from runlake.streaming import jobs as streams
-from runlake.streaming.batches import read_batches, run_available
+from runlake.streaming.batches import latest, read_batches, run_available, schema_of
 
 
 def as_files(spark, df, parts, path):
@@ -35,7 +35,7 @@ def test_log_append_over_batches_keeps_the_first_copy(spark, tmp_path):
     stored = logs(spark, dict(seq=1, line="a"))
     parts = [[("r1", 1, 1, ago(9), "info", "A"), ("r1", 1, 2, ago(9), "info", "b")], [("r1", 1, 2, ago(99), "info", "B"), ("r1", 1, 3, ago(9), "info", "c")]]
     run_available(as_files(spark, stored, parts, tmp_path), streams.log_writer(f"{tmp_path}/out", stored), "t")
-    assert sorted(r.line for r in read_batches(spark, f"{tmp_path}/out", streams.schema_of(stored)).collect()) == ["b", "c"]
+    assert sorted(r.line for r in read_batches(spark, f"{tmp_path}/out", schema_of(stored)).collect()) == ["b", "c"]
 
 
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
@@ -44,7 +44,7 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     one, two = logs(spark, dict(seq=1, line="a")), logs(spark, dict(seq=1, line="x"), dict(seq=2, line="b"))
     for df, n in ((one, 0), (two, 1), (two, 1)):
         write(df, n)
-    assert sorted(r.line for r in read_batches(spark, f"{tmp_path}/out", streams.schema_of(stored)).collect()) == ["a", "b"]
+    assert sorted(r.line for r in read_batches(spark, f"{tmp_path}/out", schema_of(stored)).collect()) == ["a", "b"]
 
 
 def test_state_over_batches_equals_one_fold(spark, tmp_path):
@@ -54,7 +54,7 @@ def test_state_over_batches_equals_one_fold(spark, tmp_path):
     mid = next(i for i in range(len(rows) // 2, len(rows)) if rows[i][1] != rows[i - 1][1])
     stream = as_files(spark, all_events, [rows[:mid], rows[mid:]], tmp_path)
     run_available(stream, streams.state_writer(v.runs, v.jobs, f"{tmp_path}/state"), "t")
-    last = spark.read.parquet(f"{tmp_path}/state/batch=1")
+    last = latest(streams.with_counts(v.runs), f"{tmp_path}/state")
     assert rows_of(last) == rows_of(fold.state_fold(v.runs, v.jobs, all_events).select(*last.columns))
 
 
@@ -65,7 +65,8 @@ def test_a_redispatched_message_may_claim_again_but_a_claimed_run_stays(spark, t
     stream = as_files(spark, raw, [[msg(1, 0, "1"), msg(2, 1, "1"), msg(3, 0, "2")], [msg(4, 2, "1"), msg(5, 2, "2")]], tmp_path)
     ask = lambda good: good.select("run_id", "arrived_at", "offset_no", F.concat(F.lit("w"), F.col("partition_no").cast("string")).alias("worker_id"))
     run_available(stream, streams.claim_writer(table, f"{tmp_path}/out", ask, as_of()), "t")
-    got = {r.id: (r.status, r.worker_id) for r in spark.read.parquet(f"{tmp_path}/out/batch=1").collect()}
+    got = {r.id: (r.status, r.worker_id) for r in latest(table, f"{tmp_path}/out").collect()}
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 1, "only claimed runs are written"
     assert got == {"1": ("RUNNING", "w0"), "2": ("QUEUED", None)}
 
 
@@ -77,7 +78,7 @@ def test_tail_emits_each_event_once_and_ends_after_the_lines(spark, tmp_path):
     run_available(as_files(spark, empty, parts, tmp_path),
                   streams.tail_writer(lambda: next(live), f"{tmp_path}/lines", f"{tmp_path}/events"), "t")
     want = events.event_rows(done, spark.createDataFrame(sum(parts, []), empty.schema))
-    got = read_batches(spark, f"{tmp_path}/events", streams.schema_of(want))
+    got = read_batches(spark, f"{tmp_path}/events", schema_of(want))
     assert rows_of(got.drop("batch")) == rows_of(want)
     assert [r.batch for r in got.filter("event = 'end'").collect()] == [1]
 
@@ -87,7 +88,7 @@ def test_bounded_deduplication(spark, tmp_path):
     parts = [[("r1", 1, 1, ago(9), "info", "a"), ("r1", 1, 1, ago(9), "info", "a")], [("r1", 1, 1, ago(8), "info", "a"), ("r1", 1, 2, ago(8), "info", "b")]]
     stream = streams.distinct_lines(as_files(spark, empty, parts, tmp_path), "1 hour")
     run_available(stream, streams.append_writer(f"{tmp_path}/out"), "t")
-    assert sorted(r.line for r in read_batches(spark, f"{tmp_path}/out", streams.schema_of(empty)).collect()) == ["a", "b"]
+    assert sorted(r.line for r in read_batches(spark, f"{tmp_path}/out", schema_of(empty)).collect()) == ["a", "b"]
 
 
 def test_dead_letters(spark, tmp_path):
