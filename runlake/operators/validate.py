@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from runlake import config
 from runlake.functions import cron, payload, strict_json, zones
 from runlake.operators.keys import pinned
+from runlake.operators.schedule import join_pairs
 
 # Request members.
 MEMBERS = {"name": "variant", "type": "variant", "payload": "variant", "cron_expr": "variant",
@@ -56,8 +57,13 @@ def check_requests(requests: DataFrame, as_of: Column, body: str = "body") -> Da
     df = payload.with_payload(df).drop(*payload.PARSED)
     df = df.withColumn("_zone", F.when(~F.expr(zones.is_known("timezone")), F.concat(
         F.lit('unknown timezone "'), F.col("timezone"), F.lit('"'))))
-    # The next fire is found row by row: no shuffle, and requests are few beside runs.
-    df = cron.with_next(df.withColumn("_cron", F.when(F.col("_zone").isNull(), F.col("cron_expr"))), as_of, "_cron")
+    # The next fire, the dearest rule, is found once per distinct schedule; requests are parsed
+    # a second time for that, which costs far less than a search per request.
+    df = pinned(df)
+    usable = F.col("cron_expr").isNotNull() & F.col("_zone").isNull()
+    pairs = cron.with_next(df.select(F.when(usable, F.col("cron_expr")).alias("cron_expr"),
+                                     F.when(usable, F.col("timezone")).alias("timezone")).distinct(), as_of)
+    df = join_pairs(df, pairs)
 
     def outside(name: str, low: int, high: int) -> Column:
         return F.when((F.col(name) < low) | (F.col(name) > high),
@@ -68,7 +74,7 @@ def check_requests(requests: DataFrame, as_of: Column, body: str = "body") -> Da
         outside("max_retries", 0, config.MAX_MAX_RETRIES), outside("timeout_sec", 1, config.MAX_TIMEOUT_SEC)))
     df = (df.withColumn("max_retries", F.col("max_retries").cast("int"))
           .withColumn("timeout_sec", F.col("timeout_sec").cast("int")))
-    return pinned(df.drop("_shape", "payload_error", "_zone", "_cron", "next_error"))
+    return df.drop("_shape", "payload_error", "_zone", "next_error")
 
 
 def split_requests(checked: DataFrame) -> Requests:
