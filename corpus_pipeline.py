@@ -1,11 +1,34 @@
-"""A training corpus out of raw documents, stage by stage."""
+"""A training corpus out of raw documents, stage by stage.
 
-from pyspark.sql import DataFrame, SparkSession
+Every stage takes all that the one before it kept and returns the columns of the
+documents, extra ones included; the last one returns token ids.
+"""
 
-from runlake.llm import ngram_join
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from runlake.llm import bpe, line_dedup, ngram_join, quality
+from runlake.llm.queries import RANKS, mixed
 from runlake.session import materialize
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on the labelled ones, accepts.
+
+    Rows that share a ``doc_id`` stay if any of them is accepted; a row without ``doc_id`` goes.
+    """
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    good = quality.score(docs, quality.train(docs, labels)).filter(F.col("score") >= quality.ACCEPT)
+    return docs.join(good.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the later occurrences of repeated line windows; a text that loses every line goes with its row."""
+    found = line_dedup.dedup_lines(docs).filter("n_removed = 0 OR n_removed < n_lines")
+    chars = F.when(F.col("n_removed") > 0, F.length("row.text").cast("long")).otherwise(F.col("row.n_chars"))
+    return found.select(*[(chars if c == "n_chars" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near duplicates by five-word shingles go; the document with the smallest ``doc_id`` of each group stays.
 
@@ -14,12 +37,29 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     groups = ngram_join.link_documents(docs)
     gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def sample_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose token shares by source, language and topic are the tempered ones."""
+    return mixed(docs).filter("kept").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, text) of every row; ``text`` is what the ids decode to."""
+    decoded = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("text"))
 
 
-STAGES = [("n-gram Jaccard join", one_of_each_group)]
+STAGES = [
+    ("quality classifier", keep_good),
+    ("line dedup", drop_repeated_lines),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("mixing sources to target weights", sample_to_targets),
+    ("byte-level BPE encoding and decoding", tokenize),
+]
 
-# The classifier is trained and the tokenizer's merges loop, which SQL does not express.
+# A trained classifier, a link closure and merge rounds have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -1,8 +1,14 @@
 """The operators over their whole tables, as the driver calls them: (spark, sf_dir) -> DataFrame."""
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from runlake.llm import ngram_join
+from runlake.llm import bpe, chat, embed_dedup, line_dedup, lm_score, mixing, ngram_join, quality, secrets, simhash
+from runlake.session import materialize
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+# Shares of the whole, raised to these powers, are the mixing targets.
+MIX = {"source": 0.8, "lang": 0.9, "topic": 0.9}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,6 +19,95 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(_table(spark, sf_dir, "documents"), words=4, at_least=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join,)}
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "row.doc_id", "row.text", "n_lines", "n_removed")
+
+
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.link_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
+
+
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(_table(spark, sf_dir, "documents"))
+
+    def of(*kinds):
+        return F.filter("spans", lambda s: s.kind.isin(*kinds))
+    return found.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in secrets.BASE],
+                        F.sha2(secrets.joined(of(*secrets.BASE)), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(_table(spark, sf_dir, "conversations"))
+
+
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without ``doc_id`` have no next document and are left out; a repeated ``doc_id`` gives a row for
+    each of its texts with each of the next one's. ``n_within``: other documents at most ``simhash.RADIUS`` bits
+    away, for ids divisible by 100."""
+    docs = _table(spark, sf_dir, "documents").filter("doc_id IS NOT NULL").select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    chars = docs.select("doc_id", F.length("text").alias("n")).groupBy("doc_id").agg(F.max("n").alias("n"))
+    order = materialize(simhash.next_ids(docs), "order")
+    before = chars.select(F.col("doc_id").alias("prev_id"), F.floor(F.col("n") / 4).cast("int").alias("k"))
+    places = materialize(order.join(before, "prev_id"), "order")
+    texts = docs.join(places, "doc_id")
+    heads = texts.select(F.col("prev_id").alias("doc_id"), F.col("text").substr(F.lit(1), F.col("k")).alias("head"))
+    kept = F.length("text") - F.floor(F.length("text") / 4).cast("int")
+    both = texts.join(heads, "doc_id").select("doc_id", "next_id", "text", F.concat(
+        F.col("text").substr(F.lit(1), kept), F.col("head")).alias("edited"))
+    digests = both.select("doc_id", "next_id", F.length("text").cast("long").alias("n_chars"),
+                          F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64("text").alias("mark"), F.xxhash64("edited").alias("e_mark"))
+    forms = both.select("doc_id", F.inline(F.array(
+        F.struct(F.lit(0).alias("kind"), F.xxhash64("text").alias("mark"), F.col("text")),
+        F.struct(F.lit(1).alias("kind"), F.xxhash64("edited").alias("mark"), F.col("edited").alias("text")))).alias("kind", "mark", "text"))
+    prints = materialize(simhash.fingerprint(forms, ["doc_id", "kind", "mark"]), "fingerprints")
+    whole = prints.filter("kind = 0").drop("kind")
+
+    def named(df: DataFrame, doc: str, mark: str, p: str) -> DataFrame:
+        return df.select(F.col("doc_id").alias(doc), F.col("mark").alias(mark), F.col("high").alias(f"{p}_high"), F.col("low").alias(f"{p}_low"))
+    joined = (digests.join(named(whole, "doc_id", "mark", "own"), ["doc_id", "mark"])
+              .join(named(prints.filter("kind = 1"), "doc_id", "e_mark", "edited"), ["doc_id", "e_mark"])
+              .join(named(whole, "next_id", "next_mark", "next"), "next_id"))
+    halves = {p: (F.col(f"{p}_high"), F.col(f"{p}_low")) for p in ("own", "edited", "next")}
+    near = simhash.within(whole.filter("doc_id % 100 = 0").select("doc_id", "high", "low"), whole.select("high", "low"))
+    near = near.groupBy("doc_id").agg((F.max("n_within") - 1).alias("n_within"))
+    return joined.join(near, "doc_id", "left").select(
+        "doc_id", "n_chars", "edited_sha256", simhash.text_of(*halves["own"]).alias("fingerprint"),
+        simhash.text_of(*halves["edited"]).alias("edited_fingerprint"),
+        simhash.likeness(*halves["own"], *halves["edited"]).alias("near_edited"),
+        simhash.likeness(*halves["own"], *halves["next"]).alias("near_next"), "n_within").distinct()
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN), RANKS)
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(
+        F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    return mixing.mix(docs, {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic(F.col("text"))}, MIX)
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(_table(spark, sf_dir, "documents")).select("row.doc_id", "weight", "probability", "draw", "kept")
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    frequent = lm_score.vocabulary(docs)
+    return lm_score.score(docs, frequent, lm_score.train(docs, frequent))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_jaccard_join, op2_line_dedup, op3_embedding_near_dedup, op4_quality_classifier, op5_secret_scans,
+    op6_chat_formatting, op7_document_fingerprints, op8_byte_bpe, op9_source_mixing, op10_lm_scoring)}
 
-SQL: dict[str, str] = {}
+SQL = {"op2_line_dedup": line_dedup.SQL, "op6_chat_formatting": chat.SQL}
