@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from runlake.session import materialize
 
-ROUNDS, TOLERANCE = 50, 1e-6
+ROUNDS, TOLERANCE = 50, 1e-4
 
 
 def tokens(text: Column) -> Column:

@@ -8,7 +8,7 @@ from runlake.session import materialize
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 # Shares of the whole, raised to these powers, are the mixing targets.
-MIX = {"source": 0.8, "lang": 0.9, "topic": 0.9}
+MIX = {"source": 0.9, "lang": 0.95, "topic": 0.95}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
