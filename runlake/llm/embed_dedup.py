@@ -12,9 +12,9 @@ meets in several lists counts once, as every list counts it in inverse proportio
 C(s, 3), in whole numbers. For each product only the vectors with links come back, with
 their link counts and the smallest vector of their component inside it.
 
-Pivots are a sample of ``PIVOTS`` vectors, those with the smallest hash of ``vec_id``,
-filled up by seeded random directions where a dimension has fewer; they alone reach
-the driver. Every vector is indexed. Recall is below 1 only for pairs whose nearest pivots
+Pivots are chosen from a sample of ``SAMPLE`` vectors, those with the smallest hash of
+``vec_id``, so that they lie well apart around the sample's mean; seeded random directions
+fill up. The sample alone reaches the driver. Every vector is indexed. Recall is below 1 only for pairs whose nearest pivots
 differ much; see the README for figures against brute force.
 
 Defined cases: equal vectors of a label are one entry with a count and are linked with
@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame, functions as F
 from runlake.llm.common import arrow_friendly, components
 from runlake.session import materialize
 
-PIVOTS, NEAREST, SHARED = 256, 7, 3
+PIVOTS, NEAREST, SHARED = 256, 8, 3
+SAMPLE, APART = 1024, 0.6
 BLOCK = 512
 
 
@@ -43,32 +44,55 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def sample_pivots(vectors: DataFrame, n: int = PIVOTS) -> dict[int, np.ndarray]:
-    """Unit pivots by dimension, from ``vectors`` (vec_id, vec)."""
+def choose_pivots(sample: np.ndarray, n: int = PIVOTS) -> tuple[np.ndarray, np.ndarray]:
+    """The centre of a sample and ``n`` unit pivots around it that lie well apart.
+
+    Pivots inside one dense crowd would rank at random among its vectors, so a
+    candidate near a chosen pivot is passed over. Random directions fill up.
+    """
+    dim = sample.shape[1]
+    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    centre = unit.mean(0) if len(unit) else np.zeros(dim)
+    away = unit - centre
+    size = np.linalg.norm(away, axis=1)
+    away = away[size > 1e-9] / size[size > 1e-9, None]
+    fill = np.random.default_rng((3, dim)).normal(size=(n, dim))
+    chosen = np.zeros((0, dim))
+    for p in away:
+        if len(chosen) < n and (not len(chosen) or (chosen @ p).max() < APART):
+            chosen = np.concatenate((chosen, p[None, :]))
+    fill = fill[:n - len(chosen)]
+    return centre, np.concatenate((chosen, fill / np.linalg.norm(fill, axis=1, keepdims=True)))
+
+
+def nearest_pivots(vectors: np.ndarray, centre: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Numbers of each vector's nearest pivots, nearest first."""
+    unit = vectors / np.sqrt((vectors * vectors).sum(1, keepdims=True))
+    return np.argsort(-((unit - centre) @ pivots.T), axis=1, kind="stable")[:, :NEAREST].astype(np.int32)
+
+
+def sample_vectors(vectors: DataFrame, n: int = SAMPLE) -> dict[int, np.ndarray]:
+    """By dimension, the ``n`` of ``vectors`` (vec_id, vec) with the smallest hash of their id."""
     found = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n).select("vec").toArrow().column(0).to_pylist()
     by_size: dict[int, list] = {}
     for v in found:
         by_size.setdefault(len(v), []).append(v)
-    return {d: (x := np.array(v, float)) / np.linalg.norm(x, axis=1, keepdims=True) for d, v in by_size.items()}
-
+    return {d: np.array(v, float) for d, v in by_size.items()}
 
-def filled_up(pivots: dict[int, np.ndarray], dim: int, n: int = PIVOTS) -> np.ndarray:
-    have = pivots.get(dim, np.zeros((0, dim)))
-    more = np.random.default_rng((3, dim)).normal(size=(n - len(have), dim))
-    return np.concatenate((have, more / np.linalg.norm(more, axis=1, keepdims=True)))
 
+def _describe(sample):
+    chosen = {dim: choose_pivots(v) for dim, v in sample.items()}
 
-def _describe(pivots):
     def run(batches):
-        ready = {}
+        ready = dict(chosen)
         for batch in batches:
             sizes = batch.column(1).value_lengths().to_numpy()
             for dim in np.unique(sizes).tolist():
                 at = pa.array(np.flatnonzero(sizes == dim))
                 if dim not in ready:
-                    ready[dim] = filled_up(pivots, dim)
-                near = np.argsort(-(_matrix(batch.column(1).take(at)) @ ready[dim].T), axis=1, kind="stable")[:, :NEAREST]
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(near) + 1) * NEAREST, pa.int32()), pa.array(near.ravel().astype(np.int32)))
+                    ready[dim] = choose_pivots(np.zeros((0, dim)))
+                near = nearest_pivots(_matrix(batch.column(1).take(at)), *ready[dim])
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(near) + 1) * NEAREST, pa.int32()), pa.array(near.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), lists], ["rep", "pivots"])
     return run
 
@@ -126,7 +150,7 @@ def link_vectors(vectors: DataFrame, at_least: float = 0.98) -> DataFrame:
     reps = materialize(reps.select("rep", "label", "dim", "n", "vec"), "vectors")
 
     described = reps.select("rep", "vec").mapInArrow(
-        _describe(sample_pivots(rows.filter("good").select("vec_id", "vec"))), "rep long, pivots array<int>")
+        _describe(sample_vectors(rows.filter("good").select("vec_id", "vec"))), "rep long, pivots array<int>")
     described = materialize(described, "pivots")
     nearest = F.sort_array("pivots")
     triples = F.array(*[F.xxhash64("label", "dim", *[F.get(nearest, i) for i in c]) for c in combinations(range(NEAREST), SHARED)])
