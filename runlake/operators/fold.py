@@ -3,40 +3,37 @@
 Events are (run_id, at, tiebreak, kind, worker_id, attempt, message) of kinds
 claim, heartbeat, finish, fail, release and fail_queued. An event whose guard
 does not hold when its turn comes is counted as rejected and changes nothing.
+A NULL worker owns nothing, and a run without a job can't fail.
 
-Most runs have few events; theirs are sorted and folded inside one row. A run
-with more than ``hot_events`` events is never gathered. For each of its attempts
-two things decide: the first event that starts it and the first one of its owner
-that ends it. Both are minima over the events after a known position, found with
-map-side aggregation, one attempt of all hot runs per pass.
+A run's events are cut in order into chunks of at most ``chunk`` events. Pass k folds
+chunk k of every run that has one inside one row, from the state that the pass before
+left, so a run of any length is never gathered whole and passes follow its events.
+Most runs have one chunk.
 """
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from runlake.config import DEFAULT_POLICY, Policy
 from runlake.functions.cron import struct
-from runlake.operators.lookup import is_final, with_job
-from runlake.schema import QUEUED, RUNNING, RUNS
+from runlake.operators.lookup import with_job
+from runlake.schema import RUNS
 from runlake.session import materialize
 
-HOT_EVENTS = 50_000
+CHUNK = 50_000
 ORDER = ("at", "tiebreak", "kind", "worker_id", "attempt", "message")
-ENDINGS = ("finish", "fail", "release")
 # Folded columns; the others of a run never change.
 STATE = {c: t for c, t in RUNS.items() if c not in ("id", "job_id", "scheduled_time", "trigger")}
 
 
 # What an event does to a run, in the order the guards are tried.
 CLAIM, HEARTBEAT, FINISH, RELEASE, FINAL, AGAIN, FAIL_QUEUED = range(1, 8)
-_OWNED = "s.status = 'RUNNING' AND s.worker_id <=> e.worker_id AND s.attempt = e.attempt"
+_OWNED = "s.status = 'RUNNING' AND s.worker_id = e.worker_id AND s.attempt = e.attempt"
 _ACTION = f"""CASE e.kind
   WHEN 'claim' THEN IF(s.status = 'QUEUED' AND (s.next_attempt_at IS NULL OR s.next_attempt_at <= e.at), {CLAIM}, 0)
   WHEN 'heartbeat' THEN IF({_OWNED}, {HEARTBEAT}, 0)
   WHEN 'finish' THEN IF({_OWNED}, {FINISH}, 0)
   WHEN 'release' THEN IF({_OWNED}, {RELEASE}, 0)
-  WHEN 'fail' THEN IF({_OWNED}, IF(s.attempt > s.max_retries, {FINAL}, {AGAIN}), 0)
+  WHEN 'fail' THEN IF({_OWNED} AND s.max_retries IS NOT NULL, IF(s.attempt > s.max_retries, {FINAL}, {AGAIN}), 0)
   WHEN 'fail_queued' THEN IF(s.status = 'QUEUED', {FAIL_QUEUED}, 0) ELSE 0 END"""
 
 
@@ -76,8 +73,7 @@ _ACC = "struct<" + ", ".join(f"{c}:{t}" for c, t in STATE.items()) \
 
 
 def _initial() -> Column:
-    zero = F.lit(0).cast("bigint")
-    return F.struct(*[F.col(c) for c in STATE], F.col("max_retries"), zero.alias("accepted")).cast(_ACC)
+    return F.struct(*[F.col(c) for c in STATE], "max_retries", "accepted").cast(_ACC)
 
 
 def _prepare(events: DataFrame) -> DataFrame:
@@ -87,117 +83,57 @@ def _prepare(events: DataFrame) -> DataFrame:
     return events.select("run_id", *ORDER)
 
 
-def _fold_gathered(runs: DataFrame, events: DataFrame, policy: Policy) -> DataFrame:
-    """Fold runs whose events fit in a row. ``runs`` carry max_retries."""
+def _in_chunks(events: DataFrame, chunk: int) -> DataFrame:
+    """Add ``_chunk``, 0.. along each run. Events are range-partitioned and ranked inside partitions."""
+    placed = materialize(events.repartitionByRange("run_id", *ORDER).withColumn("_part", F.spark_partition_id()), "fold-events")
+    here = ["run_id", "_part"]
+    earlier = Window.partitionBy("run_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.groupBy(*here).agg(F.count(F.lit(1)).alias("_n")).select(
+        *here, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy(*here).orderBy(*ORDER))
+    ranked = placed.withColumn("_rank", rank).join(before, here)
+    return ranked.withColumn("_chunk", F.floor((F.col("_before") + F.col("_rank") - 1) / chunk)).select("run_id", *ORDER, "_chunk")
+
+
+def _fold(runs: DataFrame, events: DataFrame, policy: Policy, how: str = "left") -> DataFrame:
+    """One pass. ``runs`` carry max_retries, accepted and rejected; with ``how`` inner, only runs with events come back."""
     per_run = (events.groupBy(F.col("run_id").alias("id"))
                .agg(F.array_sort(F.collect_list(F.struct(*ORDER))).alias("_events")))
-    df = runs.join(per_run, "id", "left")
-    df = df.withColumn("_start", _initial())
+    df = runs.join(per_run, "id", how).withColumn("_start", _initial())
     # No events, no fold: the run stays as it is.
     df = df.withColumn("_end", F.expr(
         f"IF(_events IS NULL, _start, aggregate(_events, _start, (s, e) -> {advance(policy)}))"))
-    return df.select(*[F.col(f"_end.{c}").alias(c) if c in STATE else F.col(c) for c in RUNS],
-                     "_end.accepted", F.expr("IF(_events IS NULL, 0, size(_events)) - _end.accepted").alias("rejected"))
-
-
-def _position(e: str = "") -> Column:
-    return F.struct(*[F.col(f"{e}{c}") for c in ORDER])
+    gone = F.expr("IF(_events IS NULL, 0, size(_events)) - (_end.accepted - accepted)")
+    return df.select(*[F.col(f"_end.{c}").alias(c) if c in STATE else F.col(c) for c in RUNS], "max_retries",
+                     "_end.accepted", (F.col("rejected") + gone).alias("rejected"))
 
 
-def _fold_hot(runs: DataFrame, events: DataFrame, policy: Policy) -> DataFrame:
-    """Fold the hot runs attempt by attempt. ``runs`` carry max_retries.
+def state_fold(runs: DataFrame, jobs: DataFrame, events: DataFrame, policy: Policy = DEFAULT_POLICY,
+               chunk: int = CHUNK) -> DataFrame:
+    """All runs after their events, with counts of accepted and rejected events.
 
-    Two passes per attempt, so their number follows the attempts of a run and not
-    its events. Each pass writes one small row per hot run to the shared folder.
+    Runs without a job stay among them. Events of unknown runs have no row to change; see ``unknown_events``.
     """
-    events = materialize(events, "hot-events")
-    pos_type = events.select(_position().alias("p")).schema["p"].dataType
-    zero = F.lit(0).cast("bigint")
-    state = runs.select("*", F.lit(None).cast(pos_type).alias("_pos"), F.lit(False).alias("_stuck"),
-                        zero.alias("_steps"))
-    state = materialize(state, "hot-state")
-    spans = [state.filter(F.col("status") == RUNNING).select(
-        F.col("id").alias("run_id"), "worker_id", "attempt", F.col("_pos").alias("_from"))]
-
-    def step(state: DataFrame, candidates: DataFrame, turn: str) -> DataFrame:
-        """Apply each run's first effective candidate event; runs of this turn without one are stuck."""
-        first = candidates.groupBy(F.col("run_id").alias("id")).agg(F.min("_event").alias("e"))
-        df = state.join(first, "id", "left").withColumn("s", _initial())
-        df = df.withColumn("_n", F.expr(
-            f"IF(e IS NULL, s, {advance(policy)})"))
-        hit = F.col("e").isNotNull()
-        return materialize(df.select(
-            *[F.col(f"_n.{c}").alias(c) if c in STATE else F.col(c) for c in RUNS], "max_retries",
-            F.when(hit, F.col("e").cast(pos_type)).otherwise(F.col("_pos")).alias("_pos"),
-            (F.col("_stuck") | ((F.col("status") == turn) & ~hit)).alias("_stuck"),
-            (F.col("_steps") + F.when(hit, 1).otherwise(0)).alias("_steps")), "hot-state")
-
-    open_runs = ~is_final(F.col("status")) & ~F.col("_stuck")
-    while not state.filter(open_runs).isEmpty():
-        at = state.filter(open_runs).select(
-            F.col("id").alias("run_id"), "status", "next_attempt_at", "_pos",
-            F.col("worker_id").alias("_owner"), F.col("attempt").alias("_attempt"))
-        after = events.join(at, "run_id").withColumn("_event", _position())
-        after = after.filter(F.col("_pos").isNull() | (F.col("_event") > F.col("_pos")))
-        ready = F.col("next_attempt_at").isNull() | (F.col("next_attempt_at") <= F.col("at"))
-        state = step(state, after.filter((F.col("status") == QUEUED) & (
-            (F.col("kind") == "fail_queued") | ((F.col("kind") == "claim") & ready))), QUEUED)
-        started = state.filter((F.col("status") == RUNNING) & ~F.col("_stuck"))
-        spans.append(started.select(
-            F.col("id").alias("run_id"), "worker_id", "attempt", F.col("_pos").alias("_from")))
-        at = started.select(F.col("id").alias("run_id"), "worker_id", "attempt", "_pos")
-        ends = (events.filter(F.col("kind").isin(*ENDINGS)).join(at, ["run_id", "worker_id", "attempt"])
-                .withColumn("_event", _position())
-                .filter(F.col("_pos").isNull() | (F.col("_event") > F.col("_pos"))))
-        state = step(state, ends, RUNNING)
-
-    return _with_heartbeats(state, events, reduce(DataFrame.unionByName, spans).distinct())
-
-
-def _with_heartbeats(state: DataFrame, events: DataFrame, spans: DataFrame) -> DataFrame:
-    """Add the heartbeats each owner sent while it owned its attempt, and the counts."""
-    spans = spans.groupBy("run_id", "worker_id", "attempt").agg(F.min(F.struct("_from")).alias("_from")) \
-        .withColumn("_from", F.col("_from._from"))
-    beats = (events.filter(F.col("kind") == "heartbeat").join(spans, ["run_id", "worker_id", "attempt"])
-             .withColumn("_event", _position())
-             .filter(F.col("_from").isNull() | (F.col("_event") > F.col("_from"))))
-    ends = (events.filter(F.col("kind").isin(*ENDINGS)).join(spans, ["run_id", "worker_id", "attempt"])
-            .withColumn("_event", _position())
-            .filter(F.col("_from").isNull() | (F.col("_event") > F.col("_from")))
-            .groupBy("run_id", "worker_id", "attempt").agg(F.min("_event").alias("_to")))
-    counted = (beats.join(ends, ["run_id", "worker_id", "attempt"], "left")
-               .filter(F.col("_to").isNull() | (F.col("_event") < F.col("_to")))
-               .groupBy("run_id", "worker_id", "attempt")
-               .agg(F.count(F.lit(1)).alias("_beats"), F.max("at").alias("_last")))
-    per_run = counted.groupBy(F.col("run_id").alias("id")).agg(
-        F.sum("_beats").alias("_beats"),
-        F.collect_list(F.struct("attempt", "worker_id", "_last")).alias("_lasts"))
-    totals = events.groupBy(F.col("run_id").alias("id")).agg(F.count(F.lit(1)).alias("_total"))
-    df = state.join(totals, "id").join(per_run, "id", "left")
-    # A run that left RUNNING for the queue has no heartbeat; a final one keeps its owner's last.
-    own = F.filter("_lasts", lambda x: (x["attempt"] == F.col("attempt"))
-                   & x["worker_id"].eqNullSafe(F.col("worker_id")))
-    last = F.try_element_at(own, F.lit(1))["_last"]
-    accepted = F.col("_steps") + F.coalesce("_beats", F.lit(0).cast("bigint"))
-    return df.select(*[
-        F.when(F.col("status") != QUEUED, F.coalesce(last, F.col(c))).otherwise(F.col(c)).alias(c)
-        if c == "last_heartbeat_at" else F.col(c) for c in RUNS],
-        accepted.alias("accepted"), (F.col("_total") - accepted).alias("rejected"))
-
-
-def state_fold(runs: DataFrame, jobs: DataFrame, events: DataFrame, policy: Policy = DEFAULT_POLICY,
-               hot_events: int = HOT_EVENTS) -> DataFrame:
-    """All runs after their events, with counts of accepted and rejected events."""
     events = _prepare(events)
-    runs = with_job(runs, jobs).drop("job_type")
-    hot = (events.groupBy(F.col("run_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
-           .filter(F.col("n") > hot_events).select("id"))
-    if hot.isEmpty():
-        return _fold_gathered(runs, events, policy)
-    hot = materialize(hot, "hot-runs")
-    hot_runs = hot.withColumnRenamed("id", "run_id")
-    cool = _fold_gathered(runs.join(hot, "id", "left_anti"),
-                          events.join(hot_runs, "run_id", "left_anti"), policy)
-    warm = _fold_hot(runs.join(hot, "id", "left_semi"),
-                     events.join(hot_runs, "run_id", "left_semi"), policy)
-    return cool.unionByName(warm)
+    zero = F.lit(0).cast("bigint")
+    state = with_job(runs, jobs, "left").drop("job_type").withColumn("accepted", zero).withColumn("rejected", zero)
+    most = events.groupBy("run_id").count().agg(F.max("count")).first()[0] or 0
+    if most <= chunk:
+        return _fold(state, events, policy).drop("max_retries")
+    events = materialize(_in_chunks(events, chunk), "fold-chunks")
+    long = events.filter("_chunk = 1").select(F.col("run_id").alias("id")).distinct()
+    first = materialize(_fold(state, events.filter("_chunk = 0"), policy), "fold-state")
+    done, state = [first.join(long, "id", "left_anti")], first.join(long, "id", "left_semi")
+    for k in range(1, -(-most // chunk)):
+        step = materialize(_fold(state, events.filter(F.col("_chunk") == k), policy, "inner"), "fold-state")
+        done.append(state.join(step.select("id"), "id", "left_anti"))
+        state = step
+    for rest in done:
+        state = state.unionByName(rest)
+    return state.drop("max_retries")
+
+
+def unknown_events(runs: DataFrame, events: DataFrame) -> DataFrame:
+    """(run_id, n_events) of events whose run isn't known; a NULL run is none."""
+    counts = events.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_events"))
+    return counts.join(runs.select(F.col("id").alias("run_id")), "run_id", "left_anti")
