@@ -12,12 +12,13 @@ list. Parts empty in both sets agree without telling anything; a set with that
 many empty parts adds the segments of a second cut under each empty part, and so on.
 
 1. *Partition.* Sets that share a segment are compared with the smallest document
-   that has it (a star, never all pairs). What links is a component, and a
-   component is dealt into groups of about ``group_size`` members.
-2. *Union.* The matrix holds each group's segments once.
-3. *Bound.* A document's segments are counted in the groups of other components
-   only. Groups below the document's needed overlap stay shut.
-4. *Open.* Members of qualifying groups are compared exactly.
+   that has it (a star, never all pairs), and what links is a component. Sets that met the same
+   smallest document, linked or not, are dealt into groups of about ``group_size``.
+2. *Union.* The matrix holds each group's segments once, beside the components they come from.
+   A segment, or a pair of groups, within one component has nothing left to find.
+3. *Bound.* Two groups whose unions share fewer segments than a linked pair must stay shut; so does,
+   inside an opened pair, a set with too few shingles in the other group's union.
+4. *Open.* The sets that are left are compared exactly, by a product of 0/1 matrices.
 
 Defined cases: a NULL, empty or blank text has an empty set, linked with nothing.
 Rows with equal sets are one set, however many. Rows that share a ``doc_id`` are
@@ -37,15 +38,26 @@ GROUP_SIZE = 64
 _SCHEMES = 128  # a segment's low bits name the size class whose cut made it
 
 
+def _parts(smallest: int, d: int) -> int:
+    """How many parts to cut a set of at least ``smallest`` shingles into, so that more than ``d`` of them rarely stay empty."""
+    def margin(m: int) -> float:
+        empty = (1 - 1 / m) ** smallest
+        return (m * (1 - empty) - d - 0.5) / max(1e-9, (m * empty * (1 - empty)) ** 0.5)
+    if not d:
+        return 1
+    tried = range(d + 1, 3 * d + 4, max(1, d // 50))
+    return next((m for m in tried if margin(m) >= 2.5), max(tried, key=margin))
+
+
 def size_classes(at_least: int):
     """Smallest sizes of the classes, and for each the parts m and the most shingles D in which two linked sets differ."""
     lows, parts, apart, low = [], [], [], 1
     while low < 1 << 40:
-        high = max(low, low * 100 // at_least, low * 7 // 5)
+        high = max(low, low * 100 // at_least, low * 13 // 10)
         d = 2 * high * (100 - at_least) // (100 + at_least)
         lows.append(low)
         apart.append(d)
-        parts.append(d + 1 + d // 8)
+        parts.append(_parts(max(1, low * at_least // 100), d))
         low = high + 1
     assert len(lows) <= _SCHEMES, "a threshold so near to 1 has too many size classes"
     return np.array(lows), np.array(parts, np.uint64), np.array(apart)
@@ -185,6 +197,56 @@ def _verify(words: int, at_least: int):
     return run
 
 
+def _open(words: int, at_least: int):
+    """Compare the sets of one group with those of another (or with each other); rows: side, comp, text."""
+    cells = 1 << 22
+
+    def run(table: pa.Table) -> pa.Table:
+        side, comp = (table.column(c).to_numpy() for c in ("side", "comp"))
+        got = []
+        for _, _, tokens, sizes in _sets(words)(table.column("text").combine_chunks()):
+            got += np.split(tokens, np.cumsum(sizes)[:-1])
+        n = np.array([len(t) for t in got])
+        members = np.flatnonzero(side == side.max())
+        union = np.unique(np.concatenate([got[i] for i in members]))
+        # The bound: a set with too few shingles in the group's union opens none of its members.
+        asked = [i for i in np.flatnonzero(side == 0) if 100 * np.isin(got[i], union, assume_unique=True).sum() >= at_least * n[i] > 0]
+        if not asked:
+            return pa.table({"x": pa.array([], pa.int64()), "y": pa.array([], pa.int64())})
+        common = np.intersect1d(np.unique(np.concatenate([got[i] for i in asked])), union, assume_unique=True)
+        both = np.zeros((len(asked), len(members)), np.float32)
+        width = max(1, cells // (len(asked) + len(members)))
+        for low in range(0, len(common), width):
+            part = common[low:low + width]
+
+            def rows(sets):
+                out = np.zeros((len(sets), len(part)), np.float32)
+                for r, i in enumerate(sets):
+                    out[r, np.searchsorted(part, np.intersect1d(part, got[i], assume_unique=True))] = 1
+                return out
+            both += rows(asked) @ rows(members).T
+        both = np.rint(both).astype(np.int64)
+        linked = 100 * both >= at_least * (n[asked][:, None] + n[members][None, :] - both)
+        x, y = np.nonzero(linked & (both > 0))
+        pairs = np.unique(np.stack((comp[np.array(asked)[x]], comp[members[y]]), 1), axis=0)
+        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+        top = {}
+
+        def find(c):
+            while top.get(c, c) != c:
+                c = top[c]
+            return c
+        keep = []  # a forest over the components is enough
+        for k, (a, b) in enumerate(pairs.tolist()):
+            a, b = find(a), find(b)
+            if a != b:
+                top[a] = b
+                keep.append(k)
+        pairs = pairs[keep]
+        return pa.table({"x": pa.array(pairs[:, 0], pa.int64()), "y": pa.array(pairs[:, 1], pa.int64())})
+    return run
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, words: int, at_least: int) -> DataFrame:
     """The pairs (a, b) whose texts are alike."""
     left, right = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
@@ -226,29 +288,28 @@ def link_documents(docs: DataFrame, words: int = 5, at_least: int = 80, group_si
     near = components(_linked(star, texts, words, at_least), "a", "b")
     near = near.select(F.col("node").alias("rep"), F.col("component").alias("comp"))
 
-    # Groups of similar sets, their unions, and the groups that a set of another component must open.
-    open_keys = (shared.drop("first").join(near, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-                 .withColumn("low", F.min("comp").over(by_key)).withColumn("high", F.max("comp").over(by_key))
-                 .filter("low < high").drop("low", "high"))
-    open_keys = materialize(open_keys, "segments")
-    inside = open_keys.select("comp", "rep", "n_shingles").distinct()
-    blocks = inside.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / group_size).alias("blocks"))
-    groups = materialize(inside.join(blocks, "comp").withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("blocks"))).drop("blocks"), "groups")
-    matrix = open_keys.join(groups.select("rep", "block"), "rep").select(
-        "key", F.col("comp").alias("group_comp"), "block").distinct()
-    scheme = F.expr(f"key & {_SCHEMES - 1}").alias("scheme")
-    opened = (open_keys.join(matrix, "key").filter("comp < group_comp")
-              .groupBy("rep", "n_shingles", "group_comp", "block", scheme)
-              .agg(F.count(F.lit(1)).alias("overlap"), F.max("need").alias("need"))
-              .filter("overlap >= need").select("rep", "n_shingles", "group_comp", "block").distinct())
-    pairs = (opened.join(groups.select(F.col("comp").alias("group_comp"), "block", F.col("rep").alias("b"),
-                                       F.col("n_shingles").alias("n_b")), ["group_comp", "block"])
-             .filter(alike("n_shingles", "n_b")).select(F.col("rep").alias("a"), "b"))
-    across = _linked(pairs, texts, words, at_least)
-    comp_of = groups.select("rep", "comp")
-    across = (across.join(comp_of.select(F.col("rep").alias("a"), F.col("comp").alias("x")), "a")
-              .join(comp_of.select(F.col("rep").alias("b"), F.col("comp").alias("y")), "b").select("x", "y"))
+    # Groups of similar sets: those that met the same smallest one, whether they link or not.
+    open_keys = materialize(
+        shared.join(near, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        .withColumn("low", F.min("comp").over(by_key)).withColumn("high", F.max("comp").over(by_key))
+        .filter("low < high").select("key", "rep", "comp", "need", F.col("first.rep").alias("center")), "segments")
+    inside = open_keys.groupBy("rep", "comp").agg(F.min("center").alias("center"))
+    blocks = inside.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / group_size).alias("blocks"))
+    groups = materialize(inside.join(blocks, "center").select(
+        "rep", "comp", F.xxhash64("center", F.pmod(F.xxhash64("rep"), F.col("blocks"))).alias("gid")), "groups")
+    matrix = materialize(open_keys.join(groups.select("rep", "gid"), "rep").groupBy("key", "gid").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("need").alias("need")), "matrix")
+    left, right = (matrix.select("key", *[F.col(c).alias(f"{c}_{i}") for c in ("gid", "low", "high", "need")]) for i in (0, 1))
+    opened = (left.join(right, "key").filter("gid_0 <= gid_1 AND least(low_0, low_1) < greatest(high_0, high_1)")
+              .groupBy("gid_0", "gid_1", F.expr(f"key & {_SCHEMES - 1}").alias("scheme"))
+              .agg(F.count(F.lit(1)).alias("overlap"), F.min(F.greatest("need_0", "need_1")).alias("need"))
+              .filter("overlap >= need").select("gid_0", "gid_1").distinct())
+    opened = materialize(opened, "opened")
+    inside = groups.select("gid", "comp", F.col("rep").alias("doc_id")).join(texts, "doc_id")
+    ends = opened.select("gid_0", "gid_1", F.inline(F.expr(
+        "filter(array(struct(gid_0 AS gid, 0 AS side), struct(gid_1 AS gid, 1 AS side)), s -> s.side = 0 OR gid_0 <> gid_1)")))
+    across = (ends.join(inside, "gid").select("gid_0", "gid_1", "side", "comp", "text")
+              .groupBy("gid_0", "gid_1").applyInArrow(_open(words, at_least), "x long, y long"))
     joined = components(across, "x", "y").select(F.col("node").alias("comp"), F.col("component").alias("top"))
 
     ids = (one.select("rep").distinct().join(near, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
