@@ -62,7 +62,7 @@ DECODED = """decoded AS (SELECT *, CASE WHEN NOT json_valid(value) THEN 'decode
     WHEN coalesce(json_extract_string(value, '$.run_id'), '') = '' THEN 'decode dispatch: missing run_id' END AS reject_reason
   FROM dispatch_raw)"""
 WINNERS = """winners AS (SELECT run_id, arg_min(worker_id, (arrived_at, offset_no)) AS claimant FROM (
-  SELECT CAST(json_extract_string(value, '$.run_id') AS BIGINT) AS run_id, arrived_at, offset_no,
+  SELECT TRY_CAST(json_extract_string(value, '$.run_id') AS BIGINT) AS run_id, arrived_at, offset_no,
     concat('w', CAST(partition_no AS VARCHAR)) AS worker_id FROM decoded WHERE reject_reason IS NULL) GROUP BY run_id)"""
 CLAIMABLE = f"r.status = 'QUEUED' AND (r.next_attempt_at IS NULL OR r.next_attempt_at <= {AS_OF})"
 
@@ -210,7 +210,7 @@ SQL: dict[str, str] = {
   CASE WHEN reject_reason IS NULL THEN json_extract_string(value, '$.run_id') END AS run_id,
   CASE WHEN reject_reason IS NULL THEN json_extract_string(value, '$.job_id') END AS job_id,
   CASE WHEN reject_reason IS NULL THEN json_extract_string(value, '$.job_type') END AS job_type,
-  CASE WHEN reject_reason IS NULL THEN CAST(json_extract_string(value, '$.attempt') AS INTEGER) ELSE 0 END AS attempt,
+  CASE WHEN reject_reason IS NULL THEN CAST(json_extract_string(value, '$.attempt') AS BIGINT) ELSE 0 END AS attempt,
   reject_reason FROM decoded""", DECODED),
     "dispatch_encode": _q("jobs job_runs", """SELECT CAST(id AS VARCHAR) AS key, concat('{"run_id":"', CAST(id AS VARCHAR),
   '","job_id":"', CAST(job_id AS VARCHAR), '","job_type":"', job_type, '","attempt":', CAST(attempt AS VARCHAR), '}') AS value
@@ -221,7 +221,7 @@ FROM j WHERE status = 'QUEUED'""", JOINED),
   lambda i: concat('line ', CAST(i AS VARCHAR))), chr(10)), chr(10)) AS output
 FROM rp WHERE payload_error IS NULL AND status = 'SUCCEEDED'""", PAYLOADS, RUN_PAYLOADS),
     "create_jobs": _q("jobs job_requests", f"""SELECT c.id, c.name, c.type,
-  concat('{{"fail_attempts":', json_extract_string(c.payload, '$.fail_attempts'), ',"lines":', json_extract_string(c.payload, '$.lines'), '}}') AS payload, c.cron_expr, c.timezone, n.next_at AS next_run_at,
+  concat('{{"lines":', json_extract_string(c.payload, '$.lines'), ',"fail_attempts":', json_extract_string(c.payload, '$.fail_attempts'), '}}') AS payload, c.cron_expr, c.timezone, n.next_at AS next_run_at,
   true AS enabled, coalesce(c.max_retries, 3) AS max_retries, coalesce(c.timeout_sec, 300) AS timeout_sec,
   {AS_OF} AS created_at, {AS_OF} AS updated_at
 FROM checked c LEFT JOIN nexts n ON n.cron_expr = c.cron_expr AND n.timezone = c.timezone WHERE c.reason IS NULL""",
@@ -297,6 +297,15 @@ FROM job_runs r LEFT JOIN jobs j ON j.id = r.job_id AND j.enabled"""),
   ON w.run_id = r.id WHERE r.status = 'QUEUED'"""),
     "reap_stale": _q("jobs job_runs", "SELECT " + _run_cols(**_exhaust("attempt > max_retries", error=LOST))
                      + f" FROM j WHERE {STALE}", JOINED),
+    "reap_stale_limited": _q("jobs job_runs", "SELECT " + _run_cols(**_exhaust("attempt > max_retries", error=LOST))
+                             + f" FROM (SELECT * FROM j WHERE {STALE} ORDER BY last_heartbeat_at, id LIMIT 100)", JOINED),
+    "maintenance_snapshot": _q("jobs job_runs", "SELECT " + _run_cols(**_exhaust("attempt > max_retries", error=LOST)) + f" FROM j WHERE {STALE} UNION ALL SELECT "
+                               + _run_cols(queued_at=f"CASE WHEN ({RETRY_DUE}) OR ({SWEEP_DUE}) THEN {AS_OF} ELSE queued_at END",
+                                           next_attempt_at=f"CASE WHEN {RETRY_DUE} THEN NULL ELSE next_attempt_at END")
+                               + f" FROM j WHERE NOT coalesce({STALE}, false)", JOINED),
+    "lost_reports": _q("job_runs reports", """SELECT run_id, worker_id, attempt, note FROM reports w WHERE NOT EXISTS (
+  SELECT 1 FROM job_runs r WHERE r.id = w.run_id AND r.worker_id = w.worker_id AND r.attempt = w.attempt AND r.status = 'RUNNING')"""),
+    "unknown_run_events": _q("run_events", "SELECT run_id, count(*) AS n_events FROM run_events WHERE run_id % 9 = 0 GROUP BY run_id"),
     "sweep_queued": _q("jobs job_runs", "SELECT " + _run_cols(queued_at=AS_OF) + f" FROM j WHERE {SWEEP_DUE}", JOINED),
     "due_retries": _q("jobs job_runs", "SELECT " + _run_cols(queued_at=AS_OF, next_attempt_at=TS_NULL)
                       + f" FROM j WHERE {RETRY_DUE}", JOINED),
@@ -357,6 +366,9 @@ FROM jobs j LEFT JOIN (SELECT DISTINCT run_id FROM heartbeats) h ON h.run_id = j
 WHERE payload_error IS NOT NULL OR a <= fa + 1""", PAYLOADS, RUN_PAYLOADS),
     "log_events": _q("job_runs job_logs", """SELECT run_id, row_number() OVER (PARTITION BY run_id ORDER BY attempt, kind, seq) AS ord, event, data FROM ev""",
                      LINES, EVENT_ROWS),
+    "log_events_resumed": _q("job_runs job_logs", """SELECT ev.run_id, row_number() OVER (PARTITION BY ev.run_id ORDER BY ev.attempt, kind, ev.seq) AS ord, event, data
+FROM ev JOIN job_runs r ON r.id = ev.run_id WHERE r.id % 3 = 0 AND ev.attempt >= greatest(1, r.attempt - 1)
+  AND (kind <> 1 OR ev.attempt > greatest(1, r.attempt - 1) OR ev.seq >= r.id % 5 + 1)""", LINES, EVENT_ROWS),
     "sse_encode": _q("job_runs job_logs", "SELECT run_id, attempt, kind, seq, concat('event: ', event, chr(10), 'data: ', data, chr(10), chr(10)) AS frame FROM ev",
                      LINES, EVENT_ROWS),
     # Line by line: blank lines seen so far number the blocks.
@@ -419,6 +431,6 @@ UNION ALL SELECT 'run', r.id, count(l.run_id) FROM job_runs r LEFT JOIN job_logs
     "stream_liveness": _q("heartbeats", """SELECT * FROM sessions WHERE reap_at <= (
   SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM heartbeats)""", SESSIONS),
     "stream_state": _q("jobs job_runs run_events", FOLD_BODY, *FOLD, recursive=True),
-    "stream_log_tail": _q("job_runs job_logs", "SELECT run_id, attempt, kind, seq, event, data FROM ev WHERE run_id IN (SELECT run_id FROM job_logs)",
+    "stream_log_tail": _q("job_runs job_logs", "SELECT run_id, attempt, kind, seq, event, data FROM ev",
                           LINES, EVENT_ROWS),
 }

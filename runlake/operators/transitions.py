@@ -58,7 +58,7 @@ def _pick(df: DataFrame, guard: Column, order: str, limit: int | None) -> tuple[
         return df, guard
     picked = (df.filter(guard).orderBy(order, "id").limit(limit)
               .select("id", F.lit(True).alias("_picked")))
-    return df.join(F.broadcast(picked), "id", "left"), F.col("_picked")  # at most ``limit`` ids
+    return df.join(picked, "id", "left"), F.col("_picked")
 
 
 def requeue_values(as_of: Column) -> dict[str, Column]:

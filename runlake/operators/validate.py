@@ -10,7 +10,7 @@ from runlake.operators.keys import pinned
 from runlake.operators.schedule import join_pairs
 
 # Request members.
-MEMBERS = {"name": "variant", "type": "variant", "payload": "variant", "cron_expr": "variant",
+MEMBERS = {"name": "variant", "type": "variant", "payload": "string", "cron_expr": "variant",
            "timezone": "variant", "max_retries": "bigint", "timeout_sec": "bigint"}
 
 
@@ -45,11 +45,15 @@ def check_requests(requests: DataFrame, as_of: Column, body: str = "body") -> Da
         *[F.when(~strict_json.is_text(d[k]), F.lit(f"{k} must be a string"))
           for k in ("name", "type", "cron_expr", "timezone")])
     df = df.withColumn("_shape", F.concat(F.lit("invalid JSON body: "), shape))
+    # The payload's own text is checked, as ``5.0`` and repeated members must be seen. Reading it as text strips
+    # a JSON string of its quotes; what then looks like an object but reads as none was quoted.
+    kind = strict_json.read(raw, "payload struct<_none: string>")
+    quoted = F.coalesce(kind["_bad"].isNotNull() & F.ltrim(d["payload"]).startswith("{"), F.lit(False))
     # Safe values in every row, so that later rules see no broken member.
     ok = F.col("_shape").isNull()
     df = (df.withColumn("name", F.when(ok, _trim(_text(d["name"]))))
           .withColumn("type", F.when(ok, _text(d["type"])))
-          .withColumn("payload", F.when(ok, F.coalesce(F.to_json(d["payload"]), F.lit("{}"))))
+          .withColumn("payload", F.when(ok, F.when(quoted, F.lit('""')).otherwise(F.coalesce(d["payload"], F.lit("{}")))))
           .withColumn("timezone", F.when(ok, F.coalesce(F.nullif(_text(d["timezone"]), F.lit("")), F.lit("UTC"))))
           .withColumn("cron_expr", F.when(ok, F.nullif(_trim(_text(d["cron_expr"])), F.lit(""))))
           .withColumn("max_retries", F.when(ok, d["max_retries"]))
@@ -72,8 +76,9 @@ def check_requests(requests: DataFrame, as_of: Column, body: str = "body") -> Da
     df = df.withColumn("reason", F.coalesce(
         "_shape", F.when(F.col("name") == "", F.lit("name is required")), "payload_error", "_zone", "next_error",
         outside("max_retries", 0, config.MAX_MAX_RETRIES), outside("timeout_sec", 1, config.MAX_TIMEOUT_SEC)))
-    df = (df.withColumn("max_retries", F.col("max_retries").cast("int"))
-          .withColumn("timeout_sec", F.col("timeout_sec").cast("int")))
+    # A rejected number may be beyond INT.
+    df = (df.withColumn("max_retries", F.col("max_retries").try_cast("int"))
+          .withColumn("timeout_sec", F.col("timeout_sec").try_cast("int")))
     return df.drop("_shape", "payload_error", "_zone", "next_error")
 
 

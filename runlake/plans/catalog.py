@@ -66,8 +66,8 @@ class Views:
 
 
 def claim_requests(good: DataFrame) -> DataFrame:
-    """Each message offered by the worker reading its partition."""
-    return good.select(F.col("run_id").cast("bigint").alias("run_id"), "arrived_at", "offset_no",
+    """Each message offered by the worker reading its partition; an id that is no number names no run."""
+    return good.select(F.col("run_id").try_cast("bigint").alias("run_id"), "arrived_at", "offset_no",
                        F.concat(F.lit("w"), F.col("partition_no").cast("string")).alias("worker_id"))
 
 
@@ -106,6 +106,26 @@ def dispatch_encode(v: Views) -> DataFrame:
     return dispatch.encode(queued.withColumnRenamed("id", "run_id"))
 
 
+@query
+def unknown_run_events(v: Views) -> DataFrame:
+    return fold.unknown_events(v.runs.filter(F.col("id") % 9 != 0), v.run_events)
+
+
+@query
+def lost_reports(v: Views) -> DataFrame:
+    return transitions.lost_reports(v.runs, v.reports).select("run_id", "worker_id", "attempt", "note")
+
+
+@query
+def reap_stale_limited(v: Views) -> DataFrame:
+    return transitions.reap_stale(v.runs, v.jobs, v.as_of, limit=100).changed
+
+
+@query
+def maintenance_snapshot(v: Views) -> DataFrame:
+    return maintenance_pass(v.runs, v.jobs, v.as_of).snapshot
+
+
 @query
 def log_append(v: Views) -> DataFrame:
     return log_source.append(log_source.first_copies(v.logs.filter(F.col("level") == "error")), v.logs)
@@ -403,6 +423,14 @@ def log_events(v: Views) -> DataFrame:
     return events.log_events(v.runs, v.logs)
 
 
+@query
+def log_events_resumed(v: Views) -> DataFrame:
+    starts = v.runs.filter(F.col("id") % 3 == 0).select(
+        F.col("id").alias("run_id"), F.greatest(F.lit(1), F.col("attempt") - 1).alias("attempt"),
+        (F.col("id") % 5 + 1).alias("from_seq"))
+    return events.log_events(v.runs, v.logs, starts)
+
+
 @query
 def sse_encode(v: Views) -> DataFrame:
     rows = events.event_rows(v.runs, v.logs)
@@ -556,7 +584,7 @@ def stream_state(v: Views) -> DataFrame:
 
 @query
 def stream_log_tail(v: Views) -> DataFrame:
-    lines, sent = shared_dir(v.spark, "tail-lines"), shared_dir(v.spark, "tail-events")
-    run_available(v.stream("job_logs"), streams.tail_writer(lambda: v.runs, lines, sent), "tail")
+    runs, lines, sent = (shared_dir(v.spark, f"tail-{x}") for x in ("runs", "lines", "events"))
+    run_available(streams.tail_input(v.stream("job_runs"), v.stream("job_logs")), streams.tail_writer(runs, lines, sent), "tail")
     rows = events.event_rows(v.runs, v.logs)
     return read_batches(v.spark, sent, schema_of(rows)).drop("batch")

@@ -33,8 +33,9 @@ def maintenance_pass(runs: DataFrame, jobs: DataFrame, as_of: Column,
             df = df.drop("_hit", "_picked")
         return df
 
-    # Only open runs can be dispatched; finished ones need not be read for that.
-    sent = (steps(runs.filter(F.col("status").isin(QUEUED, RUNNING)))
-            .filter(F.col("source").isNotNull() & (F.col("status") != FAILED)))
-    return Pass(steps(runs).select(*RUNS), sent.select(
+    # Only open runs can change; finished ones are neither joined nor shuffled.
+    is_open = F.coalesce(F.col("status").isin(QUEUED, RUNNING), F.lit(False))
+    after = steps(runs.filter(F.col("status").isin(QUEUED, RUNNING)))
+    sent = (after.filter(F.col("source").isNotNull() & (F.col("status") != FAILED)))
+    return Pass(after.select(*RUNS).unionByName(runs.filter(~is_open).select(*RUNS)), sent.select(
         F.col("id").alias("run_id"), "job_id", "job_type", "status", "attempt", "source"))

@@ -12,7 +12,8 @@ _MEMBERS = "run_id variant, job_id variant, job_type variant, attempt bigint"
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add run_id, job_id, job_type, attempt and ``reject_reason`` (NULL for a good message).
 
-    Members beyond these are allowed; absent ones are empty or zero.
+    Members beyond these are allowed; absent ones are empty or zero. ``attempt`` is a
+    BIGINT, as a message may hold any; it is compared, never narrowed.
     """
     df = messages.withColumn("_m", strict_json.read_whole(F.col(value), _MEMBERS))
     d = F.col("_m.d")
@@ -31,7 +32,7 @@ def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     good = F.col("reject_reason").isNull()
     for name in ("run_id", "job_id", "job_type"):
         df = df.withColumn(name, F.when(good, text(name)))
-    df = df.withColumn("attempt", F.when(good, F.coalesce(d["attempt"], F.lit(0)).cast("int")))
+    df = df.withColumn("attempt", F.when(good, F.coalesce(d["attempt"], F.lit(0))))
     return pinned(df.drop("_m", "_sound"))
 
 

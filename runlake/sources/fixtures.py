@@ -60,8 +60,8 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
     "dispatch_raw": ("events", [
         "event_id AS offset_no", "CAST(event_id % 3 AS INT) AS partition_no", "ts AS arrived_at",
         """CASE event_id % 20 WHEN 0 THEN 'not json' WHEN 1 THEN '{}' WHEN 2 THEN '{"job_id": "job-1"}'
-    ELSE concat('{"run_id": "', CAST(user_id AS STRING), '", "job_id": "j', CAST(user_id % 50 AS STRING),
-                '", "job_type": "generate_text", "attempt": ', CAST(event_id % 4 + 1 AS STRING), '}') END AS value"""]),
+    ELSE concat('{"run_id": "', CASE WHEN event_id % 20 = 4 THEN 'run-' ELSE '' END, CAST(user_id AS STRING), '", "job_id": "j', CAST(user_id % 50 AS STRING),
+                '", "job_type": "generate_text", "attempt": ', CASE WHEN event_id % 20 = 3 THEN '3000000000' ELSE CAST(event_id % 4 + 1 AS STRING) END, '}') END AS value"""]),
     "run_events": ("lineitem", [
         "l_orderkey AS run_id",
         f"{AS_OF} + CAST(l_linenumber AS INT) * INTERVAL '1' SECOND AS at", "l_partkey AS tiebreak",
@@ -105,7 +105,7 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
         """replace(concat('event: ', role, chr(10), 'data: ', replace(text, chr(10), concat(chr(10), 'data: ')), chr(10), chr(10)),
        concat(chr(10), 'data: ', chr(10)), concat(chr(10), chr(10))) AS text"""]),
 }
-WHERE = {"heartbeats": "event_type <> 'error'"}
+WHERE: dict[str, str] = {}
 
 
 def base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -107,21 +107,33 @@ def state_writer(runs: DataFrame, jobs: DataFrame, changes: str,
 EVENT_KEY = ["run_id", "attempt", "kind", "seq"]
 
 
-def tail_writer(runs_now: Callable[[], DataFrame], lines_dir: str, events_dir: str) -> Writer:
-    """Emit the log events that each batch of lines makes known.
-
-    ``runs_now`` reads the current runs; it is read before the lines, and a
-    worker stores its lines before its status, so a finished run's ``end`` never
-    precedes its lines. Only runs the batch touches are looked at.
+def tail_input(runs: DataFrame, lines: DataFrame) -> DataFrame:
+    """One stream of changed runs and of new log lines, for ``tail_writer``."""
+    run, line = (F.struct(*[F.col(c) for c in columns]) for columns in (RUNS, LOGS))
+    run_type, line_type = (f"struct<{schema_of(df.select(*columns)).replace('` ', '`:')}>"
+                           for df, columns in ((runs, RUNS), (lines, LOGS)))
+    return runs.select(run.alias("run"), F.lit(None).cast(line_type).alias("line")).unionByName(
+        lines.select(F.lit(None).cast(run_type).alias("run"), line.alias("line")))
+
+
+def tail_writer(runs_dir: str, lines_dir: str, events_dir: str) -> Writer:
+    """Emit the log events that each batch of changed runs and new lines makes known.
+
+    A batch stores both and looks at the runs that either names, so a run's ``end`` comes
+    with its last status even where no line follows, and a run without lines has its
+    markers. A worker stores its lines before its status, so where inputs keep that order an ``end`` never
+    precedes its lines; the set of events is the same in any order.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        touched = batch.select("run_id").distinct()
-        runs = runs_now().join(touched.withColumnRenamed("run_id", "id"), "id", "left_semi")
-        log_writer(lines_dir, batch.limit(0))(batch, batch_id)
-        line_schema = schema_of(batch.select(*LOGS))
-        stored = read_batches(spark, lines_dir, line_schema, batch_id + 1).select(*LOGS)
-        rows = event_rows(runs, stored.join(touched, "run_id", "left_semi"))
+        changed = batch.filter("run IS NOT NULL").select("run.*")
+        arrived = batch.filter("line IS NOT NULL").select("line.*")
+        write_batch(changed, runs_dir, batch_id)
+        log_writer(lines_dir, arrived.limit(0))(arrived, batch_id)
+        touched = changed.select("id").unionByName(arrived.select(F.col("run_id").alias("id"))).distinct()
+        runs = latest(changed.limit(0), runs_dir, batch_id + 1, touched)
+        stored = read_batches(spark, lines_dir, schema_of(arrived), batch_id + 1).select(*LOGS)
+        rows = event_rows(runs, stored.join(touched.withColumnRenamed("id", "run_id"), "run_id", "left_semi"))
         if batch_id > 0:
             sent = read_batches(spark, events_dir, schema_of(rows), batch_id)
             rows = rows.join(sent.select(*EVENT_KEY), EVENT_KEY, "left_anti")

@@ -71,16 +71,19 @@ def test_a_redispatched_message_may_claim_again_but_a_claimed_run_stays(spark, t
 
 
 def test_tail_emits_each_event_once_and_ends_after_the_lines(spark, tmp_path):
-    done = runs(spark, dict(status="SUCCEEDED", attempt=2))
-    empty = logs(spark)
-    parts = [[("r1", 1, 1, ago(9), "info", "a1")], [("r1", 1, 2, ago(8), "info", "a2"), ("r1", 2, 1, ago(7), "info", "b1")]]
-    live = iter([runs(spark, dict(status="RUNNING", worker_id="w", attempt=1)), done])
-    run_available(as_files(spark, empty, parts, tmp_path),
-                  streams.tail_writer(lambda: next(live), f"{tmp_path}/lines", f"{tmp_path}/events"), "t")
-    want = events.event_rows(done, spark.createDataFrame(sum(parts, []), empty.schema))
+    """Four batches: a line while RUNNING, more lines, the status alone, and a run that never writes a line."""
+    running, done = runs(spark, dict(status="RUNNING", worker_id="w", attempt=1)), runs(spark, dict(status="SUCCEEDED", attempt=2))
+    quiet = runs(spark, dict(id="r2", status="FAILED", error="no"))
+    empty, none = logs(spark), runs(spark).limit(0)
+    lines = [[("r1", 1, 1, ago(9), "info", "a1")], [("r1", 1, 2, ago(8), "info", "a2"), ("r1", 2, 1, ago(7), "info", "b1")]]
+    batches = [(running, lines[0]), (none, lines[1]), (done, []), (quiet, [])]
+    write = streams.tail_writer(*(f"{tmp_path}/{x}" for x in ("runs", "lines", "events")))
+    for n, (run_rows, line_rows) in enumerate([*batches[:3], batches[2], batches[3]]):  # one batch is replayed
+        write(streams.tail_input(run_rows, spark.createDataFrame(line_rows, empty.schema)), min(n, 2) if n < 4 else 3)
+    want = events.event_rows(done.unionByName(quiet), spark.createDataFrame(sum(lines, []), empty.schema))
     got = read_batches(spark, f"{tmp_path}/events", schema_of(want))
     assert rows_of(got.drop("batch")) == rows_of(want)
-    assert [r.batch for r in got.filter("event = 'end'").collect()] == [1]
+    assert sorted((r.run_id, r.batch) for r in got.filter("event = 'end'").collect()) == [("r1", 2), ("r2", 3)]
 
 
 def test_bounded_deduplication(spark, tmp_path):
