@@ -53,7 +53,7 @@ def with_payload(df: DataFrame, job_type: str = "type", payload: str = "payload"
         value = (F.coalesce(F.nullif(strict_json.text_of(p["prefix"]), F.lit("")), F.lit("line"))
                  if name == "prefix" else number[name].cast("int"))
         df = df.withColumn(name, F.when(ok, value))
-    return pinned(df.drop("_p", "_extra"))
+    return pinned(df.drop("_p", "_extra"), ["payload_error", *PARSED])
 
 
 def expected_error(attempt: Column) -> Column:

@@ -56,7 +56,8 @@ def number_in_order(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*place).orderBy("seq")))
     earlier = Window.partitionBy("run_id").orderBy("attempt", "kind", "_block").rowsBetween(
         Window.unboundedPreceding, -1)
-    sizes = (rows.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
+    # The last rank of a block is its size; taken from the ranked rows, their exchange is used twice.
+    sizes = (ranked.groupBy(*place).agg(F.max("_rank").alias("_n"))
              .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0).cast("bigint"))))
     return (ranked.join(sizes.drop("_n"), place)
             .withColumn("ord", F.col("_before") + F.col("_rank")).drop("_block", "_rank", "_before"))

@@ -8,13 +8,15 @@ row per map task.
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def pinned(df: DataFrame) -> DataFrame:
-    """The same rows, with filters added later kept above the columns computed so far.
+def pinned(df: DataFrame, computed=None) -> DataFrame:
+    """The same rows, with filters on the ``computed`` columns (all, if not given) kept above their computation.
 
     Otherwise a filter on a derived column is rewritten in terms of the scan and
-    repeats the parsing it depends on, once per mention.
+    repeats the parsing it depends on, once per mention. Filters on other columns
+    still reach the scan. Computed columns come last.
     """
-    return df.select(F.inline(F.array(F.struct(*df.columns))))
+    computed = list(df.columns if computed is None else computed)
+    return df.select(*[c for c in df.columns if c not in computed], F.inline(F.array(F.struct(*computed))))
 
 
 def first_per_key(df: DataFrame, keys, order) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from runlake.functions import cron, zones
 from runlake.operators.inserts import insert_occurrences
-from runlake.operators.keys import overwrite
+from runlake.operators.keys import overwrite, pinned
 from runlake.schema import JOBS
 
 PAIR = ("cron_expr", "timezone")
@@ -59,7 +59,7 @@ def pair_occurrences(schedules: DataFrame, start: Column, end: Column) -> DataFr
 
     ``@every`` counts its steps from ``start``. Bad schedules have no fires.
     """
-    df = parse_pairs(schedules).filter(F.expr(f"cron.error IS NULL AND {zones.is_known('timezone')}"))
+    df = pinned(parse_pairs(schedules), ["cron"]).filter(F.expr(f"cron.error IS NULL AND {zones.is_known('timezone')}"))
     df = df.select(*PAIR, "cron", F.coalesce("cron.zone", "timezone").alias("_tz"),
                    start.alias("_start"), end.alias("_end"))
     inside = "c -> c * 1000000 >= unix_micros(_start) AND c * 1000000 < unix_micros(_end)"

@@ -63,7 +63,7 @@ def check_requests(requests: DataFrame, as_of: Column, body: str = "body") -> Da
         F.lit('unknown timezone "'), F.col("timezone"), F.lit('"'))))
     # The next fire, the dearest rule, is found once per distinct schedule; requests are parsed
     # a second time for that, which costs far less than a search per request.
-    df = pinned(df)
+    df = pinned(df, [c for c in df.columns if c in MEMBERS or c not in requests.columns])
     usable = F.col("cron_expr").isNotNull() & F.col("_zone").isNull()
     pairs = cron.with_next(df.select(F.when(usable, F.col("cron_expr")).alias("cron_expr"),
                                      F.when(usable, F.col("timezone")).alias("timezone")).distinct(), as_of)

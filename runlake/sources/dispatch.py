@@ -33,7 +33,7 @@ def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     for name in ("run_id", "job_id", "job_type"):
         df = df.withColumn(name, F.when(good, text(name)))
     df = df.withColumn("attempt", F.when(good, F.coalesce(d["attempt"], F.lit(0))))
-    return pinned(df.drop("_m", "_sound"))
+    return pinned(df.drop("_m", "_sound"), ["run_id", "job_id", "job_type", "attempt", "reject_reason"])
 
 
 def split(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

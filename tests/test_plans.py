@@ -7,11 +7,11 @@ from conftest import SF
 from helpers import ago, as_of, jobs, logs, running, runs
 from pyspark.sql import functions as F
 
-from runlake.operators import lookup, transitions
+from runlake.operators import lookup, transitions, validate
 from runlake.operators.inserts import first_occurrences
 from runlake.plans import catalog
 from runlake.plans.maintenance import maintenance_pass
-from runlake.sources import tables
+from runlake.sources import dispatch, tables
 
 
 def plan(df):
@@ -71,6 +71,20 @@ def test_top_k_per_job_is_limited_before_the_shuffle(stored):
     assert text.rindex("WindowGroupLimit") > exchange, "the partial limit sits below the shuffle"
 
 
+def test_filters_on_raw_columns_reach_the_scan(spark, tmp_path):
+    spark.sql("SELECT 1L AS offset_no, '{}' AS value").write.parquet(f"{tmp_path}/m")
+    text = plan(dispatch.decode(spark.read.parquet(f"{tmp_path}/m")).filter("offset_no = 7"))
+    assert "EqualTo(offset_no,7)" in text
+    spark.sql("SELECT 1L AS id, '{}' AS body").write.parquet(f"{tmp_path}/r")
+    text = plan(validate.check_requests(spark.read.parquet(f"{tmp_path}/r"), as_of()).filter("id = 7"))
+    assert "EqualTo(id,7)" in text
+
+
+def test_a_snapshot_joins_open_runs_only(stored):
+    text = plan(maintenance_pass(stored[1], stored[0], as_of()).snapshot)
+    assert "Union" in text and re.search(r"PartitionFilters: \[.*status#\d+ IN \(QUEUED,RUNNING\)", text)
+
+
 def test_first_copies_are_reduced_before_the_shuffle(stored):
     text = plan(first_occurrences(stored[1]))
     assert text.count("partial_min") >= 1
