@@ -14,7 +14,7 @@ from runlake.operators import fold, transitions
 from runlake.operators.events import event_rows
 from runlake.schema import LOGS, RUNS
 from runlake.sources import dispatch, logs
-from runlake.streaming.batches import latest, read_batches, schema_of, write_batch
+from runlake.streaming.batches import latest, read_batches, schema_of, write_batch, write_changes
 
 Writer = Callable[[DataFrame, int], None]
 
@@ -41,7 +41,7 @@ def claim_writer(runs: DataFrame, changes: str, requests: Callable[[DataFrame],
         good, _ = dispatch.split(dispatch.decode(batch))
         asked = requests(good)
         now = latest(runs, changes, batch_id, asked.select(F.col("run_id").alias("id")).distinct())
-        write_batch(transitions.claim(now, asked, as_of).changed, changes, batch_id)
+        write_changes(transitions.claim(now, asked, as_of).changed, changes, batch_id)
     return write
 
 
@@ -98,7 +98,7 @@ def state_writer(runs: DataFrame, jobs: DataFrame, changes: str,
         before = latest(start, changes, batch_id, batch.select(F.col("run_id").alias("id")).distinct())
         after = fold.state_fold(before.select(*RUNS), jobs, batch, policy)
         past = before.select("id", F.col("accepted").alias("_a"), F.col("rejected").alias("_r"))
-        write_batch(after.join(past, "id").select(
+        write_changes(after.join(past, "id").select(
             *RUNS, (F.col("accepted") + F.col("_a")).alias("accepted"),
             (F.col("rejected") + F.col("_r")).alias("rejected")), changes, batch_id)
     return write
@@ -128,7 +128,7 @@ def tail_writer(runs_dir: str, lines_dir: str, events_dir: str) -> Writer:
         spark = batch.sparkSession
         changed = batch.filter("run IS NOT NULL").select("run.*")
         arrived = batch.filter("line IS NOT NULL").select("line.*")
-        write_batch(changed, runs_dir, batch_id)
+        write_changes(changed, runs_dir, batch_id)
         log_writer(lines_dir, arrived.limit(0))(arrived, batch_id)
         touched = changed.select("id").unionByName(arrived.select(F.col("run_id").alias("id"))).distinct()
         runs = latest(changed.limit(0), runs_dir, batch_id + 1, touched)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from runlake.operators import events, fold, transitions
 from runlake.plans import catalog
 from runlake.sources import dispatch, tables
-from runlake.streaming import jobs as streams
+from runlake.streaming import batches, jobs as streams
 from runlake.streaming.batches import latest, read_batches, run_available, schema_of
 
 
@@ -58,6 +58,23 @@ def test_state_over_batches_equals_one_fold(spark, tmp_path):
     assert rows_of(last) == rows_of(fold.state_fold(v.runs, v.jobs, all_events).select(*last.columns))
 
 
+def test_many_batches_with_compaction_equal_one_fold(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(batches, "COMPACT_EVERY", 2)
+    v = catalog.Views(spark, SF)
+    table, all_events = v.runs.filter("id < 400"), v.run_events.filter("run_id < 400")
+    rows = sorted(map(tuple, all_events.collect()), key=lambda r: (r[1], r[2]))
+    cuts = [0, *sorted({next((i for i in range(len(rows) * k // 7, len(rows)) if rows[i][1] != rows[i - 1][1]), len(rows)) for k in range(1, 7)}), len(rows)]
+    write, read = streams.state_writer(table, v.jobs, f"{tmp_path}/s"), []
+    for n, (low, high) in enumerate(zip(cuts, cuts[1:])):
+        write(spark.createDataFrame(rows[low:high], all_events.schema), n)
+        read.append(len(batches._changes(spark, f"{tmp_path}/s", schema_of(streams.with_counts(table)), n + 1).inputFiles()))
+    assert len(read) >= 4 and rows_of(latest(streams.with_counts(table), f"{tmp_path}/s")) == rows_of(latest(
+        streams.with_counts(table), f"{tmp_path}/s", len(read)))
+    last = latest(streams.with_counts(table), f"{tmp_path}/s", len(read))
+    assert rows_of(last) == rows_of(fold.state_fold(table, v.jobs, all_events).select(*last.columns))
+    assert max(read[3:]) <= max(read[:3]), "a later batch reads no more files than an early one"
+
+
 def test_a_redispatched_message_may_claim_again_but_a_claimed_run_stays(spark, tmp_path):
     table = runs(spark, dict(id="1"), dict(id="2", next_attempt_at=ago(-5), scheduled_time=ago(1)))
     raw = spark.createDataFrame([], "offset_no long, partition_no int, arrived_at timestamp, value string")
