@@ -306,6 +306,10 @@ FROM job_runs r LEFT JOIN jobs j ON j.id = r.job_id AND j.enabled"""),
     "lost_reports": _q("job_runs reports", """SELECT run_id, worker_id, attempt, note FROM reports w WHERE NOT EXISTS (
   SELECT 1 FROM job_runs r WHERE r.id = w.run_id AND r.worker_id = w.worker_id AND r.attempt = w.attempt AND r.status = 'RUNNING')"""),
     "unknown_run_events": _q("run_events", "SELECT run_id, count(*) AS n_events FROM run_events WHERE run_id % 9 = 0 GROUP BY run_id"),
+    "fire_errors": _q("jobs", f"""SELECT id AS job_id, 'invalid cron_expr: expected exactly 5 fields, found 3: [now and then]' AS error
+FROM jobs WHERE id % 11 = 0 AND enabled AND next_run_at <= {AS_OF}"""),
+    "resume_errors": _q("jobs", """SELECT id AS job_id, 'compute next run: invalid cron_expr: expected exactly 5 fields, found 3: [now and then]' AS error
+FROM jobs WHERE id % 11 = 0 AND id % 3 > 0"""),
     "sweep_queued": _q("jobs job_runs", "SELECT " + _run_cols(queued_at=AS_OF) + f" FROM j WHERE {SWEEP_DUE}", JOINED),
     "due_retries": _q("jobs job_runs", "SELECT " + _run_cols(queued_at=AS_OF, next_attempt_at=TS_NULL)
                       + f" FROM j WHERE {RETRY_DUE}", JOINED),

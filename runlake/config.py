@@ -26,7 +26,6 @@ class Policy:
     sweep_after: int = 60
     retry_base: int = 5
     retry_cap: int = 300
-    heartbeat_every: int = 3
 
 
 DEFAULT_POLICY = Policy()

@@ -117,11 +117,6 @@ def fire_due_jobs(jobs: DataFrame, runs: DataFrame, as_of: Column) -> Fired:
     return Fired(runs.unionByName(queued), idle.unionByName(advanced), dispatches, errors)
 
 
-def fired_runs(jobs: DataFrame, runs: DataFrame, as_of: Column) -> DataFrame:
-    """Only the dispatches of ``fire_due_jobs``."""
-    return fire_due_jobs(jobs, runs, as_of).dispatches
-
-
 def pause_resume(jobs: DataFrame, requests: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:
     """Apply (job_id, enabled) requests, one per job. Returns (jobs, errors).
 

@@ -431,6 +431,22 @@ def log_events_resumed(v: Views) -> DataFrame:
     return events.log_events(v.runs, v.logs, starts)
 
 
+def _broken(v: Views) -> DataFrame:
+    """Jobs of which every eleventh has a schedule that can't be read."""
+    return v.jobs.withColumn("cron_expr", F.when(F.col("id") % 11 == 0, "now and then").otherwise(F.col("cron_expr")))
+
+
+@query
+def fire_errors(v: Views) -> DataFrame:
+    return schedule.fire_due_jobs(_broken(v), v.runs, v.as_of).errors
+
+
+@query
+def resume_errors(v: Views) -> DataFrame:
+    asked = v.jobs.select(F.col("id").alias("job_id"), (F.col("id") % 3 > 0).alias("enabled"))
+    return schedule.pause_resume(_broken(v), asked, v.as_of)[1]
+
+
 @query
 def sse_encode(v: Views) -> DataFrame:
     rows = events.event_rows(v.runs, v.logs)

@@ -14,8 +14,3 @@ def succeeded_outputs(runs: DataFrame) -> DataFrame:
 def write_outputs(outputs: DataFrame, path: str, mode: str = "error") -> None:
     """Parquet of (run_id, output): one file per task, not one small file per run."""
     outputs.write.mode(mode).parquet(path)
-
-
-def write_text_outputs(outputs: DataFrame, path: str, mode: str = "error") -> None:
-    """A folder per run holding its text, for readers that want plain files."""
-    outputs.select("run_id", "output").write.mode(mode).option("lineSep", "").partitionBy("run_id").text(path)
