@@ -16,8 +16,9 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def arrow_friendly(spark):
-    """Small Arrow batches, so that very long texts don't add up in a worker."""
+    """Small Arrow batches, so that very long texts don't add up in a worker; hot join keys are split."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 
