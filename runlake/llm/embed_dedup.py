@@ -6,8 +6,9 @@ vector's nearest pivots: two vectors meet in C(s, 3) lists if they share s pivot
 they meet at all exactly if the shared-pivot count is 3 or more. What meets is
 verified by cosine in double precision; nothing is capped.
 
-A list is worked through in blocks of about ``BLOCK`` vectors, two blocks at a time,
-each pair of blocks a task's matrix product: no pair of vectors is ever a row. A pair that
+A list is worked through in blocks of about ``BLOCK`` vectors, two blocks at a time, by
+matrix products: no pair of vectors is ever a row. Short lists share tasks. By chance two unrelated vectors of
+a label meet with probability near C(8, 3)^2 / C(``PIVOTS``, 3); more rows call for more pivots. A pair that
 meets in several lists counts once, as every list counts it in inverse proportion to
 C(s, 3), in whole numbers. For each product only the vectors with links come back, with
 their link counts and the smallest vector of their component inside it.
@@ -30,12 +31,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from runlake.llm.common import arrow_friendly, components
+from runlake.llm.common import arrow_friendly, components, starts_of
 from runlake.session import materialize
 
-PIVOTS, NEAREST, SHARED = 256, 8, 3
-SAMPLE, APART = 1024, 0.6
-BLOCK = 512
+PIVOTS, NEAREST, SHARED = 1024, 8, 3
+SAMPLE, APART = 2048, 0.6
+BLOCK, TASK_ROWS = 512, 4096
 
 
 def _matrix(column) -> np.ndarray:
@@ -56,19 +57,21 @@ def choose_pivots(sample: np.ndarray, n: int = PIVOTS) -> tuple[np.ndarray, np.n
     away = unit - centre
     size = np.linalg.norm(away, axis=1)
     away = away[size > 1e-9] / size[size > 1e-9, None]
-    fill = np.random.default_rng((3, dim)).normal(size=(n, dim))
-    chosen = np.zeros((0, dim))
+    pivots, k = np.random.default_rng((3, dim)).normal(size=(n, dim)), 0
+    pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
     for p in away:
-        if len(chosen) < n and (not len(chosen) or (chosen @ p).max() < APART):
-            chosen = np.concatenate((chosen, p[None, :]))
-    fill = fill[:n - len(chosen)]
-    return centre, np.concatenate((chosen, fill / np.linalg.norm(fill, axis=1, keepdims=True)))
+        if k < n and (not k or (pivots[:k] @ p).max() < APART):
+            pivots[k] = p
+            k += 1
+    return centre, pivots
 
 
 def nearest_pivots(vectors: np.ndarray, centre: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """Numbers of each vector's nearest pivots, nearest first."""
     unit = vectors / np.sqrt((vectors * vectors).sum(1, keepdims=True))
-    return np.argsort(-((unit - centre) @ pivots.T), axis=1, kind="stable")[:, :NEAREST].astype(np.int32)
+    far = -((unit - centre) @ pivots.T)
+    near = np.argpartition(far, NEAREST, axis=1)[:, :NEAREST]
+    return np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, 1), axis=1, kind="stable"), 1).astype(np.int32)
 
 
 def sample_vectors(vectors: DataFrame, n: int = SAMPLE) -> dict[int, np.ndarray]:
@@ -112,26 +115,42 @@ def _compare(at_least: float):
     weights = np.array([0] * SHARED + [lcm(*(comb(s, SHARED) for s in range(SHARED, NEAREST + 1))) // comb(s, SHARED)
                                        for s in range(SHARED, NEAREST + 1)])
 
-    def links(table: pa.Table) -> pa.Table:
-        """``table``: (bucket pair's i, j; rows' block, rep, n, pivots, vec). Out: rep, share of links, component."""
-        table = table.combine_chunks()
-        ids, n, block = (table.column(c).to_numpy() for c in ("rep", "n", "block"))
-        i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
-        x = _matrix(table.column("vec").combine_chunks())
-        pivots = _matrix(table.column("pivots").combine_chunks()).astype(int)
-        _, codes = np.unique(pivots, return_inverse=True)
-        has = np.zeros((len(ids), codes.max() + 1), np.float32)
-        has[np.arange(len(ids))[:, None], codes.reshape(pivots.shape)] = 1
-        shared = np.rint(has @ has.T).astype(int)
-        length = np.sqrt((x * x).sum(1))
-        linked = (x @ x.T) / (length[:, None] * length[None, :]) >= at_least
+    def within(block, whole, n, ids, pivots, x):
+        """Links inside one list, or between two of its blocks: rows, shares, components."""
+        linked = x @ x.T >= at_least  # rows of x have length 1
         np.fill_diagonal(linked, False)
-        if i != j:  # pairs within a block are met where it is paired with itself
+        if not whole:  # pairs within a block are met where it is paired with itself
             linked &= block[:, None] != block[None, :]
-        share = (np.where(linked, weights[shared], 0) @ n).astype(np.int64)
         keep = np.flatnonzero(linked.any(1))
-        low = _components(linked[np.ix_(keep, keep)], ids[keep])
-        return pa.table({"rep": pa.array(ids[keep], pa.int64()), "share": pa.array(share[keep], pa.int64()), "low": pa.array(low, pa.int64())})
+        if not len(keep):
+            return keep, keep, keep
+        linked, pivots = linked[np.ix_(keep, keep)], pivots[keep]
+        _, codes = np.unique(pivots, return_inverse=True)
+        has = np.zeros((len(keep), codes.max() + 1), np.float32)
+        has[np.arange(len(keep))[:, None], codes.reshape(pivots.shape)] = 1
+        shared = np.rint(has @ has.T).astype(int)
+        return keep, np.where(linked, weights[shared], 0) @ n[keep], _components(linked, ids[keep])
+
+    def links(table: pa.Table) -> pa.Table:
+        """``table``: rows of some lists (key, i, j, block, rep, n, pivots, vec). Out: rep, share of links, component."""
+        key, i, j = (table.column(c).to_numpy() for c in ("key", "i", "j"))
+        order = np.lexsort((j, i, key))
+        table = table.take(pa.array(order)).combine_chunks()
+        key, i, j, block, ids, n = (table.column(c).to_numpy() for c in ("key", "i", "j", "block", "rep", "n"))
+        vectors = table.column("vec").combine_chunks()
+        values, ends = vectors.flatten().to_numpy(zero_copy_only=False).astype(float), np.concatenate(
+            ([0], np.cumsum(vectors.value_lengths().to_numpy())))
+        pivots = _matrix(table.column("pivots").combine_chunks()).astype(int)
+        begins = starts_of(key, i, j)
+        rows, shares, lows = [], [], []
+        for low, high in zip(begins.tolist(), [*begins[1:].tolist(), len(key)]):
+            x = values[ends[low]:ends[high]].reshape(high - low, -1)
+            x = x / np.sqrt((x * x).sum(1, keepdims=True))
+            keep, share, label = within(block[low:high], i[low] == j[low], n[low:high], ids[low:high], pivots[low:high], x)
+            rows.append(ids[low + keep])
+            shares.append(share)
+            lows.append(label)
+        return pa.table({c: pa.array(np.concatenate(v).astype(np.int64)) for c, v in (("rep", rows), ("share", shares), ("low", lows))})
     return links, int(weights[SHARED])
 
 
@@ -155,16 +174,19 @@ def link_vectors(vectors: DataFrame, at_least: float = 0.98) -> DataFrame:
     nearest = F.sort_array("pivots")
     triples = F.array(*[F.xxhash64("label", "dim", *[F.get(nearest, i) for i in c]) for c in combinations(range(NEAREST), SHARED)])
     lists = materialize(described.join(reps.select("rep", "label", "dim"), "rep").select("rep", F.explode(triples).alias("key")), "lists")
-    long = lists.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    entries = lists.join(long, "key").select("rep", "key", blocks.alias("blocks")).withColumn(
-        "block", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int"))
+    long = lists.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").withColumn(
+        "blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    entries = materialize(lists.join(long, "key").select("rep", "key", "blocks"), "lists")
+    entries = entries.withColumn("block", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int"))
+    # Lists of one block share tasks; a longer one has a task for each pair of its blocks.
+    short = entries.filter("blocks = 1").count()
+    shared = F.pmod(F.xxhash64("key"), F.lit(max(1, short // TASK_ROWS)))
     entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    entries = (entries.select("rep", "key", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-               .join(described, "rep").join(reps.select("rep", "n", "vec"), "rep"))
+    entries = entries.select("rep", "key", "blocks", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    entries = entries.withColumn("task", F.when(F.col("blocks") == 1, shared).otherwise(F.xxhash64("key", "i", "j")))
+    entries = entries.drop("blocks").join(described, "rep").join(reps.select("rep", "n", "vec"), "rep")
     compare, unit = _compare(at_least)
-    met = materialize(entries.groupBy("key", "i", "j").applyInArrow(compare, "rep long, share long, low long"), "links")
+    met = materialize(entries.groupBy("task").applyInArrow(compare, "rep long, share long, low long"), "links")
 
     first_of = classes.select("rep", "first")
     edges = met.select("rep", "low").distinct().join(first_of, "rep").join(

@@ -62,7 +62,7 @@ def test_recall_near_the_threshold():
     """Pairs at cosine 0.98 to 0.985, the hardest to find, share three of their nearest pivots nearly always."""
     rng = np.random.default_rng(4)
     for dim in (64, 256):
-        x = rng.normal(size=(2000, dim))
+        x = rng.normal(size=(4000, dim))
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         model = embed_dedup.choose_pivots(x[:embed_dedup.SAMPLE])
         noise = rng.normal(size=x.shape)
