@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from runlake.llm.common import Words, arrow_friendly, chunks, components, mix, shingle_sets, starts_of, text_bytes
 from runlake.session import materialize
 
-GROUP_SIZE = 256
+GROUP_SIZE = 512
 _SCHEMES = 128  # a segment's low bits name the size class whose cut made it
 
 
