@@ -6,9 +6,9 @@ document's score is the sum of log-probabilities of all its words, each masked i
 
 What is learnt comes from the whole corpus and grows with it. All words of all documents
 are counted; the most frequent have classes of their own, the rest share hashed ones.
-Every document gives a sixteenth of its windows, chosen by hash, to the training
-table. Training is numpy in tasks: each takes steps over its share of that table from the
-common parameters, and parameters are averaged by the windows seen, ``ROUNDS`` times.
+Every word of every document is a training window, in each of the ``ROUNDS`` rounds. The training table holds the
+texts as sequences of classes, a byte a word. Training is numpy in tasks: each takes steps over its share of that table from the
+common parameters, and parameters are averaged by the windows seen.
 The driver holds the parameters only, whose number is fixed. Up to ``SHARDS`` tasks train at a time,
 so what is averaged is bounded too.
 
@@ -21,12 +21,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from runlake.llm.common import Words, arrow_friendly, chunks, mix, text_bytes
+from runlake.llm.common import Words, arrow_friendly, chunks, text_bytes
 from runlake.session import materialize
 
 CLASSES, HASHED, WIDTH = 256, 64, 16
 SIDES = (-2, -1, 1, 2)
-EVERY = 16
 ROUNDS, STEP, RATE = 3, 1024, 0.1
 SHARDS, SHARD_WINDOWS = 1024, 500_000
 COUNTED = 1 << 20  # distinct words a task holds before it passes its counts on
@@ -82,20 +81,31 @@ class Windows:
         return rows, hashes, out
 
 
-def _windows(frequent):
+EDGE = bytes(2)  # the class beyond a text's edge, as far as a window reaches
+
+
+def _sequences(frequent):
+    """Per chunk, the classes of all words in order, with an edge before, between and after the texts."""
     def run(batches):
         windows = Windows(frequent)
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
             for low, high in chunks(offsets):
-                rows, hashes, near = windows(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
-                begin = np.searchsorted(rows, rows)
-                chosen = mix(hashes + np.arange(len(rows), dtype=np.uint64) - begin.astype(np.uint64)) % np.uint64(EVERY) == 0
+                rows, _, near = windows(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
+                out = np.zeros(len(rows) + 2 * (high - low), np.uint8)
+                out[np.arange(len(rows)) + 2 * rows] = near[:, 2]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([near[chosen].tobytes()], pa.binary()), pa.array([int(chosen.sum())], pa.int64())], ["windows", "n"])
+                    [pa.array([EDGE + out.tobytes()], pa.binary()), pa.array([len(rows)], pa.int64())], ["classes", "n"])
     return run
 
 
+def windows_of(classes: bytes) -> np.ndarray:
+    """The (left, left, word, right, right) classes of every word of a sequence."""
+    line = np.frombuffer(classes, np.uint8)
+    at = np.flatnonzero(line)
+    return np.stack([line[at + side] for side in (-2, -1, 0, 1, 2)], 1)
+
+
 class Network:
     """near: (side, class, width); out: (class, width); bias by class."""
 
@@ -114,32 +124,45 @@ class Network:
         return np.concatenate([p.ravel() for p in (self.near, self.out, self.bias)]).astype(np.float64)
 
     def forward(self, windows):
-        hidden = np.zeros((len(windows), WIDTH), np.float32)
-        for i, side in enumerate(SIDES):
-            hidden += self.near[i][windows[:, side + 2]]
-        hidden = np.tanh(hidden)
-        logits = np.minimum(hidden @ self.out.T + self.bias, np.float32(60))
-        return hidden, logits
+        """Hidden values with a last column of ones, and exp(logits) in a buffer that the next call overwrites."""
+        n = len(windows)
+        if not hasattr(self, "cells") or len(self.cells) < n:
+            self.cells = np.empty((n, CLASSES), np.float32)
+        hidden = np.ones((n, WIDTH + 1), np.float32)
+        total = self.near[0].take(windows[:, SIDES[0] + 2], 0)
+        for i, side in enumerate(SIDES[1:], 1):
+            total += self.near[i].take(windows[:, side + 2], 0)
+        np.tanh(total, out=hidden[:, :WIDTH])
+        out = np.concatenate((self.out, self.bias[:, None]), 1)
+        cells = np.matmul(hidden, out.T, out=self.cells[:n])
+        if np.abs(out).sum(1).max() > 60:  # else no logit can be larger
+            np.minimum(cells, np.float32(60), out=cells)
+        return hidden, np.exp(cells, out=cells)
 
     def log_probabilities(self, windows) -> np.ndarray:
-        _, logits = self.forward(windows)
-        picked = logits[np.arange(len(windows)), windows[:, 2]]
-        return picked - np.log(np.exp(logits).sum(1))
+        parts = [np.zeros(0, np.float32)]
+        for low in range(0, len(windows), STEP):
+            part = windows[low:low + STEP]
+            _, cells = self.forward(part)
+            parts.append(np.log(cells[np.arange(len(part)), part[:, 2]] / (cells @ np.ones(CLASSES, np.float32))))
+        return np.concatenate(parts)
 
     def train(self, windows, past):
         """One AdaGrad step over the windows."""
-        hidden, logits = self.forward(windows)
-        p = np.exp(logits)
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(len(windows)), windows[:, 2]] -= 1
-        p /= len(windows)
-        back = (p @ self.out) * (1 - hidden * hidden)
-        near = np.zeros_like(self.near)
-        for i, side in enumerate(SIDES):
-            c = windows[:, side + 2]
-            for w in range(WIDTH):
-                near[i, :, w] = np.bincount(c, back[:, w], CLASSES)
-        for i, (name, g) in enumerate((("near", near), ("out", p.T @ hidden), ("bias", p.sum(0)))):
+        n = len(windows)
+        hidden, p = self.forward(windows)
+        total = p @ np.ones(CLASSES, np.float32)
+        p[np.arange(n), windows[:, 2]] -= total
+        scale = (1 / (total * n))[:, None]  # of every row of p, applied where there are fewer columns
+        back = (p @ self.out) * scale * (1 - hidden[:, :WIDTH] * hidden[:, :WIDTH])
+        if not hasattr(self, "at") or len(self.at) != n:
+            self.at, self.push = np.empty((n, len(SIDES), WIDTH), np.int64), np.empty((n, len(SIDES), WIDTH))
+        at = (windows[:, [s + 2 for s in SIDES]] + np.arange(len(SIDES)) * CLASSES) * WIDTH
+        np.add(at[:, :, None], np.arange(WIDTH), out=self.at)
+        self.push[:] = back[:, None, :]
+        near = np.bincount(self.at.ravel(), self.push.ravel(), self.near.size)
+        out = p.T @ (hidden * scale)
+        for i, (name, g) in enumerate((("near", near.reshape(self.near.shape).astype(np.float32)), ("out", out[:, :WIDTH]), ("bias", out[:, WIDTH]))):
             past[i] += g * g
             setattr(self, name, getattr(self, name) - np.float32(RATE) * g / np.sqrt(past[i]))
 
@@ -151,7 +174,7 @@ def _train(flat):
         seen, rest = 0, np.zeros((0, 5), np.uint8)
         for batch in batches:
             for blob in batch.column(0).to_pylist():
-                rest = np.concatenate((rest, np.frombuffer(blob, np.uint8).reshape(-1, 5)))
+                rest = np.concatenate((rest, windows_of(blob)))
                 while len(rest) >= STEP:
                     net.train(rest[:STEP], past)
                     rest, seen = rest[STEP:], seen + STEP
@@ -166,12 +189,13 @@ def _train(flat):
 
 
 def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS) -> Network:
-    """Fit on windows of all ``docs`` (text)."""
-    windows = materialize(docs.select(F.col("text").cast("string")).mapInArrow(
-        _windows(frequent), "windows binary, n long").filter("n > 0"), "windows")
-    total = windows.agg(F.sum("n")).first()[0] or 0
+    """Fit on every word of all ``docs`` (text)."""
+    arrow_friendly(docs.sparkSession)
+    texts = materialize(docs.select(F.col("text").cast("string")).mapInArrow(
+        _sequences(frequent), "classes binary, n long").filter("n > 0"), "windows")
+    total = texts.agg(F.sum("n")).first()[0] or 0
     net = Network()
-    shards = windows.select("windows").coalesce(max(1, min(SHARDS, -(-total // SHARD_WINDOWS))))
+    shards = texts.select("classes").coalesce(max(1, min(SHARDS, -(-total // SHARD_WINDOWS))))
     for _ in range(rounds if total else 0):
         mean = (shards.mapInArrow(_train(net.flat()), "i int, v double, n long").groupBy("i")
                 .agg((F.sum("v") / F.sum("n")).alias("v")).toArrow())
@@ -189,9 +213,9 @@ def _score(frequent, flat):
             n, total = [np.zeros(0, np.int64)], [np.zeros(0)]
             for low, high in chunks(offsets):
                 rows, _, near = windows(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
-                logs = [net.log_probabilities(near[i:i + 8 * STEP]).astype(float) for i in range(0, len(near), 8 * STEP)]
+                logs = net.log_probabilities(near).astype(float)
                 n.append(np.bincount(rows, minlength=high - low))
-                total.append(np.bincount(rows, np.concatenate(logs) if logs else None, high - low))
+                total.append(np.bincount(rows, logs, high - low))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(n), pa.int64()),
                                               pa.array(np.concatenate(total).astype(float))], ["doc_id", "n_tokens", "log_likelihood"])
     return run

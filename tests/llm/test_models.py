@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,3 +160,33 @@ def test_lm_scores(spark):
     ordered, mixed = (r.mean_log_probability for r in lm_score.score(new, frequent, net).orderBy("doc_id").collect())
     assert ordered > mixed
     assert lm_score.score(docs.limit(0), lm_score.vocabulary(docs.limit(0)), lm_score.train(docs.limit(0), frequent)).collect() == []
+
+
+def test_lm_trains_on_every_word(spark, monkeypatch):
+    texts = ["a b", "c", None, "", "d e f g", "a b", "x " * 3000]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    frequent = lm_score.vocabulary(docs)
+    taken = []
+    monkeypatch.setattr(lm_score.Network, "train", lambda self, windows, past: taken.append(windows.copy()))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    table = pa.Table.from_batches(list(lm_score._sequences(frequent)([batch])))
+    list(lm_score._train(lm_score.Network().flat())(table.select(["classes"]).to_batches()))
+    _, _, want = lm_score.Windows(frequent)(*text_bytes(batch.column(0)))
+    assert sum(table.column("n").to_pylist()) == len(want) == 3009 and (np.concatenate(taken) == want).all()
+
+
+def test_lm_step_follows_the_gradient():
+    rng = np.random.default_rng(3)
+    windows = rng.integers(0, 6, (50, 5)).astype(np.uint8)
+    net = lm_score.Network()
+    flat, past = net.flat(), [np.full(s, 1e9, np.float32) for s in lm_score.Network.shapes]
+    net.train(windows, past)  # so slow that a step is the gradient, scaled
+    step = (flat - net.flat()) / (lm_score.RATE / 1e9**0.5)
+
+    def loss(at, by):
+        moved = flat.copy()
+        moved[at] += by
+        return -lm_score.Network(moved).log_probabilities(windows).astype(float).mean()
+    n = lm_score.CLASSES * lm_score.WIDTH
+    for at in (0, 17, n + 40, 3 * n + 5, 4 * n + 3, 4 * n + 50, 5 * n + 2, 5 * n + 100):
+        assert step[at] == pytest.approx((loss(at, 0.05) - loss(at, -0.05)) / 0.1, rel=0.05, abs=2e-3)
