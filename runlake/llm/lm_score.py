@@ -1,11 +1,14 @@
 """LM scoring by masked pseudo-likelihood.
 
 A small network predicts every word from the two on each side: the sum of one vector
-per neighbour and position, tanh, then a softmax over ``CLASSES`` word classes. A
+per neighbour and position, tanh, then a softmax over ``CLASSES`` word classes. A word's probability
+is that of its class by the network times its own within the class. A
 document's score is the sum of log-probabilities of all its words, each masked in turn.
 
 What is learnt comes from the whole corpus and grows with it. All words of all documents
-are counted; the most frequent have classes of their own, the rest share hashed ones.
+are counted; the most frequent have classes of their own, the rest share hashed ones. Within a shared class a
+word has (n + ``ALPHA``) / (N + ``ALPHA`` (V + 1)) by its count n, the class's N occurrences of V words; the one place
+more is that of unseen words. The counts are a table, joined to the distinct words of runs of about ``HELD`` such words.
 Every word of every document is a training window, in each of the ``ROUNDS`` rounds. The training table holds the
 texts as sequences of classes, a byte a word. Training is numpy in tasks: each takes steps over its share of that table from the
 common parameters, and parameters are averaged by the windows seen.
@@ -17,6 +20,8 @@ scored by itself, repeated or not; further columns are ignored. An empty table g
 empty result. Texts at a file's edges are not neighbours.
 """
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -28,6 +33,8 @@ CLASSES, HASHED, WIDTH = 256, 64, 16
 SIDES = (-2, -1, 1, 2)
 ROUNDS, STEP, RATE = 3, 1024, 0.1
 SHARDS, SHARD_WINDOWS = 1024, 500_000
+ALPHA = 0.5
+HELD = 1 << 20  # words of shared classes, and rows, whose distinct words are looked up together
 COUNTED = 1 << 20  # distinct words a task holds before it passes its counts on
 
 
@@ -50,18 +57,38 @@ def _count(batches):
     yield out()
 
 
-def vocabulary(docs: DataFrame) -> np.ndarray:
-    """Sorted hashes of the corpus's most frequent words, ties by hash."""
-    counts = docs.select(F.col("text").cast("string")).mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(CLASSES - HASHED - 1).select("word").toArrow()
-    return np.sort(top.column(0).to_numpy().astype(np.int64).view(np.uint64))
+class Vocabulary(NamedTuple):
+    frequent: np.ndarray  # sorted hashes of the words with classes of their own
+    total: np.ndarray  # occurrences of each shared class's words
+    distinct: np.ndarray  # and how many words they are
+    counts: DataFrame | None  # (word, n) of every word
+
+    def small(self) -> "Vocabulary":
+        """What tasks are sent."""
+        return self._replace(counts=None)
+
+
+def vocabulary(docs: DataFrame) -> Vocabulary:
+    """All words of the corpus; the most frequent, ties by hash, have classes of their own."""
+    arrow_friendly(docs.sparkSession)
+    counts = materialize(docs.select(F.col("text").cast("string")).mapInArrow(
+        _count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    top = counts.orderBy(F.desc("n"), "word").limit(CLASSES - HASHED - 1).toArrow()
+    frequent = top.column("word").to_numpy().astype(np.int64).view(np.uint64)
+    held = counts.groupBy(F.shiftrightunsigned("word", 58).cast("int").alias("c")).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toArrow()
+    c = held.column("c").to_numpy().astype(np.int64)
+    shared = (frequent >> np.uint64(58)).astype(np.int64)
+    total, distinct = (np.bincount(c, held.column(x).to_numpy(), HASHED) for x in ("n", "v"))
+    total -= np.bincount(shared, top.column("n").to_numpy(), HASHED)
+    return Vocabulary(np.sort(frequent), total, distinct - np.bincount(shared, minlength=HASHED), counts)
 
 
 class Windows:
     """Class of every word, with those of its neighbours; class 0 is beyond a text's edge."""
 
-    def __init__(self, frequent: np.ndarray):
-        self.split, self.frequent = Words(), frequent
+    def __init__(self, words: Vocabulary):
+        self.split, self.frequent = Words(), words.frequent
 
     def __call__(self, data, offsets):
         """Row and hash of every word, and a matrix of (left, left, word, right, right) classes."""
@@ -84,10 +111,10 @@ class Windows:
 EDGE = bytes(2)  # the class beyond a text's edge, as far as a window reaches
 
 
-def _sequences(frequent):
+def _sequences(words):
     """Per chunk, the classes of all words in order, with an edge before, between and after the texts."""
     def run(batches):
-        windows = Windows(frequent)
+        windows = Windows(words)
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
             for low, high in chunks(offsets):
@@ -188,11 +215,11 @@ def _train(flat):
     return run
 
 
-def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS) -> Network:
+def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network:
     """Fit on every word of all ``docs`` (text)."""
     arrow_friendly(docs.sparkSession)
     texts = materialize(docs.select(F.col("text").cast("string")).mapInArrow(
-        _sequences(frequent), "classes binary, n long").filter("n > 0"), "windows")
+        _sequences(words.small()), "classes binary, n long").filter("n > 0"), "windows")
     total = texts.agg(F.sum("n")).first()[0] or 0
     net = Network()
     shards = texts.select("classes").coalesce(max(1, min(SHARDS, -(-total // SHARD_WINDOWS))))
@@ -205,25 +232,61 @@ def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS) -> Networ
     return net
 
 
-def _score(frequent, flat):
+def _classed(words, flat):
+    """Rows of a run of texts: their classes' log-probability, and the words of shared classes as places in a list of distinct ones."""
     def run(batches):
-        windows, net = Windows(frequent), Network(flat)
+        windows, net, held, size = Windows(words), Network(flat), [], 0
+
+        def out():
+            ids, n, total, shared, hashes = zip(*held)
+            word, place = np.unique(np.concatenate(hashes), return_inverse=True)
+            lists = [pa.concat_arrays(ids), *(pa.array(np.concatenate(x)) for x in (n, total, shared)), pa.array(word.view(np.int64))]
+            # The places byte by byte, so that the zeros of small numbers stand together.
+            place = place.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+            return pa.RecordBatch.from_arrays(
+                [*(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists), pa.array([place], pa.binary())],
+                ["doc_id", "n", "total", "shared", "word", "place"])
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            n, total = [np.zeros(0, np.int64)], [np.zeros(0)]
             for low, high in chunks(offsets):
-                rows, _, near = windows(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
-                logs = net.log_probabilities(near).astype(float)
-                n.append(np.bincount(rows, minlength=high - low))
-                total.append(np.bincount(rows, logs, high - low))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(n), pa.int64()),
-                                              pa.array(np.concatenate(total).astype(float))], ["doc_id", "n_tokens", "log_likelihood"])
+                rows, hashes, near = windows(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
+                logs, shared = net.log_probabilities(near).astype(float), near[:, 2] >= CLASSES - HASHED
+                held.append((batch.column(0).slice(low, high - low), np.bincount(rows, minlength=high - low),
+                             np.bincount(rows, logs, high - low).astype(float), np.bincount(rows[shared], minlength=high - low), hashes[shared]))
+                size += len(held[-1][-1]) + high - low
+                if size >= HELD:
+                    yield out()
+                    held.clear()
+                    size = 0
+        if held:
+            yield out()
+    return run
+
+
+def _whole(total, distinct):
+    """Adds the log-probabilities within classes; ``found``: counts (pos, n) of those of a run's distinct words that have one."""
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        doc_id, n, of_classes, shared, kind = (texts.column(c).combine_chunks().flatten() for c in ("doc_id", "n", "total", "shared", "kind"))
+        kind, shared = kind.to_numpy(), shared.to_numpy()
+        times = np.zeros(len(kind))
+        times[found.column("pos").to_numpy()] = found.column("n").to_numpy()
+        logs = np.log((times + ALPHA) / (total[kind] + ALPHA * (distinct[kind] + 1)))
+        place = np.frombuffer(texts.column("place")[0].as_py(), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+        within = np.bincount(np.repeat(np.arange(len(shared)), shared), logs[place], len(shared))
+        return pa.table({"doc_id": doc_id, "n_tokens": n, "log_likelihood": pa.array(of_classes.to_numpy() + within)})
     return run
 
 
-def score(docs: DataFrame, frequent: np.ndarray, net: Network) -> DataFrame:
+def score(docs: DataFrame, words: Vocabulary, net: Network) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_probability) of every row of ``docs`` (doc_id, text)."""
     arrow_friendly(docs.sparkSession)
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _score(frequent, net.flat()), "doc_id long, n_tokens long, log_likelihood double")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+        _classed(words.small(), net.flat()),
+        "doc_id array<long>, n array<long>, total array<double>, shared array<long>, word array<long>, place binary")
+    texts = materialize(texts.withColumn("run", F.monotonically_increasing_id()), "runs")
+    found = texts.select("run", F.posexplode("word").alias("pos", "word")).join(words.counts, "word").select("run", "pos", "n")
+    kind = F.transform("word", lambda w: F.shiftrightunsigned(w, 58).cast("byte"))
+    lines = texts.select(F.col("run").alias("of"), "doc_id", "n", "total", "shared", kind.alias("kind"), "place")
+    scored = lines.groupBy("of").cogroup(found.groupBy("run")).applyInArrow(
+        _whole(words.total, words.distinct), "doc_id long, n_tokens long, log_likelihood double")
     return scored.withColumn("mean_log_probability", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))

@@ -190,3 +190,61 @@ def test_lm_step_follows_the_gradient():
     n = lm_score.CLASSES * lm_score.WIDTH
     for at in (0, 17, n + 40, 3 * n + 5, 4 * n + 3, 4 * n + 50, 5 * n + 2, 5 * n + 100):
         assert step[at] == pytest.approx((loss(at, 0.05) - loss(at, -0.05)) / 0.1, rel=0.05, abs=2e-3)
+
+
+def test_lm_scores_are_of_words(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "CLASSES", lm_score.HASHED + 4)  # three words with classes of their own
+    monkeypatch.setattr(lm_score.Network, "shapes", ((4, 68, lm_score.WIDTH), (68, lm_score.WIDTH), (68,)))
+    monkeypatch.setattr(lm_score, "HELD", 50)
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(["a", "b", "c", *(f"r{int(rng.paretovariate(0.5))}" for _ in range(2))]) for _ in range(rng.randrange(30))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    words = lm_score.vocabulary(docs)
+    net = lm_score.Network()
+    new = [*texts, "a b", "never1 a never2", None, ""]
+    split, known = lm_score.Words(), {}
+
+    def hashes(text):
+        return split(*text_bytes(pa.array([text], pa.string())))[3].tolist()
+    for t in texts:
+        for h in hashes(t):
+            known[h] = known.get(h, 0) + 1
+    rare = {h: n for h, n in known.items() if h not in words.frequent.tolist()}
+    # scored in the driver: patches don't reach tasks
+    table = pa.RecordBatch.from_arrays([pa.array([*range(len(new) - 1), None]), pa.array(new)], ["doc_id", "text"])
+    got, counts = {}, {r.word: r.n for r in words.counts.collect()}
+    for run in lm_score._classed(words, net.flat())([table.slice(0, 30), table.slice(30)]):
+        run = pa.Table.from_batches([run])
+        at = [(i, counts[w]) for i, w in enumerate(run.column("word")[0].as_py()) if w in counts]
+        kind = pa.array([[(w & (2**64 - 1)) >> 58 for w in run.column("word")[0].as_py()]], pa.list_(pa.int8()))
+        found = pa.table({"pos": pa.array([i for i, _ in at], pa.int32()), "n": pa.array([n for _, n in at], pa.int64())})
+        for r in lm_score._whole(words.total, words.distinct)(run.append_column("kind", kind), found).to_pylist():
+            got[r["doc_id"]] = (r["n_tokens"], r["log_likelihood"])
+    assert len(got) == len(new)
+    for i, t in enumerate(new[:-1]):
+        near = lm_score.Windows(words)(*text_bytes(pa.array([t], pa.string())))[2]
+        want = float(net.log_probabilities(near).sum())
+        for h in hashes(t):
+            if h not in words.frequent.tolist():
+                same = [n for g, n in rare.items() if g >> 58 == h >> 58]
+                want += float(np.log((rare.get(h, 0) + lm_score.ALPHA) / (sum(same) + lm_score.ALPHA * (len(same) + 1))))
+        assert got[i] == (len(near), pytest.approx(want, rel=1e-4, abs=1e-4))
+
+
+def test_lm_tells_unseen_words_from_rare_ones(spark):
+    rng = random.Random(13)
+    texts = [" ".join(f"w{min(3000, int(rng.paretovariate(0.4)))}" for _ in range(300)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    words = lm_score.vocabulary(docs)
+    net = lm_score.Network()
+    split = lm_score.Words()
+
+    def hashed(text):
+        return int(split(*text_bytes(pa.array([text], pa.string())))[3][0])
+    counted = {r.word & (2**64 - 1): r.n for r in words.counts.collect()}
+    rare = next(w for w in sorted({w for t in texts for w in t.split()}) if hashed(w) not in words.frequent.tolist() and counted[hashed(w)] > 1)
+    unseen = next(f"u{i}" for i in range(10**5) if hashed(f"u{i}") >> 58 == hashed(rare) >> 58)  # of the same class
+    new = spark.createDataFrame([(1, rare), (2, unseen), (None, unseen), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r.log_likelihood for r in lm_score.score(new, words, net).collect()}
+    assert got[1] - got[2] == pytest.approx(np.log((counted[hashed(rare)] + lm_score.ALPHA) / lm_score.ALPHA))
+    assert got[None] == got[2] and got[3] == 0
