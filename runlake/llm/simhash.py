@@ -1,14 +1,15 @@
-"""Document fingerprints: 128-bit SimHash and permuted block tables, with SQL functions only.
+"""Document fingerprints: 128-bit SimHash and block tables, with SQL functions only.
 
 A term is a pair of neighbouring words, lower-cased (the last word also stands
 alone). It votes with its weight, the letters it has, for or against every bit
 by its hash; a bit is set where the votes for it prevail. Votes are counted as
 packed sums over exploded terms, which each map task folds per document before any shuffle.
 
-``within`` finds all fingerprints within a radius: the bits are cut into blocks, and two
-fingerprints at most ``radius`` apart agree in at least ``blocks - radius`` of them.
-Every choice of that many blocks is one table, keyed by those blocks' bits. Equal
-fingerprints are one entry with a count.
+``within`` finds all fingerprints within a radius: the bits are cut into blocks, each with a number of
+bits that may differ in it. Those numbers, plus one each, sum to ``radius + 1``, so two
+fingerprints at most ``radius`` apart keep to the number in one block at least. Every block is one
+table, keyed by the block's bits; a query looks up all keys so near to its own. Equal
+fingerprints are one entry with a count, and a pair counts in the first block where it meets.
 
 Defined cases: a NULL text is an empty one; a text without words has fingerprint 0. Equal
 texts have equal fingerprints. Further columns are ignored.
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from runlake.session import materialize
 
 BITS = 128
-BLOCKS, RADIUS = 8, 6
+BLOCKS, RADIUS = 7, 19  # texts with a fiftieth of their words changed are about 11 bits apart
 _WORD = "[^\\s]+"
 
 
@@ -67,17 +68,28 @@ def likeness(*halves: Column) -> Column:
     return F.lit(1.0) - distance(*halves) / F.lit(float(BITS))
 
 
-def _tables(prints: DataFrame, blocks: int, radius: int) -> DataFrame:
-    """One row per print and choice of blocks: (key, table, *columns)."""
-    width = BITS // blocks
-    assert width * blocks == BITS and 64 % width == 0 and width <= 32
+def _blocks(radius: int, blocks: int) -> list[tuple[int, int, int]]:
+    """(first bit, width, bits that may differ, -1 for none may be looked up) of every block."""
+    widths = [BITS // blocks + (i < BITS % blocks) for i in range(blocks)]
+    assert 0 <= radius < BITS and max(widths) < 32
+    return [(sum(widths[:i]), w, (radius + 1) // blocks + (i < (radius + 1) % blocks) - 1) for i, w in enumerate(widths)]
 
-    def block(i: int) -> str:
-        half, at = ("high", 64 - width * (i + 1)) if i < blocks // 2 else ("low", 64 - width * (i + 1 - blocks // 2))
-        return f"shiftrightunsigned({half}, {at}) & {(1 << width) - 1}L"
-    choices = [F.struct(F.lit(t).alias("t"), F.xxhash64(*[F.expr(block(i)) for i in choice]).alias("k"))
-               for t, choice in enumerate(combinations(range(blocks), blocks - radius))]
-    return prints.select(*prints.columns, F.inline(F.array(*choices)).alias("t", "k"))
+
+def _bits(high: str, low: str, at: int, width: int) -> str:
+    """SQL for ``width`` of the 128 bits from bit ``at``, counted from the highest."""
+    end = at + width
+    if end <= 64:
+        found = f"shiftrightunsigned({high}, {64 - end})"
+    elif at >= 64:
+        found = f"shiftrightunsigned({low}, {BITS - end})"
+    else:
+        found = f"(shiftleft({high}, {end - 64}) | shiftrightunsigned({low}, {BITS - end}))"
+    return f"({found} & {(1 << width) - 1}L)"
+
+
+def _near(width: int, most: int) -> list[int]:
+    """All numbers of ``width`` bits of which at most ``most`` are set."""
+    return [sum(1 << b for b in c) for n in range(most + 1) for c in combinations(range(width), n)]
 
 
 def within(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
@@ -89,11 +101,21 @@ def within(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, blocks:
     """
     classes = prints.groupBy("high", "low").agg(F.count(F.lit(1)).alias("n"))
     asked = queries.select(F.col("high").alias("q_high"), F.col("low").alias("q_low")).distinct()
-    left = _tables(asked.select(F.col("q_high").alias("high"), F.col("q_low").alias("low")), blocks, radius)
-    left = left.select(F.col("high").alias("q_high"), F.col("low").alias("q_low"), "t", "k")
-    met = left.join(_tables(classes, blocks, radius), ["t", "k"]).filter(
-        distance(F.col("q_high"), F.col("q_low"), F.col("high"), F.col("low")) <= radius)
-    found = met.select("q_high", "q_low", "high", "low", "n").distinct().groupBy("q_high", "q_low").agg(F.sum("n").alias("n_within"))
+    cut = _blocks(radius, blocks)
+    keys, looked_up, first = [], [], F.lit(None).cast("int")
+    for t, (at, width, most) in reversed(list(enumerate(cut))):
+        own, asks = (F.expr(f"{_bits(*halves, at, width)} + {t << 32}L") for halves in (("high", "low"), ("q_high", "q_low")))
+        if most >= 0:
+            keys.append(own)
+            looked_up.append(F.transform(F.lit(_near(width, most)).cast("array<bigint>"), asks.bitwiseXOR))
+            differ = F.bit_count(F.expr(_bits("(high ^ q_high)", "(low ^ q_low)", at, width)))
+            first = F.when(differ <= most, t).otherwise(first)
+    # Merged by hint: Spark judges a side by its size before the explode and would broadcast all keys.
+    left = asked.select("q_high", "q_low", F.explode(F.flatten(F.array(*looked_up))).alias("k")).hint("merge")
+    met = left.join(classes.select("high", "low", "n", F.explode(F.array(*keys)).alias("k")), "k").filter(
+        (distance(F.col("q_high"), F.col("q_low"), F.col("high"), F.col("low")) <= radius)
+        & (first == F.shiftright("k", 32)))
+    found = met.groupBy("q_high", "q_low").agg(F.sum("n").alias("n_within"))
     return (queries.join(found, (F.col("high") == F.col("q_high")) & (F.col("low") == F.col("q_low")), "left")
             .select("doc_id", F.coalesce("n_within", F.lit(0).cast("long")).alias("n_within")))
 

@@ -119,6 +119,35 @@ def test_block_tables_find_all_within_the_radius(spark):
     assert got == {i: sum(bin(x ^ y).count("1") <= simhash.RADIUS for y in prints) for i, x in enumerate(prints)}
 
 
+@pytest.mark.parametrize("radius,blocks", [(simhash.RADIUS, simhash.BLOCKS), (0, 5), (3, 8), (11, 6)])
+def test_blocks_miss_nothing_up_to_the_radius(spark, radius, blocks):
+    rng = random.Random(10 + radius)
+    base = [rng.getrandbits(128) for _ in range(4)] + [0, 2**128 - 1]
+    prints = base + [b ^ sum(1 << k for k in rng.sample(range(128), n)) for b in base for n in range(25)] + base[:2]
+    signed = [tuple(h - 2**64 if h >= 2**63 else h for h in (x >> 64, x & (2**64 - 1))) for x in prints]
+    table = spark.createDataFrame([(i, *x) for i, x in enumerate(signed)], "doc_id long, high long, low long")
+    got = {r.doc_id: r.n_within for r in simhash.within(table, table.select("high", "low"), radius, blocks).collect()}
+    assert got == {i: sum(bin(x ^ y).count("1") <= radius for y in prints) for i, x in enumerate(prints)}
+
+
+def test_edited_texts_are_within_the_radius(spark):
+    rng = random.Random(14)
+    words = ["".join(rng.choice("abcdefghijklmno") for _ in range(rng.randrange(2, 12))) for _ in range(3000)]
+    texts, n = [], 40
+    for size, changed in ((60, 1), (200, 4), (1000, 20)):
+        for _ in range(n):
+            text = [rng.choice(words) for _ in range(size)]
+            edited = list(text)
+            for i in rng.sample(range(size), changed):
+                edited[i] = rng.choice(words)
+            texts += [" ".join(text), " ".join(edited)]
+    prints = simhash.fingerprint(docs(spark, texts).select("doc_id", "text"), ["doc_id"])
+    got = {r.doc_id: r.n_within for r in simhash.within(prints, prints.select("high", "low")).collect()}
+    assert set(got.values()) <= {1, 2}  # unrelated texts are not within it
+    for k in range(3):
+        assert sum(got[i] == 2 for i in range(2 * n * k, 2 * n * (k + 1), 2)) >= 0.9 * n
+
+
 def test_next_ids(spark):
     ids = [5, 9, 1, 100, 40, 7, 7]
     got = {r.doc_id: (r.next_id, r.prev_id) for r in simhash.next_ids(spark.createDataFrame([(i,) for i in ids], "doc_id long").repartition(4)).collect()}
