@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from runlake.llm import bpe, chat, embed_dedup, line_dedup, lm_score, mixing, ngram_join, quality, secrets, simhash
+from runlake.llm import bpe, chat, embed_dedup, langid, line_dedup, lm_score, mixing, ngram_join, quality, secrets, simhash
 from runlake.session import materialize
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -106,8 +106,15 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(docs, frequent, lm_score.train(docs, frequent))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(F.col("doc_id").isNotNull() & ~langid.held_out(F.col("doc_id"))))
+    return langid.predict(docs, model).withColumn("held_out", langid.held_out(F.col("doc_id")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_line_dedup, op3_embedding_near_dedup, op4_quality_classifier, op5_secret_scans,
-    op6_chat_formatting, op7_document_fingerprints, op8_byte_bpe, op9_source_mixing, op10_lm_scoring)}
+    op6_chat_formatting, op7_document_fingerprints, op8_byte_bpe, op9_source_mixing, op10_lm_scoring,
+    op11_language_id)}
 
 SQL = {"op2_line_dedup": line_dedup.SQL, "op6_chat_formatting": chat.SQL}
