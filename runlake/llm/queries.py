@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from runlake.llm import bpe, chat, embed_dedup, langid, line_dedup, lm_score, mixing, ngram_join, quality, secrets, simhash
+from runlake.llm import bpe, chat, embed_dedup, langid, line_dedup, lm_score, mixing, ngram_join, prefix_trie, quality, secrets, simhash
 from runlake.session import materialize
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -112,9 +112,16 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).withColumn("held_out", langid.held_out(F.col("doc_id")))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    shared = F.crc32(conv.cast("string").cast("binary")) % 9
+    return prefix_trie.build(*prefix_trie.spliced(
+        *prefix_trie.ordered(_table(spark, sf_dir, "conversations")), conv - conv % 5, shared, most=8))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_line_dedup, op3_embedding_near_dedup, op4_quality_classifier, op5_secret_scans,
     op6_chat_formatting, op7_document_fingerprints, op8_byte_bpe, op9_source_mixing, op10_lm_scoring,
-    op11_language_id)}
+    op11_language_id, op12_prefix_trie)}
 
-SQL = {"op2_line_dedup": line_dedup.SQL, "op6_chat_formatting": chat.SQL}
+SQL = {"op2_line_dedup": line_dedup.SQL, "op6_chat_formatting": chat.SQL, "op12_prefix_trie": prefix_trie.SQL}
