@@ -3,10 +3,11 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from runlake.llm import bpe, chat, embed_dedup, langid, line_dedup, lm_score, mixing, ngram_join, prefix_trie, quality, secrets, simhash
+from runlake.llm import bpe, chat, embed_dedup, langid, line_dedup, lm_score, mixing, ngram_join, prefix_trie, quality, secrets, simhash, token_align
 from runlake.session import materialize
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+ALIGNED = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 # Shares of the whole, raised to these powers, are the mixing targets.
 MIX = {"source": 0.9, "lang": 0.95, "topic": 0.95}
 
@@ -119,9 +120,14 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
         *prefix_trie.ordered(_table(spark, sf_dir, "conversations")), conv - conv % 5, shared, most=8))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(_table(spark, sf_dir, "documents"), *ALIGNED).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_line_dedup, op3_embedding_near_dedup, op4_quality_classifier, op5_secret_scans,
     op6_chat_formatting, op7_document_fingerprints, op8_byte_bpe, op9_source_mixing, op10_lm_scoring,
-    op11_language_id, op12_prefix_trie)}
+    op11_language_id, op12_prefix_trie, op13_tokenizer_alignment)}
 
 SQL = {"op2_line_dedup": line_dedup.SQL, "op6_chat_formatting": chat.SQL, "op12_prefix_trie": prefix_trie.SQL}

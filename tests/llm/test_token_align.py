@@ -1,0 +1,131 @@
+"""Cross-tokenizer alignment against whole texts tokenized by the libraries and compared byte by byte."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+import sentencepiece
+import tokenizers
+
+from runlake.llm import token_align
+from runlake.llm.queries import ALIGNED, QUERIES
+
+SCHEMA = "doc_id long, text string, n_a string"
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.fixture(scope="module")
+def files():
+    return token_align.read_tokenizers(*ALIGNED)
+
+
+def spelled(text):
+    """(ids, tokens' bytes) of a whole text by either tokenizer."""
+    a = tokenizers.Tokenizer.from_file(ALIGNED[0])
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=ALIGNED[1])
+    of = token_align.byte_level()
+    ids = a.encode(" " + text, add_special_tokens=False).ids
+    first = ids, [bytes(of[c] for c in a.id_to_token(i)) for i in ids]
+    ids = b.encode(text)
+    return first, (ids, [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in ids])
+
+
+def brute(rows):
+    found = []
+    for doc_id, text in rows:
+        (a, ta), (b, tb) = spelled(text or "")
+        whole = (" " + (text or "")).encode()
+        if not text or b"".join(ta) != whole or b"".join(tb) != whole:
+            found.append((doc_id, [], [], "", []))
+            continue
+        spans = [[(i, sum(map(len, t[:i])), sum(map(len, t[:i + 1]))) for i in range(len(t))] for t in (ta, tb)]
+        ends = sorted({e for _, _, e in spans[0]} & {e for _, _, e in spans[1]})
+        groups = ";".join("|".join(",".join(str(ids[i]) for i, _, e in span if low < e <= high) for ids, span in zip((a, b), spans))
+                          for low, high in zip([0, *ends], ends))
+        links = [(a[i], b[j]) for i, s, e in spans[0] for j, t, f in spans[1] if s < f and t < e]
+        found.append((doc_id, a, b, groups, links))
+    count = Counter(x for *_, links in found for x in links)
+    most = Counter()
+    for (_, b), n in count.items():
+        most[b] = max(most[b], n)
+    return sorted(((d, len(a), len(b), g.count(";") + 1 if g else 0, len(x), sum(count[p] == most[p[1]] for p in x), sum(count[p] for p in x),
+                    hashlib.sha256(g.encode()).hexdigest() if g else "") for d, a, b, g, x in found), key=str)
+
+
+def some_rows():
+    rng = random.Random(3)
+    odd = ["Übermäßig", "naïve", "日本語", "🙂🙂", "x\ty", "a\n\n b", "  ", "<s>", "</s> ", "<|endoftext|>", "don't", "0x1F", "ﬁ", "é", "it's  2,000", "--"]
+    rows = [(i, " ".join(rng.choices(odd + ["the", "models", "alignments", "Tokenisierung"], k=rng.randrange(1, 12)))) for i in range(60)]
+    return rows + [(60, None), (61, ""), (62, " "), (63, "a "), (64, "a  "), (65, "▁"), (66, "x▁ y"), (67, "\n"), (None, "null id"), (3, rows[3][1]),
+                   (3, "other text"), (68, "pneumonoultramicroscopic" * 20), (69, "日" * 50), (70, "end \x1c x\x85 y z")]
+
+
+def made(df):
+    return sorted((tuple(r) for r in df.select(*COLUMNS).collect()), key=str)
+
+
+@pytest.mark.parametrize("span, slice_rows", [(32_768, 4_000_000), (40, 100), (7, 4_000_000)])
+def test_equals_whole_texts_for_any_range(spark, span, slice_rows):
+    rows = some_rows()
+    docs = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).repartition(5)
+    assert made(token_align.align(docs, *ALIGNED, span=span, slice_rows=slice_rows)) == brute(rows)
+
+
+def test_joining_fragments_is_associative(files):
+    tokens, rng = token_align.Tokens(*files), random.Random(8)
+    words = token_align.words_of("Unübersichtliche tokenizations of 日本語 and internationalisation, misalignments…" * 3)
+    a, b = tokens(words)
+    n = sum(len(w.encode()) + 1 for w in words)
+    cuts = sorted({0, n, *rng.sample(range(1, n), 25)})
+    parts = [tokens.fragment(a, b, 0, low, high) for low, high in zip(cuts, cuts[1:])]
+    assert any(not p.closed for p in parts) and any(len(p.sa) for p in parts)
+    want = token_align.finished(tokens, tokens.fragment(a, b, 0, 0, n))
+
+    def tree(x):
+        if len(x) == 1:
+            return x[0]
+        k = rng.randrange(1, len(x))
+        return token_align.joined(tokens, [tree(x[:k]), tree(x[k:])])
+    for _ in range(10):
+        got = token_align.finished(tokens, tree(parts))
+        assert got[:5] == want[:5] and all((x == y).all() for x, y in zip(got[5:], want[5:]))
+
+
+def test_words_are_tokenized_as_in_the_whole_text(files):
+    tokens = token_align.Tokens(*files)
+    for _, text in some_rows():
+        if text:
+            (a, ta), (b, tb) = spelled(text)
+            whole = (" " + text).encode()
+            got = tokens(token_align.words_of(text))
+            assert (got is not None) == (b"".join(ta) == whole == b"".join(tb)), text
+            assert got is None or ([*got[0]] == a and [*got[1]] == b)
+
+
+def test_ranges_tokenize_no_word_more_than_twice():
+    words = token_align.words_of("x" * 900 + " y z " + "w" * 500 + " v")
+    parts = list(token_align.ranges(words, 10))
+    assert [p[2:4] for p in parts][0][0] == 0 and all(x[3] == y[2] for x, y in zip(parts, parts[1:]))
+    assert parts[-1][3] == sum(len(w) + 1 for w in words) and [p[0] for p in parts] == list(range(len(parts)))
+    assert max(Counter(w for p in parts for w in token_align.words_of(p[4])).values()) <= 2
+
+
+def test_long_text_and_empty_table(spark):
+    rng = random.Random(2)
+    text = " ".join("".join(rng.choices("abcdeéß日", k=rng.randrange(1, 12))) for _ in range(20_000))
+    docs = spark.createDataFrame([(1, text, None), (2, "short", None)], SCHEMA)
+    got = made(token_align.align(docs, *ALIGNED))
+    assert got == made(token_align.align(docs, *ALIGNED, span=10_000_000)) and got[0][1] > 40_000
+    assert np.array(got[0][1:5]).tolist()[3] == got[0][1] + got[0][2] - got[0][3]
+    assert made(token_align.align(spark.createDataFrame([], SCHEMA), *ALIGNED)) == []
+    assert made(token_align.align(spark.createDataFrame([(1, None, None)], SCHEMA), *ALIGNED)) == [(1, 0, 0, 0, 0, 0, 0, "")]
+
+
+def test_query_equals_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() if len(r.text) < 3000]
+    docs = spark.createDataFrame([(*r, None) for r in rows], SCHEMA)
+    assert made(token_align.align(docs, *ALIGNED, span=1000)) == brute(rows)
+    assert QUERIES["op13_tokenizer_alignment"](spark, "/root/testdata/sf0.001").count() == 200
