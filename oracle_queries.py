@@ -142,35 +142,48 @@ def _reltime(ts: str) -> str:
     return f"CASE WHEN {ts} IS NULL THEN '–' WHEN {s} > 0 THEN concat('in ', {amount}) ELSE concat({amount}, ' ago') END"
 
 
-# One event per step and run: the guards and effects of each kind, row by row.
-FOLD = (
-    'numbered AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY "at", tiebreak, kind, worker_id, attempt, message) AS n FROM run_events)',
-    f"""st AS (
+def _fold(timed: bool) -> tuple[str, ...]:
+    """One event per step and run: the guards and effects of each kind, row by row.
+
+    ``timed``: what falls due up to the next event, or up to the last event of all, is a step of its own before it.
+    """
+    due = "CASE s.status WHEN 'RUNNING' THEN s.last_heartbeat_at + INTERVAL 15 SECOND + INTERVAL 1 MICROSECOND WHEN 'QUEUED' THEN s.next_attempt_at END"
+    own = f"coalesce({due} <= coalesce(e.\"at\", (SELECT mark FROM clock)), false)" if timed else "false"
+    return (
+        'numbered AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY "at", tiebreak, kind, worker_id, attempt, message) AS n FROM run_events)',
+        """clock AS (SELECT date_trunc('millisecond', max("at")) AS mark FROM run_events)""",
+        f"""st AS (
   SELECT r.id, r.status, r.attempt, r.worker_id, r.queued_at, r.started_at, r.finished_at, r.last_heartbeat_at, r.next_attempt_at,
     r.error, r.output, r.job_id, r.scheduled_time, r.trigger, j.max_retries, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS accepted
   FROM job_runs r JOIN jobs j ON j.id = r.job_id
   UNION ALL
   SELECT id,
-    CASE WHEN act = 'claim' THEN 'RUNNING' WHEN act = 'finish' THEN 'SUCCEEDED' WHEN act = 'final' THEN 'FAILED'
-      WHEN act IN ('release', 'again') THEN 'QUEUED' ELSE status END,
-    CASE WHEN act IN ('release', 'again') THEN attempt + 1 ELSE attempt END,
-    CASE WHEN act = 'claim' THEN ew WHEN act IN ('release', 'again') THEN NULL ELSE worker_id END,
-    CASE WHEN act IN ('release', 'again') THEN "at" ELSE queued_at END,
-    CASE WHEN act = 'claim' THEN "at" WHEN act IN ('release', 'again') THEN NULL ELSE started_at END,
-    CASE WHEN act IN ('finish', 'final') THEN "at" WHEN act IN ('claim', 'again') THEN NULL ELSE finished_at END,
-    CASE WHEN act IN ('claim', 'heartbeat') THEN "at" WHEN act IN ('release', 'again') THEN NULL ELSE last_heartbeat_at END,
-    CASE WHEN act = 'again' THEN "at" + ({DELAY.format(a='attempt')}) * INTERVAL 1 SECOND WHEN act IN ('claim', 'final') THEN NULL ELSE next_attempt_at END,
-    CASE WHEN act = 'finish' THEN NULL WHEN act IN ('release', 'again', 'final') THEN message ELSE error END,
+    CASE WHEN act = 'claim' THEN 'RUNNING' WHEN act = 'finish' THEN 'SUCCEEDED' WHEN act IN ('final', 'lost') THEN 'FAILED'
+      WHEN act IN ('release', 'again', 'reap') THEN 'QUEUED' ELSE status END,
+    CASE WHEN act IN ('release', 'again', 'reap') THEN attempt + 1 ELSE attempt END,
+    CASE WHEN act = 'claim' THEN ew WHEN act IN ('release', 'again', 'reap') THEN NULL ELSE worker_id END,
+    CASE WHEN act IN ('release', 'again', 'reap', 'due') THEN "at" ELSE queued_at END,
+    CASE WHEN act = 'claim' THEN "at" WHEN act IN ('release', 'again', 'reap') THEN NULL ELSE started_at END,
+    CASE WHEN act IN ('finish', 'final', 'lost') THEN "at" WHEN act IN ('claim', 'again', 'reap') THEN NULL ELSE finished_at END,
+    CASE WHEN act IN ('claim', 'heartbeat') THEN "at" WHEN act IN ('release', 'again', 'reap') THEN NULL ELSE last_heartbeat_at END,
+    CASE WHEN act = 'again' THEN "at" + ({DELAY.format(a='attempt')}) * INTERVAL 1 SECOND WHEN act IN ('claim', 'final', 'due') THEN NULL ELSE next_attempt_at END,
+    CASE WHEN act = 'finish' THEN NULL WHEN act IN ('release', 'again', 'final') THEN message WHEN act IN ('reap', 'lost') THEN {LOST} ELSE error END,
     CASE WHEN act = 'finish' THEN message ELSE output END,
-    job_id, scheduled_time, trigger, max_retries, en, accepted + CASE WHEN act IS NULL THEN 0 ELSE 1 END
-  FROM (SELECT s.*, e."at", e.worker_id AS ew, e.message, e.n AS en, CASE
+    job_id, scheduled_time, trigger, max_retries, en, accepted + CASE WHEN act IS NULL OR own THEN 0 ELSE 1 END
+  FROM (SELECT s.*, CASE WHEN {own} THEN {due} ELSE e."at" END AS "at", e.worker_id AS ew, e.message, {own} AS own,
+      CASE WHEN {own} THEN s.n ELSE e.n END AS en, CASE
+      WHEN {own} THEN CASE WHEN s.status = 'QUEUED' THEN 'due' WHEN s.attempt > s.max_retries THEN 'lost' ELSE 'reap' END
       WHEN e.kind = 'claim' THEN CASE WHEN s.status = 'QUEUED' AND (s.next_attempt_at IS NULL OR s.next_attempt_at <= e."at") THEN 'claim' END
       WHEN s.status = 'RUNNING' AND s.worker_id = e.worker_id AND s.attempt = e.attempt THEN
         CASE WHEN e.kind <> 'fail' THEN e.kind WHEN s.attempt > s.max_retries THEN 'final' ELSE 'again' END END AS act
-    FROM st s JOIN numbered e ON e.run_id = s.id AND e.n = s.n + 1))""",
-    "totals AS (SELECT run_id, count(*) AS total FROM run_events GROUP BY run_id)")
-FOLD_BODY = f"""SELECT {_run_cols('st.')}, st.accepted, coalesce(t.total, 0) - st.accepted AS rejected
-FROM st LEFT JOIN totals t ON t.run_id = st.id WHERE st.n = coalesce(t.total, 0)"""
+    FROM st s LEFT JOIN numbered e ON e.run_id = s.id AND e.n = s.n + 1 WHERE e.n IS NOT NULL OR {own}))""",
+        "totals AS (SELECT run_id, count(*) AS total FROM run_events GROUP BY run_id)",
+        f"""ended AS (SELECT s.*, coalesce(e.total, 0) AS total, {own.replace('e."at"', 'NULL')} AS own
+  FROM st s LEFT JOIN totals e ON e.run_id = s.id)""")
+
+
+FOLD, TIMED = _fold(False), _fold(True)
+FOLD_BODY = f"""SELECT {_run_cols()}, accepted, total - accepted AS rejected FROM ended WHERE n = total AND NOT own"""
 EXISTING_ERRORS = """existing AS (SELECT * EXCLUDE rn FROM (
   SELECT *, row_number() OVER (PARTITION BY run_id, attempt, seq ORDER BY ts, line, level) AS rn FROM job_logs WHERE level = 'error') WHERE rn = 1)"""
 APPENDED = """SELECT run_id, attempt, seq, ts, level, line FROM existing UNION ALL
@@ -435,6 +448,7 @@ UNION ALL SELECT 'run', r.id, count(l.run_id) FROM job_runs r LEFT JOIN job_logs
     "stream_liveness": _q("heartbeats", """SELECT * FROM sessions WHERE reap_at <= (
   SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM heartbeats)""", SESSIONS),
     "stream_state": _q("jobs job_runs run_events", FOLD_BODY, *FOLD, recursive=True),
+    "stream_state_timers": _q("jobs job_runs run_events", FOLD_BODY, *TIMED, recursive=True),
     "stream_log_tail": _q("job_runs job_logs", "SELECT run_id, attempt, kind, seq, event, data FROM ev",
                           LINES, EVENT_ROWS),
 }

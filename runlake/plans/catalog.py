@@ -15,8 +15,8 @@ from runlake.plans.maintenance import maintenance_pass
 from runlake.schema import JOBS, LOGS, RUNS, SUCCEEDED
 from runlake.session import configure, shared_dir
 from runlake.sources import dispatch, fixtures, logs as log_source, outputs
-from runlake.streaming import jobs as streams
-from runlake.streaming.batches import latest, read_batches, run_available, schema_of
+from runlake.streaming import jobs as streams, state
+from runlake.streaming.batches import latest, read_batches, run_available, schema_of, write_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -598,6 +598,15 @@ def stream_state(v: Views) -> DataFrame:
     return latest(streams.with_counts(v.runs), target)
 
 
+@query
+def stream_state_timers(v: Views) -> DataFrame:
+    """The runs as of the latest event, with what fell due before and after each."""
+    target = shared_dir(v.spark, "kept-runs")
+    changed = state.kept_runs(v.stream("run_events"), v.runs, v.jobs, "0 seconds")
+    run_available(changed, lambda rows, n: write_changes(rows, target, n), "kept-runs")
+    return latest(streams.with_counts(v.runs), target)
+
+
 @query
 def stream_log_tail(v: Views) -> DataFrame:
     runs, lines, sent = (shared_dir(v.spark, f"tail-{x}") for x in ("runs", "lines", "events"))

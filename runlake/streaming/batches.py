@@ -12,6 +12,12 @@ from runlake.session import shared_dir
 
 
 COMPACT_EVERY = 16
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def state_store(spark: SparkSession) -> None:
+    """Keyed state with timers needs the RocksDB store; the session keeps this setting."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
 def batch_dir(root: str, batch_id: int) -> str:
