@@ -446,6 +446,10 @@ UNION ALL SELECT 'run', r.id, count(l.run_id) FROM job_runs r LEFT JOIN job_logs
     "stream_log_append": _q("job_logs", APPENDED, LINES, EXISTING_ERRORS),
     # The watermark counts milliseconds and trails the latest heartbeat by a day.
     "stream_liveness": _q("heartbeats", """SELECT * FROM sessions WHERE reap_at <= (
+  SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM heartbeats)""", SESSIONS),
+    "stream_liveness_timers": _q("heartbeats", """SELECT run_id, last_heartbeat, reap_at FROM (
+  SELECT *, lead(session_start) OVER (PARTITION BY run_id ORDER BY session_start) AS following FROM sessions)
+WHERE following IS NOT NULL OR date_trunc('millisecond', reap_at) < (
   SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM heartbeats)""", SESSIONS),
     "stream_state": _q("jobs job_runs run_events", FOLD_BODY, *FOLD, recursive=True),
     "stream_state_timers": _q("jobs job_runs run_events", FOLD_BODY, *TIMED, recursive=True),

@@ -15,7 +15,7 @@ from runlake.plans.maintenance import maintenance_pass
 from runlake.schema import JOBS, LOGS, RUNS, SUCCEEDED
 from runlake.session import configure, shared_dir
 from runlake.sources import dispatch, fixtures, logs as log_source, outputs
-from runlake.streaming import jobs as streams, state
+from runlake.streaming import jobs as streams, liveness, state
 from runlake.streaming.batches import latest, read_batches, run_available, schema_of, write_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -591,6 +591,15 @@ def stream_liveness(v: Views) -> DataFrame:
     return read_batches(v.spark, target, schema_of(closed)).drop("batch")
 
 
+@query
+def stream_liveness_timers(v: Views) -> DataFrame:
+    """Silences by timers instead of windows; one that a later heartbeat ends needs no timer."""
+    target = shared_dir(v.spark, "silences")
+    silent = liveness.stale_owners(v.stream("heartbeats"), SESSION_GAP, STREAM_LATENESS, ("run_id",))
+    run_available(silent, streams.append_writer(target), "liveness-timers")
+    return read_batches(v.spark, target, schema_of(silent)).drop("batch")
+
+
 @query
 def stream_state(v: Views) -> DataFrame:
     target = shared_dir(v.spark, "states")

@@ -23,3 +23,34 @@ def test_timers_report_each_silence_once(spark, tmp_path):
     beats_all = spark.createDataFrame(sum(parts, []), empty.schema)
     batch = sessions.heartbeat_sessions(beats_all, 15, liveness.OWNER).filter(f"reap_at < timestamp'{at(200)}'")
     assert sorted((r.run_id, r.last_heartbeat) for r in batch.collect()) == sorted((r.run_id, r.last_heartbeat) for r in got)
+
+
+def test_a_batch_holds_slots_not_heartbeats():
+    """Half a million heartbeats of one owner, in no order, with one silence among them."""
+    import random
+
+    class Value:
+        def __init__(self):
+            self.now = None
+
+        def get(self):
+            return self.now
+
+        def update(self, value):
+            self.now = value
+
+        def getValueState(self, *_):
+            return self
+
+        def registerTimer(self, ms):
+            self.timer = ms
+    timer, handle = liveness.SilenceTimer(liveness.OWNER, 15, by_clock=False), Value()
+    timer.init(handle)
+    order = [i for i in range(500_000) if not 300_000 <= i < 320_000]
+    random.Random(1).shuffle(order)
+    import tracemalloc
+    tracemalloc.start()
+    found = list(timer.handleInputRows(("r", "w", 1), ({"_us": i * 1000} for i in order), None))
+    assert tracemalloc.get_traced_memory()[1] < 1_000_000
+    tracemalloc.stop()
+    assert [r.last_heartbeat.timestamp() for r in found] == [299.999] and handle.now[0] == 499_999_000
