@@ -9,7 +9,8 @@ made in different tasks and joined by a tree of grouped joins, ``FAN`` at a time
 
 Tokens of a range are those of the whole text: no token of either tokenizer holds a blank after something that
 is not white space, and neither looks across such a place, so a range is tokenized from the last
-such place before it to the first behind it. Tokens of words between such places are remembered, up to a bound.
+such place before it to the first behind it. Texts of plain Latin characters go through a faster engine with
+the same merges; where classes of characters may differ between the engines, the file's own one is used.
 
 How often ids are linked is counted over the corpus and looked up in sorted arrays that are broadcast in
 slices of about ``SLICE`` pairs, however many pairs there are.
@@ -26,19 +27,21 @@ import re
 from typing import NamedTuple
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from runlake.llm.common import arrow_friendly
+from runlake.llm.common import CHUNK_BYTES, arrow_friendly
 from runlake.session import materialize
 
 SPAN = 32_768  # bytes of a range; a text of at most one range is a single fragment
 FAN = 16
 SLICE = 4_000_000
-KNOWN_WORDS, KNOWN_BYTES = 100_000, 64  # words remembered by a task, and bytes of the longest
+ID_BITS = 20  # of a token id
 
 BLANK = "▁"
 CUT = re.compile(r"(?<=\S) ")  # a blank that no token holds together with what precedes it
+ODD = re.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-\u024f\u2010-\u2027\u20ac]")  # not plain Latin
 ROW = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a array<int>, b array<int>, n array<int>"
 FRAGMENT = ("row long, doc_id long, k long, ok boolean, closed boolean, pa binary, pb binary, groups binary, n_groups long, "
             "links binary, counts binary, sa binary, sb binary, n_a long, n_b long")
@@ -51,10 +54,27 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in kept} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
-def read_tokenizers(byte_path: str, piece_path: str) -> tuple[str, bytes]:
-    """Contents of a byte-level BPE file of ``tokenizers`` and of a ``sentencepiece`` model."""
+class Files(NamedTuple):
+    """What workers build the tokenizers from."""
+
+    byte_file: str
+    piece_file: bytes
+    tokens: list[bytes]  # of the byte-level tokenizer, by id
+    ranks: dict[bytes, int] | None  # of bytes and merges, if ids are in the order of merges
+
+
+def read_tokenizers(byte_path: str, piece_path: str) -> Files:
+    """A byte-level BPE file of ``tokenizers`` and a ``sentencepiece`` model."""
     with open(byte_path, encoding="utf-8") as a, open(piece_path, "rb") as b:
-        return a.read(), b.read()
+        byte_file, piece_file = a.read(), b.read()
+    model, of = json.loads(byte_file)["model"], byte_level()
+    vocab = model["vocab"]
+    tokens = [b""] * (max(vocab.values()) + 1)
+    for token, i in vocab.items():
+        tokens[i] = bytes(of.get(c, 0) for c in token)
+    made = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
+    ranks = {tokens[i]: i for i in [*(vocab[c] for c in of), *made]} if made == sorted(made) and max(vocab[c] for c in of) < min(made) else None
+    return Files(byte_file, piece_file, tokens, ranks)
 
 
 def words_of(text: str) -> list[str]:
@@ -66,60 +86,72 @@ def words_of(text: str) -> list[str]:
 
 
 class Tokens:
-    """Both tokenizers, the bytes of their tokens, and the words met so far."""
+    """Both tokenizers and the bytes of their tokens."""
 
-    def __init__(self, byte_file: str, piece_file: bytes):
+    def __init__(self, files: Files):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        import tokenizers
-        self.a = tokenizers.Tokenizer.from_str(byte_file)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_file)
-        of, vocab = byte_level(), json.loads(byte_file)["model"]["vocab"]
-        self.bytes_a = [b""] * (max(vocab.values()) + 1)
-        for token, i in vocab.items():
-            self.bytes_a[i] = bytes(of.get(c, 0) for c in token)
+        import tiktoken
+        self.files, self.a = files, None
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=files.piece_file)
+        self.bytes_a = files.tokens
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
+        self.plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks=files.ranks) if files.ranks else None
         self.len_a, self.len_b = (np.array([len(t) for t in x]) for x in (self.bytes_a, self.bytes_b))
         # an id with what follows it: a comma, or what ends its side of a group
         self.text_a = np.array([b"%d%s" % (i, e) for e in (b",", b"|") for i in range(len(self.bytes_a))], object)
         self.text_b = np.array([b"%d%s" % (i, e) for e in (b",", b";") for i in range(len(self.bytes_b))], object)
-        self.known_a, self.known_b = {}, {}
-
-    def __call__(self, words: list[str]):
-        """Ids of both tokenizers, or None if one doesn't spell the words."""
-        new = list(set(words).difference(self.known_a))
-        if len(self.known_a) + len(new) > KNOWN_WORDS and self.known_a:
-            self.known_a, self.known_b = {}, {}
-            new = list(set(words))
-        if new:
-            for w, e, b in zip(new, self.a.encode_batch([" " + w for w in new], add_special_tokens=False), self.b.encode(new, num_threads=1)):
-                a, whole = e.ids, (" " + w).encode()
-                same = b"".join([self.bytes_a[i] for i in a]) == whole == b"".join([self.bytes_b[i] for i in b])
-                self.known_a[w], self.known_b[w] = (np.array(x, np.int32).tobytes() if same else None for x in (a, b))
-        try:
-            found = [np.frombuffer(b"".join([known[w] for w in words]), np.int32) for known in (self.known_a, self.known_b)]
-        except TypeError:  # a word that is not spelled
-            found = None
-        for w in new:
-            if len(w) > KNOWN_BYTES:
-                del self.known_a[w], self.known_b[w]
-        return found
+
+    def __call__(self, text: str):
+        """Ids of both tokenizers for a text with a blank before it, or None if one doesn't spell it."""
+        if self.plain and not ODD.search(text):
+            a = self.plain.encode_ordinary(" " + text)
+        else:
+            if self.a is None:
+                import tokenizers
+                self.a = tokenizers.Tokenizer.from_str(self.files.byte_file)
+                self.a.encode_special_tokens = True
+            a = self.a.encode(" " + text, add_special_tokens=False).ids
+        b, whole = self.b.encode(text), (" " + text).encode()
+        if b"".join([self.bytes_a[i] for i in a]) != whole or b"".join([self.bytes_b[i] for i in b]) != whole:
+            return None
+        return np.array(a, np.int32), np.array(b, np.int32)
 
     def close(self, a: np.ndarray, b: np.ndarray):
         """Text, number and sorted links of the groups of tokens that begin and end together."""
+        return self.close_all([(a, b)])[0]
+
+    def close_all(self, pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[bytes, int, np.ndarray, np.ndarray]]:
+        """``close`` of several, laid end to end."""
+        a, b = (np.concatenate(side) for side in zip(*pairs))
+        last = np.cumsum([(len(x), len(y)) for x, y in pairs], 0)
         ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        all_ends = np.union1d(ends_a, ends_b)  # every two tokens that overlap share one stretch between these
-        at_a, at_b = np.searchsorted(ends_a, all_ends), np.searchsorted(ends_b, all_ends)
-        links, counts = np.unique(a[at_a].astype(np.int64) << 32 | b[at_b], return_counts=True)
-        last_a, last_b = (ends[at] == all_ends for ends, at in ((ends_a, at_a), (ends_b, at_b)))
-        both = all_ends[last_a & last_b]
-        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        at_end = np.zeros(int(ends_a[-1]) + 1, np.int8)  # by byte: 1 where a token of the first ends, 2 of the second
+        at_end[ends_a] = 1
+        at_end[ends_b] += 2
+        all_ends = np.flatnonzero(at_end)  # every two tokens that overlap share one stretch between these
+        kind = at_end[all_ends]
+        both = kind == 3
+        count_a, count_b, groups = (np.cumsum(x) for x in (kind != 2, kind != 1, both))
+        at_a, at_b = count_a - (kind != 2), count_b - (kind != 1)
+        whole = np.searchsorted(all_ends, ends_a[last[:, 0] - 1], "right")  # where the stretches of a pair end
+        owner = np.repeat(np.arange(len(pairs)), np.diff(whole, prepend=0))
+        keys, counts = np.unique((owner << 2 * ID_BITS) | (a[at_a].astype(np.int64) << ID_BITS) | b[at_b], return_counts=True)
+        of = np.searchsorted(keys, np.arange(len(pairs) + 1) << 2 * ID_BITS)
+        keys = ((keys >> ID_BITS) & ((1 << ID_BITS) - 1)) << 32 | (keys & ((1 << ID_BITS) - 1))
+        # a group's first tokens, then its second ones: each token is moved behind those of the other side that precede it
+        shared = both[kind != 2], both[kind != 1]
+        until = np.concatenate(([0], count_b[both])), count_a[both]
+        group_a, group_b = (groups - both)[kind != 2], (groups - both)[kind != 1]
         text = np.empty(len(a) + len(b), object)
-        text[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = self.text_a[a + len(self.bytes_a) * (both[group_a] == ends_a)]
-        text[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = self.text_b[b + len(self.bytes_b) * (both[group_b] == ends_b)]
-        return b"".join(text.tolist())[:-1], len(both), links, counts
+        text[np.arange(len(a)) + until[0][group_a]] = self.text_a[a + len(self.bytes_a) * shared[0]]
+        text[np.arange(len(b)) + until[1][group_b]] = self.text_b[b + len(self.bytes_b) * shared[1]]
+        text, n_groups, low, out = text.tolist(), np.diff(groups[whole - 1], prepend=0).tolist(), 0, []
+        for i, high in enumerate(last.sum(1).tolist()):
+            out.append((b"".join(text[low:high])[:-1], n_groups[i], keys[of[i]:of[i + 1]], counts[of[i]:of[i + 1]]))
+            low = high
+        return out
 
     def fragment(self, a, b, start: int, low: int, high: int) -> "Fragment":
         """Of the tokens that end in (``low``, ``high``], where the first token begins at byte ``start``."""
@@ -134,14 +166,14 @@ class Tokens:
         return Fragment(a[:i], b[:k], len(a), len(b), True, *inner, a[j:], b[m:])
 
 
-class Files:
-    """The tokenizers' contents; a worker builds them once and keeps them with the broadcast value."""
+class Shared:
+    """The files as broadcast; a worker builds the tokenizers once and keeps them with the value."""
 
-    def __init__(self, *contents):
-        self.contents, self.made = contents, None
+    def __init__(self, files: Files):
+        self.files, self.made = files, None
 
     def tokens(self) -> Tokens:
-        self.made = self.made or Tokens(*self.contents)
+        self.made = self.made or Tokens(self.files)
         return self.made
 
 
@@ -222,11 +254,23 @@ def _align_short(files):
     def run(batches):
         tokens = files.value.tokens()
         for batch in batches:
-            found = []
+            found, held, size = [], {}, 0
+
+            def finish():
+                for (i, (a, b)), (groups, n, links, counts) in zip(held.items(), tokens.close_all([*held.values()])):
+                    found[i] += (len(a), len(b), n, int(counts.sum()), hashlib.sha256(groups).hexdigest(), links, counts)
+                held.clear()
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                ids = tokens(words_of(text)) if text else None
-                n = len(text.encode()) + 1 if ids else 0
-                found.append((doc_id, *(finished(tokens, tokens.fragment(*ids, 0, 0, n)) if ids else NOTHING)))
+                ids = tokens(text) if text else None
+                found.append((doc_id,) if ids else (doc_id, *NOTHING))
+                if ids:
+                    held[len(found) - 1] = ids
+                    size += len(text)
+                    if size > CHUNK_BYTES:
+                        finish()
+                        size = 0
+            if held:
+                finish()
             if found:
                 yield _rows(found)
     return run
@@ -293,7 +337,7 @@ def _fragments(files):
         for batch in batches:
             rows = []
             for row, doc_id, k, start, low, high, text in zip(*(c.to_pylist() for c in batch.columns)):
-                ids = tokens(words_of(text))
+                ids = tokens(text)
                 rows.append((row, doc_id, k, tokens.fragment(*ids, start, low, high) if ids else None))
             if rows:
                 yield _packed(rows)
@@ -363,7 +407,7 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, span: int = SPAN, sl
     the linked id pairs and how often each is linked.
     """
     spark = arrow_friendly(docs.sparkSession)
-    files = spark.sparkContext.broadcast(Files(*read_tokenizers(byte_path, piece_path)))
+    files = spark.sparkContext.broadcast(Shared(read_tokenizers(byte_path, piece_path)))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     long = F.coalesce(F.octet_length("text"), F.lit(0)) >= span
     aligned = materialize(texts.filter(~long).mapInArrow(_align_short(files), ROW).unionByName(_long(texts.filter(long), files, span)), "aligned")

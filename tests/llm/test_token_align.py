@@ -1,5 +1,6 @@
 """Cross-tokenizer alignment against whole texts tokenized by the libraries and compared byte by byte."""
 
+import functools
 import hashlib
 import random
 from collections import Counter
@@ -21,11 +22,16 @@ def files():
     return token_align.read_tokenizers(*ALIGNED)
 
 
-def spelled(text):
-    """(ids, tokens' bytes) of a whole text by either tokenizer."""
+@functools.cache
+def libraries():
     a = tokenizers.Tokenizer.from_file(ALIGNED[0])
     a.encode_special_tokens = True
-    b = sentencepiece.SentencePieceProcessor(model_file=ALIGNED[1])
+    return a, sentencepiece.SentencePieceProcessor(model_file=ALIGNED[1])
+
+
+def spelled(text):
+    """(ids, tokens' bytes) of a whole text by either tokenizer."""
+    a, b = libraries()
     of = token_align.byte_level()
     ids = a.encode(" " + text, add_special_tokens=False).ids
     first = ids, [bytes(of[c] for c in a.id_to_token(i)) for i in ids]
@@ -75,9 +81,9 @@ def test_equals_whole_texts_for_any_range(spark, span, slice_rows):
 
 
 def test_joining_fragments_is_associative(files):
-    tokens, rng = token_align.Tokens(*files), random.Random(8)
+    tokens, rng = token_align.Tokens(files), random.Random(8)
     words = token_align.words_of("Unübersichtliche tokenizations of 日本語 and internationalisation, misalignments…" * 3)
-    a, b = tokens(words)
+    a, b = tokens(" ".join(words))
     n = sum(len(w.encode()) + 1 for w in words)
     cuts = sorted({0, n, *rng.sample(range(1, n), 25)})
     parts = [tokens.fragment(a, b, 0, low, high) for low, high in zip(cuts, cuts[1:])]
@@ -94,15 +100,20 @@ def test_joining_fragments_is_associative(files):
         assert got[:5] == want[:5] and all((x == y).all() for x, y in zip(got[5:], want[5:]))
 
 
-def test_words_are_tokenized_as_in_the_whole_text(files):
-    tokens = token_align.Tokens(*files)
-    for _, text in some_rows():
-        if text:
-            (a, ta), (b, tb) = spelled(text)
-            whole = (" " + text).encode()
-            got = tokens(token_align.words_of(text))
-            assert (got is not None) == (b"".join(ta) == whole == b"".join(tb)), text
-            assert got is None or ([*got[0]] == a and [*got[1]] == b)
+def test_words_and_both_engines_give_the_tokens_of_the_whole_text(files):
+    tokens = token_align.Tokens(files)
+    latin = "".join(map(chr, [*range(9, 11), 13, *range(0x20, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x250), *range(0x2010, 0x2028), 0x20AC]))
+    rng = random.Random(6)
+    texts = [t for _, t in some_rows() if t] + [latin] + ["".join(rng.choices(latin, k=60)) for _ in range(300)]
+    assert files.ranks and not token_align.ODD.search(latin) and token_align.ODD.search("日") and token_align.ODD.search("\x85")
+    for text in texts:
+        (a, ta), (b, tb) = spelled(text)
+        got, whole = tokens(text), (" " + text).encode()
+        assert (got is not None) == (b"".join(ta) == whole == b"".join(tb)), text
+        if got:
+            assert [*got[0]] == a and [*got[1]] == b
+            words = [tokens(w) for w in token_align.words_of(text)]
+            assert all((np.concatenate(x) == y).all() for x, y in zip(zip(*words), got))
 
 
 def test_ranges_tokenize_no_word_more_than_twice():
