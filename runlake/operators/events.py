@@ -10,6 +10,19 @@ BLOCK = 65_536
 MARKER, LINE, END = 0, 1, 2
 
 
+def event_json() -> tuple[Column, Column]:
+    """Name and JSON of an event by its ``kind``, from ``attempt``, a line's columns, or ``error`` and ``status``."""
+    stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
+                     F.regexp_replace(F.regexp_replace(F.date_format("ts", ".SSSSSS"), "0+$", ""), r"^\.$", ""),
+                     F.lit("Z"))
+    kind = F.col("kind")
+    name = F.when(kind == MARKER, "attempt").when(kind == LINE, "line").otherwise("end")
+    data = (F.when(kind == MARKER, F.to_json(F.struct("attempt")))
+            .when(kind == LINE, F.to_json(F.struct("attempt", "seq", stamp.alias("ts"), "level", "line")))
+            .otherwise(F.to_json(F.struct("attempt", "error", "status"), {"ignoreNullFields": "false"})))
+    return name, data
+
+
 def event_rows(runs: DataFrame, logs: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     """Unordered events (run_id, attempt, kind, seq, event, data).
 

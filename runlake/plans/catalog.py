@@ -15,7 +15,7 @@ from runlake.plans.maintenance import maintenance_pass
 from runlake.schema import JOBS, LOGS, RUNS, SUCCEEDED
 from runlake.session import configure, shared_dir
 from runlake.sources import dispatch, fixtures, logs as log_source, outputs
-from runlake.streaming import jobs as streams, liveness, state
+from runlake.streaming import jobs as streams, liveness, state, tail
 from runlake.streaming.batches import latest, read_batches, run_available, schema_of, write_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -618,7 +618,7 @@ def stream_state_timers(v: Views) -> DataFrame:
 
 @query
 def stream_log_tail(v: Views) -> DataFrame:
-    runs, lines, sent = (shared_dir(v.spark, f"tail-{x}") for x in ("runs", "lines", "events"))
-    run_available(streams.tail_input(v.stream("job_runs"), v.stream("job_logs")), streams.tail_writer(runs, lines, sent), "tail")
-    rows = events.event_rows(v.runs, v.logs)
-    return read_batches(v.spark, sent, schema_of(rows)).drop("batch")
+    target = shared_dir(v.spark, "tail-events")
+    sent = tail.tail(tail.tail_input(v.stream("job_runs"), v.stream("job_logs")))
+    run_available(sent, streams.append_writer(target), "tail")
+    return read_batches(v.spark, target, schema_of(sent)).drop("batch")

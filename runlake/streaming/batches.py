@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from runlake.session import shared_dir
-
+from runlake.streaming.buckets import BucketedTable
 
 COMPACT_EVERY = 16
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -76,11 +76,12 @@ def write_changes(df: DataFrame, root: str, batch_id: int) -> None:
         _newest(past, df.columns).select(*df.columns, "batch").write.mode("overwrite").parquet(_base_dir(root, batch_id))
 
 
-def latest(start: DataFrame, root: str, batch_id: int | None = None, ids: DataFrame | None = None) -> DataFrame:
+def latest(start: DataFrame | BucketedTable, root: str, batch_id: int | None = None, ids: DataFrame | None = None) -> DataFrame:
     """The newest version of each row of ``start``, given the changed rows each batch wrote.
 
-    With ``ids`` only those rows are looked at. Batches from ``batch_id`` on are left out.
+    With ``ids`` only those rows are looked at, and of a bucketed table only their buckets. Batches from ``batch_id`` on are left out.
     """
+    start = start.read(ids) if isinstance(start, BucketedTable) else start
     versions = start.withColumn("batch", F.lit(-1).cast("bigint"))
     schema = schema_of(start)
     if batch_id is None:

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from runlake.config import DEFAULT_POLICY, Policy
 from runlake.operators import fold, transitions
-from runlake.operators.events import event_rows
-from runlake.schema import LOGS, RUNS
+from runlake.schema import LOG_KEY, LOGS, RUNS
 from runlake.sources import dispatch, logs
+from runlake.streaming.buckets import BucketedTable, KeyIndex
 from runlake.streaming.batches import latest, read_batches, schema_of, write_batch, write_changes
 
 Writer = Callable[[DataFrame, int], None]
@@ -22,37 +22,47 @@ Writer = Callable[[DataFrame, int], None]
 def dispatch_writer(good_dir: str, dead_dir: str) -> Writer:
     """Decode messages; good ones and dead letters go to two folders."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
         good, dead = dispatch.split(dispatch.decode(batch))
         write_batch(good, good_dir, batch_id)
         write_batch(dead, dead_dir, batch_id)
+        batch.unpersist()
     return write
 
 
-def claim_writer(runs: DataFrame, changes: str, requests: Callable[[DataFrame], DataFrame],
+def claim_writer(runs: DataFrame | BucketedTable, changes: str, requests: Callable[[DataFrame], DataFrame],
                  as_of: Column) -> Writer:
     """Let arriving messages claim runs.
 
     A message repeated in a later batch may claim again, as a re-dispatch must,
     so messages are reduced only within their batch; the run's status decides.
-    A batch reads the runs it names and writes those it claims; ``latest`` of the
-    changes gives all runs.
+    A batch reads the buckets of the runs it names and writes those it claims; ``latest`` of the
+    changes gives all runs. A table that is not bucketed yet is copied once.
     """
+    start = bucketed(runs, changes)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         good, _ = dispatch.split(dispatch.decode(batch))
-        asked = requests(good)
-        now = latest(runs, changes, batch_id, asked.select(F.col("run_id").alias("id")).distinct())
+        asked = requests(good).persist()
+        now = latest(start, changes, batch_id, asked.select(F.col("run_id").alias("id")).distinct())
         write_changes(transitions.claim(now, asked, as_of).changed, changes, batch_id)
+        asked.unpersist()
     return write
 
 
 def log_writer(target: str, existing: DataFrame, arrival=("ts", "line", "level")) -> Writer:
-    """Append new log lines; a key already stored is ignored."""
+    """Append new log lines; a key already stored is ignored.
+
+    What is stored is looked up in an index of keys beside ``target``, so stored lines are not read again.
+    """
+    index = KeyIndex(existing.sparkSession, f"{target}-index", LOG_KEY, dict(existing.dtypes))
+    index.begin(existing)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        stored = existing.select(*LOGS)
-        if batch_id > 0:
-            stored = stored.unionByName(
-                read_batches(batch.sparkSession, target, schema_of(stored), batch_id).select(*LOGS))
-        write_batch(logs.new_lines(stored, batch, arrival).select(*LOGS), target, batch_id)
+        first = logs.first_copies(batch, arrival).select(*LOGS).persist()
+        write_batch(index.absent(first, batch_id), target, batch_id)
+        index.add(read_batches(batch.sparkSession, target, schema_of(first), batch_id + 1, batch_id - 1), batch_id)
+        first.unpersist()
     return write
 
 
@@ -86,56 +96,25 @@ def with_counts(runs: DataFrame) -> DataFrame:
     return runs.select(*RUNS).withColumn("accepted", zero).withColumn("rejected", zero)
 
 
+def bucketed(table: DataFrame | BucketedTable, changes: str) -> BucketedTable:
+    return table if isinstance(table, BucketedTable) else BucketedTable.write(table, f"{changes}-start")
+
+
 def state_writer(runs: DataFrame, jobs: DataFrame, changes: str,
                  policy: Policy = DEFAULT_POLICY) -> Writer:
     """Fold arriving events into the stored runs; event counts add up over batches.
 
-    As with claims, a batch reads and writes only the runs it has events for.
+    As with claims, a batch reads the buckets of the runs that it has events for, and writes those runs.
     """
-    start = with_counts(runs)
+    start = bucketed(with_counts(runs), changes)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
         before = latest(start, changes, batch_id, batch.select(F.col("run_id").alias("id")).distinct())
         after = fold.state_fold(before.select(*RUNS), jobs, batch, policy)
         past = before.select("id", F.col("accepted").alias("_a"), F.col("rejected").alias("_r"))
         write_changes(after.join(past, "id").select(
             *RUNS, (F.col("accepted") + F.col("_a")).alias("accepted"),
             (F.col("rejected") + F.col("_r")).alias("rejected")), changes, batch_id)
-    return write
-
-
-EVENT_KEY = ["run_id", "attempt", "kind", "seq"]
-
-
-def tail_input(runs: DataFrame, lines: DataFrame) -> DataFrame:
-    """One stream of changed runs and of new log lines, for ``tail_writer``."""
-    run, line = (F.struct(*[F.col(c) for c in columns]) for columns in (RUNS, LOGS))
-    run_type, line_type = (f"struct<{schema_of(df.select(*columns)).replace('` ', '`:')}>"
-                           for df, columns in ((runs, RUNS), (lines, LOGS)))
-    return runs.select(run.alias("run"), F.lit(None).cast(line_type).alias("line")).unionByName(
-        lines.select(F.lit(None).cast(run_type).alias("run"), line.alias("line")))
-
-
-def tail_writer(runs_dir: str, lines_dir: str, events_dir: str) -> Writer:
-    """Emit the log events that each batch of changed runs and new lines makes known.
-
-    A batch stores both and looks at the runs that either names, so a run's ``end`` comes
-    with its last status even where no line follows, and a run without lines has its
-    markers. A worker stores its lines before its status, so where inputs keep that order an ``end`` never
-    precedes its lines; the set of events is the same in any order.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        changed = batch.filter("run IS NOT NULL").select("run.*")
-        arrived = batch.filter("line IS NOT NULL").select("line.*")
-        write_changes(changed, runs_dir, batch_id)
-        log_writer(lines_dir, arrived.limit(0))(arrived, batch_id)
-        touched = changed.select("id").unionByName(arrived.select(F.col("run_id").alias("id"))).distinct()
-        runs = latest(changed.limit(0), runs_dir, batch_id + 1, touched)
-        stored = read_batches(spark, lines_dir, schema_of(arrived), batch_id + 1).select(*LOGS)
-        rows = event_rows(runs, stored.join(touched.withColumnRenamed("id", "run_id"), "run_id", "left_semi"))
-        if batch_id > 0:
-            sent = read_batches(spark, events_dir, schema_of(rows), batch_id)
-            rows = rows.join(sent.select(*EVENT_KEY), EVENT_KEY, "left_anti")
-        write_batch(rows, events_dir, batch_id)
+        batch.unpersist()
     return write

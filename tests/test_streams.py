@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from runlake.operators import events, fold, transitions
 from runlake.plans import catalog
 from runlake.sources import dispatch, tables
-from runlake.streaming import batches, jobs as streams
+from runlake.streaming import batches, jobs as streams, tail
 from runlake.streaming.batches import latest, read_batches, run_available, schema_of
 
 
@@ -88,19 +88,67 @@ def test_a_redispatched_message_may_claim_again_but_a_claimed_run_stays(spark, t
 
 
 def test_tail_emits_each_event_once_and_ends_after_the_lines(spark, tmp_path):
-    """Four batches: a line while RUNNING, more lines, the status alone, and a run that never writes a line."""
+    """A line while RUNNING, re-sent ones among more lines, the status alone, a run that never writes a line, lines before their run."""
     running, done = runs(spark, dict(status="RUNNING", worker_id="w", attempt=1)), runs(spark, dict(status="SUCCEEDED", attempt=2))
-    quiet = runs(spark, dict(id="r2", status="FAILED", error="no"))
+    quiet, last = runs(spark, dict(id="r2", status="FAILED", error="no")), runs(spark, dict(id="r3", attempt=2, status="QUEUED"))
     empty, none = logs(spark), runs(spark).limit(0)
-    lines = [[("r1", 1, 1, ago(9), "info", "a1")], [("r1", 1, 2, ago(8), "info", "a2"), ("r1", 2, 1, ago(7), "info", "b1")]]
-    batches = [(running, lines[0]), (none, lines[1]), (done, []), (quiet, [])]
-    write = streams.tail_writer(*(f"{tmp_path}/{x}" for x in ("runs", "lines", "events")))
-    for n, (run_rows, line_rows) in enumerate([*batches[:3], batches[2], batches[3]]):  # one batch is replayed
-        write(streams.tail_input(run_rows, spark.createDataFrame(line_rows, empty.schema)), min(n, 2) if n < 4 else 3)
-    want = events.event_rows(done.unionByName(quiet), spark.createDataFrame(sum(lines, []), empty.schema))
+    lines = [[("r1", 1, 1, ago(9), "info", "a1"), ("r3", 2, 5, ago(9), "info", "early")],
+             [("r1", 1, 3, ago(8), "info", "a3"), ("r1", 1, 3, ago(9), "info", "first copy"), ("r1", 2, 1, ago(7), "info", "b1"), ("r1", 3, 1, ago(7), "info", "never")],
+             [("r1", 1, 1, ago(99), "info", "again"), ("r1", 1, 2, ago(1), "info", "late")], [("r3", 2, 5, ago(99), "info", "again")]]
+    given = [(running, lines[0]), (none, lines[1]), (done, lines[2]), (quiet, []), (last, lines[3])]
+    inputs = [tail.tail_input(r, spark.createDataFrame(x, empty.schema)) for r, x in given]
+    stream = tail.tail(as_files(spark, inputs[0], [df.collect() for df in inputs], tmp_path))
+    run_available(stream, streams.append_writer(f"{tmp_path}/events"), "t")
+    kept = spark.createDataFrame([lines[0][0], lines[0][1], *lines[1][1:], lines[2][1]], empty.schema)
+    want = events.event_rows(done.unionByName(quiet).unionByName(last), kept)
     got = read_batches(spark, f"{tmp_path}/events", schema_of(want))
     assert rows_of(got.drop("batch")) == rows_of(want)
     assert sorted((r.run_id, r.batch) for r in got.filter("event = 'end'").collect()) == [("r1", 2), ("r2", 3)]
+    assert [r.batch for r in got.filter("data LIKE '%early%'").collect()] == [4] and got.filter("data LIKE '%b1%'").first().batch == 2
+
+
+def test_a_hot_run_costs_its_tail_what_arrives(monkeypatch):
+    """Two hundred batches for one run: each reads one cursor of constant size and nothing else."""
+    class Value:
+        now, reads = None, 0
+
+        def get(self):
+            self.reads += 1
+            return self.now
+
+        def update(self, value):
+            self.now = value
+
+    class Handle:
+        cursor, waiting = Value(), None
+
+        def getValueState(self, *_):
+            return self.cursor
+
+        def getMapState(self, *_):
+            return self.waiting  # not touched
+    keeper, handle = tail.TailKeeper(), Handle()
+    keeper.init(handle)
+    line = lambda seq: dict(attempt=1, seq=seq, ts=ago(0), level="info", line="x", status=None, error=None, is_run=False)
+    run = dict(attempt=1, status="RUNNING", error=None, seq=None, is_run=True)
+    assert len(list(keeper.handleInputRows(("r",), [run], None))) == 1
+    for n in range(200):
+        fresh = range(n * 100, n * 100 + 100)
+        assert len(list(keeper.handleInputRows(("r",), map(line, [*reversed(fresh), n * 50]), None))) == 100
+    assert handle.cursor.now[-1] == [[1, 0, 19_999]] and handle.cursor.reads == 201
+
+
+def test_ranges_of_seen_lines():
+    import random
+    rng = random.Random(5)
+    for _ in range(50):
+        ranges, seen = [], set()
+        for _ in range(60):
+            seq = rng.randrange(40)
+            assert tail.add_seen(ranges, seq) == (seq not in seen)
+            seen.add(seq)
+        flat = [x for low, high in zip(ranges[::2], ranges[1::2]) for x in range(low, high + 1)]
+        assert flat == sorted(seen) and all(b - a > 1 for a, b in zip(ranges[1::2], ranges[2::2]))
 
 
 def test_bounded_deduplication(spark, tmp_path):
