@@ -330,6 +330,13 @@ FROM jobs WHERE id % 11 = 0 AND id % 3 > 0"""),
   CAST(attempt + 1 AS INTEGER) AS attempt, 'reaped' AS source FROM j WHERE {STALE} AND attempt <= max_retries
 UNION ALL SELECT id, job_id, job_type, status, attempt, 'retry' FROM j WHERE {RETRY_DUE}
 UNION ALL SELECT id, job_id, job_type, status, attempt, 'swept' FROM j WHERE {SWEEP_DUE} AND next_attempt_at IS NULL""", JOINED),
+    "maintenance_pass_limited": _q("jobs job_runs", """SELECT id AS run_id, job_id, job_type, 'QUEUED' AS status,
+  CAST(attempt + 1 AS INTEGER) AS attempt, 'reaped' AS source FROM reaped WHERE attempt <= max_retries
+UNION ALL SELECT id, job_id, job_type, status, attempt, 'retry' FROM retried
+UNION ALL SELECT id, job_id, job_type, status, attempt, 'swept' FROM swept""", JOINED,
+        f"reaped AS (SELECT * FROM j WHERE {STALE} ORDER BY last_heartbeat_at, id LIMIT 100)",
+        f"retried AS (SELECT * FROM j WHERE {RETRY_DUE} ORDER BY next_attempt_at, id LIMIT 100)",
+        f"swept AS (SELECT * FROM j WHERE {SWEEP_DUE} AND id NOT IN (SELECT id FROM retried) ORDER BY queued_at, id LIMIT 100)"),
     "state_fold": _q("jobs job_runs run_events", FOLD_BODY, *FOLD, recursive=True),
     "retry_delay": _q("run_events", f"""SELECT run_id, tiebreak, CAST(tiebreak % 40 + 1 AS INTEGER) AS attempt,
   {DELAY.format(a='(tiebreak % 40 + 1)')} AS delay_sec FROM run_events"""),
@@ -455,4 +462,6 @@ WHERE following IS NOT NULL OR date_trunc('millisecond', reap_at) < (
     "stream_state_timers": _q("jobs job_runs run_events", FOLD_BODY, *TIMED, recursive=True),
     "stream_log_tail": _q("job_runs job_logs", "SELECT run_id, attempt, kind, seq, event, data FROM ev",
                           LINES, EVENT_ROWS),
+    "stream_log_tail_cursor": _q("job_runs job_logs", "SELECT run_id, attempt, kind, seq, event, data FROM ev",
+                          LINES, EVENT_ROWS),
 }

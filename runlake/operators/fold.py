@@ -120,7 +120,8 @@ def state_fold(runs: DataFrame, jobs: DataFrame, events: DataFrame, policy: Poli
     most = events.groupBy("run_id").count().agg(F.max("count")).first()[0] or 0
     if most <= chunk:
         return _fold(state, events, policy).drop("max_retries")
-    events = materialize(_in_chunks(events, chunk), "fold-chunks")
+    # One folder per chunk number: a pass opens its own files only.
+    events = materialize(_in_chunks(events, chunk).hint("rebalance", "_chunk"), "fold-chunks", "_chunk")
     long = events.filter("_chunk = 1").select(F.col("run_id").alias("id")).distinct()
     first = materialize(_fold(state, events.filter("_chunk = 0"), policy), "fold-state")
     done, state = [first.join(long, "id", "left_anti")], first.join(long, "id", "left_semi")

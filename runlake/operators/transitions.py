@@ -159,25 +159,36 @@ def _has_job() -> Column:
     return F.col("job_type").isNotNull()
 
 
-def reap_step(df: DataFrame, as_of: Column, stale_after: int, limit: int | None = None) -> Transition:
-    guard = ((F.col("status") == RUNNING)
-             & (F.col("last_heartbeat_at") < as_of - seconds(stale_after)) & _has_job())
-    df, hit = _pick(df, guard, "last_heartbeat_at", limit)
+def is_stale(as_of: Column, stale_after: int) -> Column:
+    return (F.col("status") == RUNNING) & (F.col("last_heartbeat_at") < as_of - seconds(stale_after)) & _has_job()
+
+
+def is_due(as_of: Column) -> Column:
+    return (F.col("status") == QUEUED) & (F.col("next_attempt_at") <= as_of) & _has_job()
+
+
+def is_overdue(as_of: Column, older_than: int) -> Column:
+    return (F.col("status") == QUEUED) & (F.col("queued_at") < as_of - seconds(older_than)) & _backoff_over(as_of) & _has_job()
+
+
+def reap_step(df: DataFrame, as_of: Column, stale_after: int, limit: int | None = None, hit: Column | None = None) -> Transition:
+    """``hit`` marks rows that were picked already; otherwise the guard and ``limit`` decide, here and below."""
+    if hit is None:
+        df, hit = _pick(df, is_stale(as_of, stale_after), "last_heartbeat_at", limit)
     lost = F.concat(F.lit("attempt "), F.col("attempt").cast("string"), F.lit(" lost worker "),
                     F.coalesce("worker_id", F.lit("")))
     return _mark(df, hit, _by_exhaustion(_exhausted(), as_of) | {"error": lost})
 
 
-def retry_step(df: DataFrame, as_of: Column, limit: int | None = None) -> Transition:
-    guard = (F.col("status") == QUEUED) & (F.col("next_attempt_at") <= as_of) & _has_job()
-    df, hit = _pick(df, guard, "next_attempt_at", limit)
+def retry_step(df: DataFrame, as_of: Column, limit: int | None = None, hit: Column | None = None) -> Transition:
+    if hit is None:
+        df, hit = _pick(df, is_due(as_of), "next_attempt_at", limit)
     return _mark(df, hit, {"next_attempt_at": null(), "queued_at": as_of})
 
 
-def sweep_step(df: DataFrame, as_of: Column, older_than: int, limit: int | None = None) -> Transition:
-    guard = ((F.col("status") == QUEUED) & (F.col("queued_at") < as_of - seconds(older_than))
-             & _backoff_over(as_of) & _has_job())
-    df, hit = _pick(df, guard, "queued_at", limit)
+def sweep_step(df: DataFrame, as_of: Column, older_than: int, limit: int | None = None, hit: Column | None = None) -> Transition:
+    if hit is None:
+        df, hit = _pick(df, is_overdue(as_of, older_than), "queued_at", limit)
     return _mark(df, hit, {"queued_at": as_of})
 
 

@@ -315,6 +315,11 @@ def maintenance_dispatches(v: Views) -> DataFrame:
     return maintenance_pass(v.runs, v.jobs, v.as_of).dispatches
 
 
+@query
+def maintenance_pass_limited(v: Views) -> DataFrame:
+    return maintenance_pass(v.runs, v.jobs, v.as_of, limit=100).dispatches
+
+
 QUERIES["maintenance_pass"] = QUERIES.pop("maintenance_dispatches")
 
 
@@ -618,6 +623,14 @@ def stream_state_timers(v: Views) -> DataFrame:
 
 @query
 def stream_log_tail(v: Views) -> DataFrame:
+    runs, lines, sent = (shared_dir(v.spark, f"tail-{x}") for x in ("runs", "lines", "events"))
+    run_available(tail.tail_input(v.stream("job_runs"), v.stream("job_logs")), streams.tail_writer(runs, lines, sent), "tail")
+    rows = events.event_rows(v.runs, v.logs)
+    return read_batches(v.spark, sent, schema_of(rows)).drop("batch")
+
+
+@query
+def stream_log_tail_cursor(v: Views) -> DataFrame:
     target = shared_dir(v.spark, "tail-events")
     sent = tail.tail(tail.tail_input(v.stream("job_runs"), v.stream("job_logs")))
     run_available(sent, streams.append_writer(target), "tail")

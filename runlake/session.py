@@ -38,8 +38,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, cutting its lineage."""
+def materialize(df: DataFrame, purpose: str, *partitions: str) -> DataFrame:
+    """Write ``df`` to the shared folder, by folders of ``partitions``, and read it back, cutting its lineage."""
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.partitionBy(*partitions).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-BUCKETS = 64
+BUCKETS = 16
 # Segments that make one of the next level, and the filter: bitmaps of BITS bits for about KEYS_PER_BLOCK keys, PROBES bits a key.
 FAN = 16
 BITS, KEYS_PER_BLOCK, PROBES = 32_768, 1024, 8
@@ -81,7 +81,7 @@ class KeyIndex:
         blocks = max(1, -(-count // (KEYS_PER_BLOCK * self.buckets)))
         bits = self._hashed(rows, blocks).select("_bucket", "_block", F.explode("_bits").alias("_bit"))
         filters = bits.groupBy("_bucket", "_block").agg(F.bitmap_construct_agg("_bit").alias("bits"))
-        filters.repartitionByRange(4, "_bucket").write.mode("overwrite").parquet(self._path("filters", segment))
+        filters.write.mode("overwrite").parquet(self._path("filters", segment))
         self.spark.createDataFrame([(count, blocks)], "n bigint, blocks bigint").coalesce(1).write.mode("overwrite").parquet(self._path("sizes", segment))
 
     def _schema(self) -> str:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from runlake.config import DEFAULT_POLICY, Policy
 from runlake.operators import fold, transitions
+from runlake.operators.events import event_rows
 from runlake.schema import LOG_KEY, LOGS, RUNS
 from runlake.sources import dispatch, logs
 from runlake.streaming.buckets import BucketedTable, KeyIndex
@@ -118,3 +119,39 @@ def state_writer(runs: DataFrame, jobs: DataFrame, changes: str,
             (F.col("rejected") + F.col("_r")).alias("rejected")), changes, batch_id)
         batch.unpersist()
     return write
+
+
+EVENT_KEY = ["run_id", "attempt", "kind", "seq"]
+
+
+def _store_lines(lines: DataFrame, target: str, batch_id: int) -> None:
+    past = read_batches(lines.sparkSession, target, schema_of(lines), batch_id).select(*lines.columns)
+    write_batch(logs.new_lines(past, lines).select(*lines.columns), target, batch_id)
+
+
+def tail_writer(runs_dir: str, lines_dir: str, events_dir: str) -> Writer:
+    """Emit the log events that each batch of changed runs and new lines makes known, with built-in operators alone.
+
+    It reads the stored lines and sent events of the runs that a batch names again: a form for streams of few batches. A
+    long one is followed by ``runlake.streaming.tail``, which reads nothing twice.
+
+    A batch stores both and looks at the runs that either names, so a run's ``end`` comes
+    with its last status even where no line follows, and a run without lines has its
+    markers. A worker stores its lines before its status, so where inputs keep that order an ``end`` never
+    precedes its lines; the set of events is the same in any order.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        changed = batch.filter("run IS NOT NULL").select("run.*")
+        arrived = batch.filter("line IS NOT NULL").select("line.*")
+        write_changes(changed, runs_dir, batch_id)
+        _store_lines(arrived, lines_dir, batch_id)
+        touched = changed.select("id").unionByName(arrived.select(F.col("run_id").alias("id"))).distinct()
+        runs = latest(changed.limit(0), runs_dir, batch_id + 1, touched)
+        stored = read_batches(spark, lines_dir, schema_of(arrived), batch_id + 1).select(*LOGS)
+        rows = event_rows(runs, stored.join(touched.withColumnRenamed("id", "run_id"), "run_id", "left_semi"))
+        if batch_id > 0:
+            sent = read_batches(spark, events_dir, schema_of(rows), batch_id)
+            rows = rows.join(sent.select(*EVENT_KEY), EVENT_KEY, "left_anti")
+        write_batch(rows, events_dir, batch_id)
+    return write

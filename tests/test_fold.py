@@ -128,3 +128,19 @@ def test_attempts_never_fall_and_final_runs_never_change(case):
             if last["status"] in ("SUCCEEDED", "FAILED"):
                 assert now["status"] == last["status"]
             last = now
+
+
+def test_a_pass_opens_the_files_of_its_chunk_only(spark, case, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from runlake.operators import fold
+    opened, real = [], fold._fold
+
+    def spy(runs, events, *rest):
+        opened.append({r[0].split("_chunk=")[1].split("/")[0] for r in events.select(F.input_file_name()).distinct().collect()})
+        assert "PartitionFilters: [isnotnull(_chunk" in events._jdf.queryExecution().executedPlan().toString()
+        return real(runs, events, *rest)
+    monkeypatch.setattr(fold, "_fold", spy)
+    table, job, events, want = case
+    check(state_fold(table, job, spark.createDataFrame(events, EVENT), chunk=40), want)
+    assert len(opened) > 2 and opened == [{str(k)} for k in range(len(opened))]

@@ -95,6 +95,9 @@ def test_batch_queries_run_no_python_and_no_cross_join(spark, name):
     text = plan(catalog.QUERIES[name](spark, SF))
     for bad in ("Python", "ArrowEval", "BatchEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in text
+    if name == "maintenance_pass_limited":  # its picks, at most twice the limit of each step, follow within one row
+        assert "WindowGroupLimit" in text and text.count("SinglePartition") <= 1 and "_rank" in text
+        return
     assert "AllTuples" not in text and "SinglePartition" not in re.sub(r"TakeOrdered\w+", "", text)
 
 
@@ -126,3 +129,16 @@ def test_request_guards_broadcast_nothing_unbounded(spark):
     table = runs(spark, running())
     text = transitions.reap_stale(table, jobs(spark, {}), as_of(), 15).marked._jdf.queryExecution().logical().toString()
     assert "broadcast" not in text
+
+
+def test_a_limited_pass_scans_and_joins_little(spark, tmp_path):
+    from helpers import as_of, jobs, runs
+    from runlake.plans.maintenance import maintenance_pass
+    tables = []
+    for name, df in (("runs", runs(spark, {})), ("jobs", jobs(spark, {}))):
+        df.write.parquet(f"{tmp_path}/{name}")
+        tables.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    done = maintenance_pass(*tables, as_of(), limit=100)
+    plan = done.dispatches._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 4 and plan.count("Join ") <= 3, plan
+    assert "WindowGroupLimit" in plan

@@ -114,3 +114,23 @@ def test_success_outranks_every_cause(spark):
     got = df.select(F.inline(F.array(retry.outcome(F.col("err"), F.col("cause"), F.lit(60))))).collect()
     assert [tuple(r) for r in got] == [("success", None), ("lost", None), ("released", None),
                                        ("timeout", "timed out after 60s"), ("error", "e")]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_a_limited_pass_equals_its_steps_one_by_one(spark, seed):
+    """Stalest first, each step on the result of the one before; also for runs that keep an old backoff while they run."""
+    import random
+    rng = random.Random(seed)
+    table = runs(spark, *[dict(
+        id=f"r{i:02}", job_id=rng.choice(["j1", "j1", "gone"]), scheduled_time=ago(i), status=rng.choice(["QUEUED", "RUNNING", "RUNNING", "FAILED"]),
+        worker_id="w", attempt=rng.randint(1, 3), queued_at=ago(rng.choice([30, 70, 80, 90])), last_heartbeat_at=rng.choice([None, ago(5), ago(20), ago(40)]),
+        next_attempt_at=rng.choice([None, ago(9), ago(3), ago(-9)])) for i in range(60)]).persist()
+    for limit in (1, 3, 100):
+        got = maintenance_pass(table, jobs(spark, {}), as_of(), limit=limit)
+        now, sent = table, {}
+        for name, step in (("reaped", t.reap_stale), ("retry", t.due_retries), ("swept", t.sweep_queued)):
+            done = step(now, jobs(spark, {}), as_of(), limit=limit)
+            sent |= {r.id: (r.status, r.attempt, name) for r in done.changed.collect()}
+            now = spark.createDataFrame(done.snapshot.collect(), table.schema)
+        assert sorted(map(tuple, got.snapshot.collect())) == sorted(map(tuple, now.collect()))
+        assert {r.run_id: (r.status, r.attempt, r.source) for r in got.dispatches.collect()} == {k: x for k, x in sent.items() if x[0] != "FAILED"}
