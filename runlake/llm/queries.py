@@ -50,41 +50,29 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows without ``doc_id`` have no next document and are left out; a repeated ``doc_id`` gives a row for
-    each of its texts with each of the next one's. ``n_within``: other documents at most ``simhash.RADIUS`` bits
-    away, for ids divisible by 100."""
-    docs = _table(spark, sf_dir, "documents").filter("doc_id IS NOT NULL").select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    chars = docs.select("doc_id", F.length("text").alias("n")).groupBy("doc_id").agg(F.max("n").alias("n"))
-    order = materialize(simhash.next_ids(docs), "order")
-    before = chars.select(F.col("doc_id").alias("prev_id"), F.floor(F.col("n") / 4).cast("int").alias("k"))
-    places = materialize(order.join(before, "prev_id"), "order")
-    texts = docs.join(places, "doc_id")
-    heads = texts.select(F.col("prev_id").alias("doc_id"), F.col("text").substr(F.lit(1), F.col("k")).alias("head"))
-    kept = F.length("text") - F.floor(F.length("text") / 4).cast("int")
-    both = texts.join(heads, "doc_id").select("doc_id", "next_id", "text", F.concat(
-        F.col("text").substr(F.lit(1), kept), F.col("head")).alias("edited"))
-    digests = both.select("doc_id", "next_id", F.length("text").cast("long").alias("n_chars"),
-                          F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64("text").alias("mark"), F.xxhash64("edited").alias("e_mark"))
-    forms = both.select("doc_id", F.inline(F.array(
-        F.struct(F.lit(0).alias("kind"), F.xxhash64("text").alias("mark"), F.col("text")),
-        F.struct(F.lit(1).alias("kind"), F.xxhash64("edited").alias("mark"), F.col("edited").alias("text")))).alias("kind", "mark", "text"))
-    prints = materialize(simhash.fingerprint(forms, ["doc_id", "kind", "mark"]), "fingerprints")
-    whole = prints.filter("kind = 0").drop("kind")
-
-    def named(df: DataFrame, doc: str, mark: str, p: str) -> DataFrame:
-        return df.select(F.col("doc_id").alias(doc), F.col("mark").alias(mark), F.col("high").alias(f"{p}_high"), F.col("low").alias(f"{p}_low"))
-    joined = (digests.join(named(whole, "doc_id", "mark", "own"), ["doc_id", "mark"])
-              .join(named(prints.filter("kind = 1"), "doc_id", "e_mark", "edited"), ["doc_id", "e_mark"])
-              .join(named(whole, "next_id", "next_mark", "next"), "next_id"))
+    """One row per document. ``n_within``: other documents at most ``simhash.RADIUS`` bits away, for ids divisible by 100."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    also = {c: F.col(c) for c in ("n_chars", "next_id", "next_mark")} | simhash.packed(F.sha2("text", 256))
+    prints = materialize(simhash.fingerprint(simhash.with_edits(docs), ["doc_id", "mark", "edited"], also), "fingerprints")
+    own = prints.filter("NOT edited").select("doc_id", "mark", F.col("high").alias("own_high"), F.col("low").alias("own_low"), "copies")
+    edits = prints.filter("edited").select("doc_id", "mark", "next_id", "next_mark", "n_chars", simhash.unpacked().alias("edited_sha256"),
+                                           F.col("high").alias("edited_high"), F.col("low").alias("edited_low"))
+    following = own.select(F.col("doc_id").alias("next_id"), F.col("mark").alias("next_mark"), F.col("own_high").alias("next_high"), F.col("own_low").alias("next_low"))
+
+    def same(*columns: str) -> list:
+        return [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in columns]
+    joined = own.alias("l").join(edits.alias("r"), same("doc_id", "mark")).select("l.*", "next_id", "next_mark", "n_chars", "edited_sha256", "edited_high", "edited_low")
+    joined = joined.alias("l").join(following.alias("r"), same("next_id", "next_mark")).select("l.*", "next_high", "next_low")
     halves = {p: (F.col(f"{p}_high"), F.col(f"{p}_low")) for p in ("own", "edited", "next")}
-    near = simhash.within(whole.filter("doc_id % 100 = 0").select("doc_id", "high", "low"), whole.select("high", "low"))
-    near = near.groupBy("doc_id").agg((F.max("n_within") - 1).alias("n_within"))
-    return joined.join(near, "doc_id", "left").select(
+    whole = own.select("doc_id", "mark", F.col("own_high").alias("high"), F.col("own_low").alias("low"), F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    asked = whole.filter("doc_id % 100 = 0").select(F.struct("doc_id", "mark").alias("doc_id"), "high", "low").distinct()
+    near = simhash.within(asked, whole.select("high", "low")).select("doc_id.*", (F.col("n_within") - 1).alias("n_within"))
+    return joined.join(near, ["doc_id", "mark"], "left").select(
         "doc_id", "n_chars", "edited_sha256", simhash.text_of(*halves["own"]).alias("fingerprint"),
         simhash.text_of(*halves["edited"]).alias("edited_fingerprint"),
         simhash.likeness(*halves["own"], *halves["edited"]).alias("near_edited"),
-        simhash.likeness(*halves["own"], *halves["next"]).alias("near_next"), "n_within").distinct()
+        simhash.likeness(*halves["own"], *halves["next"]).alias("near_next"), "n_within",
+        F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,20 +26,27 @@ BLOCKS, RADIUS = 7, 19  # texts with a fiftieth of their words changed are about
 _WORD = "[^\\s]+"
 
 
-def _terms(texts: DataFrame, keys: list[str]) -> DataFrame:
+def _terms(texts: DataFrame, keys: list[str], also: dict[str, Column]) -> DataFrame:
+    """A text's terms; the values of ``also`` stand beside its first one."""
     words = F.split(F.lower("text"), "\\s+")
-    pair = F.inline(F.arrays_zip(words.alias("x"), F.slice(words, 2, F.size(words)).alias("y"))).alias("x", "y")
+    once = F.array(F.struct(F.lit(1).cast("long").alias("copies"), *[c.cast("long").alias(name) for name, c in also.items()]))
+    pair = F.inline(F.arrays_zip(words.alias("x"), F.slice(words, 2, F.size(words)).alias("y"), once.alias("z"))).alias("x", "y", "z")
     rows = texts.select(*keys, pair)
     weight = F.least(F.length("x") + F.coalesce(F.length("y"), F.lit(0)), F.lit(24)).cast("long")
-    return rows.select(*keys, weight.alias("w"), F.xxhash64("x", "y").alias("h0"), F.xxhash64(F.lit(1), "x", "y").alias("h1"))
+    return rows.select(*keys, "z.*", weight.alias("w"), F.xxhash64("x", "y").alias("h0"), F.xxhash64(F.lit(1), "x", "y").alias("h1"))
 
 
-def fingerprint(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """(*keys, high, low): the fingerprint's halves, one row per key; ``texts`` has a text per key."""
+def fingerprint(texts: DataFrame, keys: list[str], also: dict[str, Column] | None = None) -> DataFrame:
+    """(*keys, high, low, copies, *also): the fingerprint's halves, one row per key.
+
+    Rows of one key must have equal texts; ``copies`` is their number, which changes no vote's majority. ``also``
+    names numbers to be carried along, equal for all rows of a key.
+    """
+    also = also or {}
     votes = [F.sum(F.expr(f"(shiftright(h{h}, {b}) & 4294967297L) * w")).alias(f"v{h}_{b}")  # bits b and b + 32
              for h in (0, 1) for b in range(32)]
-    counted = _terms(texts.select(*keys, F.coalesce("text", F.lit("")).alias("text")), keys).groupBy(*keys).agg(
-        F.sum("w").alias("total"), *votes)
+    counted = _terms(texts.withColumn("text", F.coalesce("text", F.lit(""))), keys, also).groupBy(*keys).agg(
+        F.sum("w").alias("total"), F.sum("copies").alias("copies"), *[F.max(name).alias(name) for name in also], *votes)
 
     def half(h: int) -> Column:
         out = F.lit(0).cast("long")
@@ -47,7 +54,42 @@ def fingerprint(texts: DataFrame, keys: list[str]) -> DataFrame:
             for up, votes_for in ((0, f"(v{h}_{b} & 4294967295L)"), (32, f"shiftrightunsigned(v{h}_{b}, 32)")):
                 out = out.bitwiseOR(F.expr(f"CASE WHEN 2 * {votes_for} > total THEN {_literal(b + up)} ELSE 0L END"))
         return out
-    return counted.select(*keys, half(0).alias("high"), half(1).alias("low"))
+    return counted.select(*keys, half(0).alias("high"), half(1).alias("low"), "copies", *also)
+
+
+def with_edits(docs: DataFrame) -> DataFrame:
+    """Every text of ``docs`` (doc_id, text), and its edited form, as rows (doc_id, mark, edited, text, n_chars, next_id, next_mark).
+
+    The edited text ends in the head of the next document: the last quarter of the characters gives way to the first
+    as many of the next one. ``mark`` is the hash of the original text. Documents are in ascending order of ``doc_id``,
+    one without ``doc_id`` first, and the last is followed by the first. Of several texts of the next ``doc_id`` the one
+    of the smallest hash is meant. Texts cross the network once, and the heads of the next ones.
+    """
+    key = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(-(1 << 63) - 1)).cast("decimal(20,0)"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", key)
+    ids = materialize(rows.groupBy("key", "doc_id").agg(
+        F.min(F.xxhash64("text")).alias("first"), F.max(F.floor(F.length("text") / 4)).cast("int").alias("most")), "ids")
+    order = next_ids(ids.select(F.col("key").alias("doc_id"))).select(F.col("doc_id").alias("key"), "next_id", "prev_id")
+    before = ids.select(F.col("key").alias("prev_id"), F.col("most").alias("asked"))
+    after = ids.select(F.col("key").alias("next_id"), F.col("doc_id").alias("next_doc"), F.col("first").alias("next_mark"))
+    places = materialize(order.join(before, "prev_id").join(after, "next_id").join(ids.select("key", "first"), "key"), "order")
+    texts = rows.join(places, "key").withColumn("mark", F.xxhash64("text"))
+    heads = texts.filter("mark = first").select(F.col("prev_id").alias("key"), F.col("text").substr(F.lit(1), F.col("asked")).alias("head"))
+    n, k = F.length("text"), F.floor(F.length("text") / 4).cast("int")
+    both = texts.join(heads.groupBy("key").agg(F.min("head").alias("head")), "key").select(
+        "doc_id", "mark", n.cast("long").alias("n_chars"), F.col("next_doc").alias("next_id"), "next_mark", F.inline(F.array(
+            F.struct(F.lit(False).alias("edited"), F.col("text")),
+            F.struct(F.lit(True).alias("edited"), F.concat(F.col("text").substr(F.lit(1), n - k), F.col("head").substr(F.lit(1), k)).alias("text")))))
+    return both
+
+
+def packed(sha256: Column) -> dict[str, Column]:
+    """A digest's 64 hex digits as four numbers."""
+    return {f"sha_{i}": F.conv(F.substring(sha256, 1 + 16 * i, 16), 16, -10).cast("long") for i in range(4)}
+
+
+def unpacked() -> Column:
+    return F.lower(F.concat(*[F.lpad(F.hex(f"sha_{i}"), 16, "0") for i in range(4)]))
 
 
 def _literal(bit: int) -> str:
