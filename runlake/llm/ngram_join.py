@@ -12,7 +12,8 @@ list. Parts empty in both sets agree without telling anything; a set with that
 many empty parts adds the segments of a second cut under each empty part, and so on.
 
 1. *Partition.* Sets that share a segment are compared with the smallest document
-   that has it (a star, never all pairs), and what links is a component. Sets that met the same
+   that has it (a star, never all pairs), and what links is a component; further stars around other sets
+   join the components of a crowd. Sets that met the same
    smallest document, linked or not, are dealt into groups of about ``group_size``.
 2. *Union.* The matrix holds each group's segments once, beside the components they come from.
    A segment, or a pair of groups, within one component has nothing left to find.
@@ -35,6 +36,8 @@ from runlake.llm.common import Words, arrow_friendly, chunks, components, mix, s
 from runlake.session import materialize
 
 GROUP_SIZE = 512
+KNOWN_SETS = 1 << 18
+MOST_STARS, PAYS = 40, 20  # rounds of stars, and pairs that one link among them is worth
 _SCHEMES = 128  # a segment's low bits name the size class whose cut made it
 
 
@@ -159,12 +162,14 @@ def _members(words: int):
 def _entries(words: int, at_least: int):
     def run(batches):
         sets, classes = _sets(words), size_classes(at_least)
-        seen = set()  # sets met in this task: a group of copies is sent once per task
+        seen = set()  # sets met lately in this task: a group of copies is sent once, or a few times
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for low, where, tokens, sizes in sets(batch.column(1)):
                 a, b = _signatures(where, tokens, sizes)
                 fresh = sizes > 0
+                if len(seen) > KNOWN_SETS:
+                    seen.clear()
                 for i in np.flatnonzero(fresh):
                     mark = (a[i], b[i])
                     fresh[i] = mark not in seen
@@ -254,6 +259,34 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, at_least: int) -> Da
             .mapInArrow(_verify(words, at_least), "a long, b long"))
 
 
+def _collapse(shared: DataFrame, near: DataFrame, tried: DataFrame, texts: DataFrame, alike, words: int, at_least: int) -> DataFrame:
+    """(rep, comp) after further stars: a crowd that links in itself, but not with its first document, becomes one component.
+
+    Every round each segment that still lies in several components picks one of its sets, by a hash salted by the
+    round, and compares the sets of other components with it: as many pairs as rows, whatever a crowd's size. Rounds go on
+    while they pay; what they leave apart is for the groups to compare.
+    """
+    near = materialize(shared.select("rep").distinct().join(near, "rep", "left").select("rep", F.coalesce("comp", "rep").alias("comp")), "near")
+    for salt in range(1, MOST_STARS):
+        keyed = shared.join(near, "rep").select("key", "rep", "n_shingles", "comp")
+        pick = F.min(F.struct(F.xxhash64(F.lit(salt), "rep").alias("h"), "rep", "n_shingles", "comp")).alias("c")
+        picks = materialize(keyed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), pick).filter("low < high").select("key", "c"), "picks")
+        pairs = keyed.join(picks, "key").filter("comp <> c.comp").filter(alike("n_shingles", "c.n_shingles")).select(
+            F.least("rep", "c.rep").alias("b"), F.greatest("rep", "c.rep").alias("a")).distinct().select("a", "b")
+        fresh = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "star")
+        found = materialize(_linked(fresh, texts, words, at_least), "star")
+        n, n_found = fresh.count(), found.count()
+        if n_found:
+            of = [near.select(F.col("rep").alias(c), F.col("comp").alias(f"comp_{c}")) for c in "ab"]
+            merged = components(found.join(of[0], "a").join(of[1], "b").select("comp_a", "comp_b").distinct(), "comp_a", "comp_b")
+            merged = merged.select(F.col("node").alias("comp"), "component")
+            near = materialize(near.join(merged, "comp", "left").select("rep", F.coalesce("component", "comp").alias("comp")), "near")
+        if n_found * PAYS < n or not n:
+            break
+        tried = tried.unionByName(fresh)
+    return near
+
+
 def link_documents(docs: DataFrame, words: int = 5, at_least: int = 80, group_size: int = GROUP_SIZE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
 
@@ -285,8 +318,9 @@ def link_documents(docs: DataFrame, words: int = 5, at_least: int = 80, group_si
     texts = materialize(docs.join(wanted, "doc_id", "left_semi"), "texts")
     star = (shared.filter("rep > first.rep").filter(alike("n_shingles", "first.n_shingles"))
             .select(F.col("rep").alias("a"), F.col("first.rep").alias("b")).distinct())
+    star = materialize(star, "star")
     near = components(_linked(star, texts, words, at_least), "a", "b")
-    near = near.select(F.col("node").alias("rep"), F.col("component").alias("comp"))
+    near = _collapse(shared, near.select(F.col("node").alias("rep"), F.col("component").alias("comp")), star, texts, alike, words, at_least)
 
     # Groups of similar sets: those that met the same smallest one, whether they link or not.
     open_keys = materialize(

@@ -99,3 +99,32 @@ def test_linked_sets_always_share_a_segment():
                 assert len(shared)
                 scheme = shared & np.uint64(127)
                 assert any((scheme == s).sum() >= max(1, need[(row == 0) & ((key & np.uint64(127)) == s)].min()) for s in np.unique(scheme))
+
+
+def test_a_crowd_of_near_copies_collapses_before_groups_are_opened(spark, monkeypatch):
+    """Eight hundred texts a few edits from one another, on both sides of the threshold; brute force by a matrix product."""
+    import numpy as np
+    from runlake.llm import ngram_join
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(120)]
+    rows = [(i, edited(rng, words, rng.randrange(1, 5))) for i in range(800)]
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for _, t in rows]
+    place = {s: k for k, s in enumerate(sorted(set().union(*sets)))}
+    cells = np.zeros((len(rows), len(place)), np.float32)
+    for i, s in enumerate(sets):
+        cells[i, [place[x] for x in s]] = 1
+    both, n = cells @ cells.T, cells.sum(1)
+    linked = 100 * both >= 80 * (n[:, None] + n[None, :] - both)
+    want = np.arange(len(rows))
+    while True:
+        least = np.where(linked, want[None, :], len(rows)).min(1)
+        if (least == want).all():
+            break
+        want = least
+    assert 0.05 < linked.mean() < 0.95, "neither all nor none are linked directly"
+    stars, whole = [], ngram_join._collapse
+    monkeypatch.setattr(ngram_join, "_collapse", lambda *a: stars.append(whole(*a)) or stars[-1])
+    got = {r.doc_id: r.component_id for r in link_documents(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, group_size=16).collect()}
+    assert [got[i] for i in range(len(rows))] == want.tolist()
+    left = stars[0].join(spark.createDataFrame([(i, int(w)) for i, w in enumerate(want)], "rep long, top long"), "rep")
+    assert left.filter("comp <> top").count() < 100, "the stars alone join most of them"
