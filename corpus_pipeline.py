@@ -13,13 +13,10 @@ from runlake.session import materialize
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, fitted on the labelled ones, accepts.
-
-    Rows that share a ``doc_id`` stay if any of them is accepted; a row without ``doc_id`` goes.
-    """
+    """Rows that the quality classifier, fitted on the labelled ones, accepts, whatever their ``doc_id``."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    good = quality.score(docs, quality.train(docs, labels)).filter(F.col("score") >= quality.ACCEPT)
-    return docs.join(good.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    scored = quality.score(docs, quality.train(docs, labels), whole=True).filter(F.col("score") >= quality.ACCEPT)
+    return scored.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ numbers; the sum-of-squares identity makes those linear in the features:
 2 * sum_{i<j} <v_i, v_j> x_i x_j = sum_f (sum_i v_if x_i)^2 - sum_i (v_if x_i)^2.
 
 Labels, language, source and ``doc_id`` are never features. The machine is fitted in
-numpy on at most ``TRAIN_ROWS`` labelled rows, those with the smallest hash of ``doc_id``;
+numpy on at most ``TRAIN_ROWS`` labelled rows, those with the smallest hash of ``doc_id``, all rows of an id or none;
 their features alone reach the driver. Scoring is one pass over the documents.
 
 Defined cases: a NULL or empty text has its (zero) structure statistics and a score like
@@ -18,7 +18,7 @@ score is 0.5. Further columns are ignored. An empty table gives an empty result.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from runlake.llm.common import Words, arrow_friendly, chunks, shingle_sets, text_bytes
 
@@ -179,7 +179,12 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
     picked = (labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).filter(~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    sample = docs.select("doc_id", "text", "n_chars").join(picked, "doc_id").select(
+    # An id may have many rows, so ids are taken while their rows add up to no more than the bound.
+    upto = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = docs.select("doc_id").join(F.broadcast(picked), "doc_id").groupBy("doc_id", "quality").agg(F.count(F.lit(1)).alias("n"))
+    picked = counted.withColumn("upto", upto).filter(F.col("upto") <= rows).select("doc_id", "quality")
+    # At most ``rows`` pairs of numbers: broadcast, so that no text is shuffled.
+    sample = docs.select("doc_id", "text", "n_chars").join(F.broadcast(picked), "doc_id").select(
         F.col("text").cast("string").alias("text"), F.col("n_chars").cast("double").alias("n_chars"), "quality")
     found = sample.mapInArrow(_gather, "bucket binary, value binary, stats binary, quality int").toArrow()
     if not len(found):
@@ -190,20 +195,26 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
     return Machine(len(documents[0][2])).fit(documents, np.array(found.column("quality").to_pylist(), float))
 
 
-def _score(machine):
+def _score(machine, whole):
     def run(batches):
         features = Features()
         for batch in batches:
+            kept = batch.column(0)
+            if whole:
+                text, n_chars = (kept.flatten()[kept.type.get_field_index(c)] for c in ("text", "n_chars"))
+            else:
+                text, n_chars = batch.column(1), batch.column(2)
             if machine is None:
                 scores = [np.full(batch.num_rows, 0.5)]
             else:
-                scores = [machine.scores(*f) for f in features(batch.column(1), _lengths(batch.column(2)))] or [np.zeros(0)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores))], ["doc_id", "score"])
+                scores = [machine.scores(*f) for f in features(text.cast(pa.string()), _lengths(n_chars))] or [np.zeros(0)]
+            yield pa.RecordBatch.from_arrays([kept, pa.array(np.concatenate(scores))], [batch.schema.names[0], "score"])
     return run
 
 
-def score(docs: DataFrame, machine: Machine | None) -> DataFrame:
-    """(doc_id, score) of every row of ``docs`` (doc_id, text, n_chars)."""
+def score(docs: DataFrame, machine: Machine | None, whole: bool = False) -> DataFrame:
+    """(doc_id, score) of every row of ``docs`` (doc_id, text, n_chars); with ``whole`` all its columns, as ``row``, beside the score."""
     arrow_friendly(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       F.col("n_chars").cast("double").alias("n_chars")).mapInArrow(_score(machine), "doc_id long, score double")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")) if whole else docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("n_chars").cast("double").alias("n_chars"))
+    return rows.mapInArrow(_score(machine, whole), T.StructType([rows.schema[0], T.StructField("score", T.DoubleType())]))

@@ -248,3 +248,16 @@ def test_lm_tells_unseen_words_from_rare_ones(spark):
     got = {r.doc_id: r.log_likelihood for r in lm_score.score(new, words, net).collect()}
     assert got[1] - got[2] == pytest.approx(np.log((counted[hashed(rare)] + lm_score.ALPHA) / lm_score.ALPHA))
     assert got[None] == got[2] and got[3] == 0
+
+
+def test_rows_at_the_driver_are_bounded_however_often_an_id_repeats(spark, monkeypatch):
+    seen, real = [], quality.Machine.fit
+    monkeypatch.setattr(quality.Machine, "fit", lambda self, documents, labels: seen.append(len(documents)) or real(self, documents, labels))
+    rows = [(i if i < 40 else 77, f"text number {i}", 5) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(77, 1)], "doc_id long, quality int")
+    quality.train(docs, labels, rows=20)
+    assert len(seen) == 1 and 0 < seen[0] <= 20
+    odd = docs.withColumnRenamed("n_chars", "n chars").withColumn("n_chars", F.lit("7")).withColumn("row", F.lit(1)).withColumn("score", F.lit("x"))
+    got = quality.score(odd, quality.train(odd, labels, rows=20), whole=True)
+    assert got.columns == ["row", "score"] and got.select("row.*").columns == odd.columns and got.count() == 3000
