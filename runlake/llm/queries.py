@@ -53,16 +53,16 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document. ``n_within``: other documents at most ``simhash.RADIUS`` bits away, for ids divisible by 100."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     also = {c: F.col(c) for c in ("n_chars", "next_id", "next_mark")} | simhash.packed(F.sha2("text", 256))
-    prints = materialize(simhash.fingerprint(simhash.with_edits(docs), ["doc_id", "mark", "edited"], also), "fingerprints")
-    own = prints.filter("NOT edited").select("doc_id", "mark", F.col("high").alias("own_high"), F.col("low").alias("own_low"), "copies")
-    edits = prints.filter("edited").select("doc_id", "mark", "next_id", "next_mark", "n_chars", simhash.unpacked().alias("edited_sha256"),
-                                           F.col("high").alias("edited_high"), F.col("low").alias("edited_low"))
+    # Grouped by what the texts are partitioned by, so votes and both forms of a text meet without another shuffle.
+    prints = simhash.fingerprint(simhash.with_edits(docs), ["key", "doc_id", "mark", "edited"], also)
+    forms = {"own_high": ("high", False), "own_low": ("low", False), "copies": ("copies", False), "n_chars": ("n_chars", True), "next_id": ("next_id", True),
+             "next_mark": ("next_mark", True), "edited_high": ("high", True), "edited_low": ("low", True)} | {f"sha_{i}": (f"sha_{i}", True) for i in range(4)}
+    prints = materialize(prints.groupBy("key", "doc_id", "mark").agg(*[
+        F.max(F.when(F.col("edited") == edited, F.col(c))).alias(name) for name, (c, edited) in forms.items()]), "fingerprints")
+    own = prints.select("doc_id", "mark", "own_high", "own_low", "copies")
     following = own.select(F.col("doc_id").alias("next_id"), F.col("mark").alias("next_mark"), F.col("own_high").alias("next_high"), F.col("own_low").alias("next_low"))
-
-    def same(*columns: str) -> list:
-        return [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in columns]
-    joined = own.alias("l").join(edits.alias("r"), same("doc_id", "mark")).select("l.*", "next_id", "next_mark", "n_chars", "edited_sha256", "edited_high", "edited_low")
-    joined = joined.alias("l").join(following.alias("r"), same("next_id", "next_mark")).select("l.*", "next_high", "next_low")
+    meets = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("next_id", "next_mark")]
+    joined = prints.alias("l").join(following.alias("r"), meets).select("l.*", "next_high", "next_low", simhash.unpacked().alias("edited_sha256"))
     halves = {p: (F.col(f"{p}_high"), F.col(f"{p}_low")) for p in ("own", "edited", "next")}
     whole = own.select("doc_id", "mark", F.col("own_high").alias("high"), F.col("own_low").alias("low"), F.explode(F.sequence(F.lit(1), F.col("copies"))))
     asked = whole.filter("doc_id % 100 = 0").select(F.struct("doc_id", "mark").alias("doc_id"), "high", "low").distinct()

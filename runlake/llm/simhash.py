@@ -58,12 +58,13 @@ def fingerprint(texts: DataFrame, keys: list[str], also: dict[str, Column] | Non
 
 
 def with_edits(docs: DataFrame) -> DataFrame:
-    """Every text of ``docs`` (doc_id, text), and its edited form, as rows (doc_id, mark, edited, text, n_chars, next_id, next_mark).
+    """Every text of ``docs`` (doc_id, text), and its edited form, as rows (key, doc_id, mark, edited, text, n_chars, next_id, next_mark).
 
     The edited text ends in the head of the next document: the last quarter of the characters gives way to the first
     as many of the next one. ``mark`` is the hash of the original text. Documents are in ascending order of ``doc_id``,
     one without ``doc_id`` first, and the last is followed by the first. Of several texts of the next ``doc_id`` the one
-    of the smallest hash is meant. Texts cross the network once, and the heads of the next ones.
+    of the smallest hash is meant. Texts cross the network once, and the heads of the next ones; rows are left partitioned
+    by ``key``, which stands for ``doc_id``.
     """
     key = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(-(1 << 63) - 1)).cast("decimal(20,0)"))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", key)
@@ -77,7 +78,7 @@ def with_edits(docs: DataFrame) -> DataFrame:
     heads = texts.filter("mark = first").select(F.col("prev_id").alias("key"), F.col("text").substr(F.lit(1), F.col("asked")).alias("head"))
     n, k = F.length("text"), F.floor(F.length("text") / 4).cast("int")
     both = texts.join(heads.groupBy("key").agg(F.min("head").alias("head")), "key").select(
-        "doc_id", "mark", n.cast("long").alias("n_chars"), F.col("next_doc").alias("next_id"), "next_mark", F.inline(F.array(
+        "key", "doc_id", "mark", n.cast("long").alias("n_chars"), F.col("next_doc").alias("next_id"), "next_mark", F.inline(F.array(
             F.struct(F.lit(False).alias("edited"), F.col("text")),
             F.struct(F.lit(True).alias("edited"), F.concat(F.col("text").substr(F.lit(1), n - k), F.col("head").substr(F.lit(1), k)).alias("text")))))
     return both
