@@ -75,9 +75,11 @@ def with_edits(docs: DataFrame) -> DataFrame:
     after = ids.select(F.col("key").alias("next_id"), F.col("doc_id").alias("next_doc"), F.col("first").alias("next_mark"))
     places = materialize(order.join(before, "prev_id").join(after, "next_id").join(ids.select("key", "first"), "key"), "order")
     texts = rows.join(places, "key").withColumn("mark", F.xxhash64("text"))
-    heads = texts.filter("mark = first").select(F.col("prev_id").alias("key"), F.col("text").substr(F.lit(1), F.col("asked")).alias("head"))
+    # A condition on both sides' columns would become a join key, and the texts would be shuffled anew for it.
+    head = F.when(F.col("mark") == F.col("first"), F.col("text").substr(F.lit(1), F.col("asked")))
+    heads = texts.groupBy(F.col("prev_id").alias("key")).agg(F.min(head).alias("head"))
     n, k = F.length("text"), F.floor(F.length("text") / 4).cast("int")
-    both = texts.join(heads.groupBy("key").agg(F.min("head").alias("head")), "key").select(
+    both = texts.join(heads, "key").select(
         "key", "doc_id", "mark", n.cast("long").alias("n_chars"), F.col("next_doc").alias("next_id"), "next_mark", F.inline(F.array(
             F.struct(F.lit(False).alias("edited"), F.col("text")),
             F.struct(F.lit(True).alias("edited"), F.concat(F.col("text").substr(F.lit(1), n - k), F.col("head").substr(F.lit(1), k)).alias("text")))))
