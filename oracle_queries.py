@@ -465,3 +465,4 @@ WHERE following IS NOT NULL OR date_trunc('millisecond', reap_at) < (
     "stream_log_tail_cursor": _q("job_runs job_logs", "SELECT run_id, attempt, kind, seq, event, data FROM ev",
                           LINES, EVENT_ROWS),
 }
+SQL["sse_decode_rows"] = SQL["sse_decode"]

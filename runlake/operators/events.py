@@ -114,6 +114,55 @@ def sse_decode(streams: DataFrame, text: str = "text", keys=("stream_id",)) -> D
             .select(*keys, (F.col("_i") + 1).alias("position"), "_b.event", "_b.data"))
 
 
+# Lines and blocks whose running numbers one task makes.
+STRETCH = 4096
+
+
+def _running(df: DataFrame, keys: list[str], at: str, value: Column, name: str) -> DataFrame:
+    """Add ``name``: the sum of ``value`` over the earlier rows of the same keys by ``at``, a number from 0 without large gaps.
+
+    Rows are summed within stretches; the stretches' sums, a far smaller table, are added up per key.
+    """
+    here = [*keys, "_stretch"]
+    df = df.withColumn("_stretch", F.floor(F.col(at) / STRETCH)).withColumn("_value", value.cast("bigint"))
+    inside = Window.partitionBy(*here).orderBy(at).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(*keys).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    summed = df.withColumn("_inside", F.sum("_value").over(inside) - F.col("_value"))
+    sums = df.groupBy(*here).agg(F.sum("_value").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    return (summed.join(sums.drop("_n"), here)
+            .withColumn(name, F.col("_before") + F.col("_inside")).drop("_stretch", "_value", "_inside", "_before"))
+
+
+def sse_decode_rows(pieces: DataFrame, text: str = "text", keys=("stream_id",), order: str = "pos") -> DataFrame:
+    """(keys, position, event, data) of streams whose text is cut anywhere into rows, numbered 0, 1, 2 ... by ``order``.
+
+    However a text is cut, it decodes as ``sse_decode`` does the whole. Lines are put together from what rows hold of
+    them and numbered by the line ends before them; the blank lines before a line number its block. No task
+    holds a stream, only a line or a block.
+    """
+    keys = list(keys)
+    parts = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
+    counted = _running(pieces.select(*keys, F.col(order).cast("bigint").alias("_pos"), parts.alias("_parts")), keys, "_pos",
+                       F.size("_parts") - 1, "_first")
+    cut = counted.select(*keys, "_pos", "_first", (F.size("_parts") - 1).alias("_ends"), F.posexplode("_parts").alias("_i", "_part"))
+    lines = cut.groupBy(*keys, (F.col("_first") + F.col("_i")).alias("_line")).agg(
+        F.array_sort(F.collect_list(F.struct("_pos", "_part"))).alias("_p"), F.max(F.col("_i") < F.col("_ends")).alias("_ended"))
+    lines = lines.select(*keys, "_line", "_ended", F.regexp_replace(
+        F.array_join(F.transform("_p", lambda p: p["_part"]), ""), r"\r\z", "").alias("_text"))
+    # The last line has no end: it closes no block, and what it says belongs to none.
+    lines = _running(lines.filter("_ended"), keys, "_line", F.col("_text") == "", "_block")
+    name = F.when(F.col("_text").startswith("event:"), F.struct("_line", F.regexp_replace(
+        F.substring("_text", 7, 2**31 - 1), r"(?U)^\s+|\s+$", "").alias("v")))
+    value = F.when(F.col("_text").startswith("data:"), F.struct("_line", F.regexp_replace("_text", "^data: ?", "").alias("v")))
+    blocks = lines.groupBy(*keys, "_block").agg(
+        F.coalesce(F.max(name)["v"], F.lit("")).alias("event"), F.array_sort(F.collect_list(value)).alias("_data"),
+        F.max(F.col("_text") == "").alias("_closed"))
+    said = F.col("_closed") & ((F.col("event") != "") | (F.size("_data") > 0))
+    numbered = _running(blocks.withColumn("_said", said), keys, "_block", F.col("_said"), "_earlier")
+    return numbered.filter("_said").select(
+        *keys, (F.col("_earlier") + 1).cast("int").alias("position"), "event", F.array_join(F.transform("_data", lambda d: d["v"]), "\n").alias("data"))
+
+
 def follow_result(runs: DataFrame, events: DataFrame) -> DataFrame:
     """(run_id, ok, message) a follower of each run ends with."""
     fields = F.from_json("data", "attempt int, error string, status string")

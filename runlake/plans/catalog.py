@@ -464,6 +464,14 @@ def sse_decode(v: Views) -> DataFrame:
     return events.sse_decode(v.sse_texts, "text", ("conv_id", "turn"))
 
 
+@query
+def sse_decode_rows(v: Views) -> DataFrame:
+    """The same texts, cut into rows of seven characters."""
+    cut = v.sse_texts.select("conv_id", "turn", F.posexplode(F.expr(
+        "transform(sequence(0, length(text) div 7), i -> substring(text, 7 * i + 1, 7))")).alias("pos", "text"))
+    return events.sse_decode_rows(cut, "text", ("conv_id", "turn"))
+
+
 @query
 def follow_result(v: Views) -> DataFrame:
     return events.follow_result(v.runs, events.event_rows(v.runs, v.logs))
