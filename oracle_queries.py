@@ -99,7 +99,7 @@ def _uuid(hex32: str) -> str:
 PAYLOADS = """parsed AS (SELECT id AS job_id, max_retries, timeout_sec, CASE
     WHEN NOT json_valid(payload) THEN 'invalid payload: not a JSON object of the expected types'
     WHEN json_type(payload, '$.lines') NOT IN ('UBIGINT', 'BIGINT') THEN 'invalid payload: not a JSON object of the expected types'
-    WHEN json_exists(payload, '$.font') THEN 'invalid payload: unknown field "font"'
+    WHEN json_exists(payload, '$.wrap_at') THEN 'invalid payload: unknown field "wrap_at"'
     WHEN CAST(json_extract_string(payload, '$.lines') AS INTEGER) NOT BETWEEN 1 AND 100000
       THEN 'payload.lines must be between 1 and 100000' END AS payload_error,
     CASE WHEN json_valid(payload) THEN TRY_CAST(json_extract_string(payload, '$.lines') AS INTEGER) END AS n,
@@ -201,16 +201,16 @@ CHECKED = ("""req AS (SELECT id, body, json_valid(body) AS sound,
   FROM job_requests)""",
            """checked AS (SELECT *, CASE
     WHEN NOT sound THEN 'invalid JSON body: not one JSON object of the expected types'
-    WHEN json_exists(body, '$.color') THEN 'invalid JSON body: unknown field "color"'
+    WHEN json_exists(body, '$.owner') THEN 'invalid JSON body: unknown field "owner"'
     WHEN name = '' THEN 'name is required'
     WHEN type = '' THEN 'type is required'
     WHEN type <> 'generate_text' THEN concat('unknown job type "', type, '"')
     WHEN json_type(payload) <> 'OBJECT' OR json_type(payload, '$.lines') NOT IN ('UBIGINT', 'BIGINT')
       THEN 'invalid payload: not a JSON object of the expected types'
-    WHEN json_exists(payload, '$.font') THEN 'invalid payload: unknown field "font"'
+    WHEN json_exists(payload, '$.wrap_at') THEN 'invalid payload: unknown field "wrap_at"'
     WHEN coalesce(CAST(json_extract_string(payload, '$.lines') AS INTEGER), 0) NOT BETWEEN 1 AND 100000
       THEN 'payload.lines must be between 1 and 100000'
-    WHEN timezone IN ('Mars/Olympus', 'Local') THEN concat('unknown timezone "', timezone, '"')
+    WHEN timezone IN ('Europe/Atlantis', 'Local') THEN concat('unknown timezone "', timezone, '"')
     WHEN max_retries NOT BETWEEN 0 AND 10 THEN 'max_retries must be between 0 and 10'
     WHEN timeout_sec NOT BETWEEN 1 AND 86400 THEN 'timeout_sec must be between 1 and 86400' END AS reason FROM req)""")
 MD5_4 = "md5(CAST(o_orderkey AS VARCHAR))"

@@ -22,9 +22,9 @@ def _ago(seconds: str) -> str:
 
 
 _PAYLOAD = """CASE WHEN c_custkey % 50 = 0 THEN '{"lines": 0}'
-       WHEN c_custkey % 50 = 1 THEN '{"lines": 1, "font": "mono"}'
-       WHEN c_custkey % 50 = 2 THEN '{"lines": "three"}'
-       WHEN c_custkey % 50 = 3 THEN '{"lines":'
+       WHEN c_custkey % 50 = 1 THEN '{"lines": 12, "wrap_at": 72}'
+       WHEN c_custkey % 50 = 2 THEN '{"lines": true}'
+       WHEN c_custkey % 50 = 3 THEN '{"lines": 4, "prefix": "ba'
        ELSE concat('{"lines": ', CAST(c_custkey % 97 + 1 AS STRING), ', "fail_attempts": ', CAST(c_custkey % 3 AS STRING), '}') END"""
 _CRON = """CASE c_custkey % 8 WHEN 1 THEN '*/15 * * * *' WHEN 2 THEN '0 9 * * *' WHEN 3 THEN '@hourly' WHEN 4 THEN '@every 30s'
        WHEN 5 THEN '0 */6 * * *' WHEN 6 THEN '0 0 1 * *' WHEN 7 THEN '30 8 * * 1-5' END"""
@@ -59,7 +59,7 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
     "heartbeats": ("events", ["event_id AS offset_no", "user_id AS run_id", "ts", "event_type"]),
     "dispatch_raw": ("events", [
         "event_id AS offset_no", "CAST(event_id % 3 AS INT) AS partition_no", "ts AS arrived_at",
-        """CASE event_id % 20 WHEN 0 THEN 'not json' WHEN 1 THEN '{}' WHEN 2 THEN '{"job_id": "job-1"}'
+        """CASE event_id % 20 WHEN 0 THEN 'run_id=12' WHEN 1 THEN '{"run_id": ""}' WHEN 2 THEN '{"attempt": 3, "job_type": "generate_text"}'
     ELSE concat('{"run_id": "', CASE WHEN event_id % 20 = 4 THEN 'run-' ELSE '' END, CAST(user_id AS STRING), '", "job_id": "j', CAST(user_id % 50 AS STRING),
                 '", "job_type": "generate_text", "attempt": ', CASE WHEN event_id % 20 = 3 THEN '3000000000' ELSE CAST(event_id % 4 + 1 AS STRING) END, '}') END AS value"""]),
     "run_events": ("lineitem", [
@@ -88,17 +88,17 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
        ELSE concat('nope-', CAST(o_orderkey AS STRING)) END AS raw"""]),
     "job_requests": ("customer", [
         "c_custkey AS id",
-        f"""concat('{{"name": "', CASE WHEN c_custkey % 23 = 0 THEN '   ' ELSE c_name END, '"',
-       CASE WHEN c_custkey % 29 = 0 THEN '' WHEN c_custkey % 31 = 0 THEN ', "type": "mine_bitcoin"' ELSE ', "type": "generate_text"' END,
-       CASE WHEN c_custkey % 37 = 0 THEN '' WHEN c_custkey % 50 = 3 THEN ', "payload": [1, 2, 3]' ELSE concat(', "payload": ', {_PAYLOAD}) END,
+        f"""concat('{{"name": "', CASE WHEN c_custkey % 23 = 0 THEN '  ' ELSE c_name END, '"',
+       CASE WHEN c_custkey % 29 = 0 THEN '' WHEN c_custkey % 31 = 0 THEN ', "type": "resize_image"' ELSE ', "type": "generate_text"' END,
+       CASE WHEN c_custkey % 37 = 0 THEN '' WHEN c_custkey % 50 = 3 THEN ', "payload": "12 lines"' ELSE concat(', "payload": ', {_PAYLOAD}) END,
        CASE WHEN c_custkey % 8 = 0 THEN '' ELSE concat(', "cron_expr": "', {_CRON}, '"') END,
-       CASE WHEN c_custkey % 41 = 0 THEN ', "timezone": "Mars/Olympus"' WHEN c_custkey % 43 = 0 THEN ', "timezone": "Local"'
+       CASE WHEN c_custkey % 41 = 0 THEN ', "timezone": "Europe/Atlantis"' WHEN c_custkey % 43 = 0 THEN ', "timezone": "Local"'
             WHEN c_nationkey % 3 = 0 THEN '' ELSE concat(', "timezone": "', {_ZONE}, '"') END,
        CASE WHEN c_custkey % 3 = 0 THEN concat(', "max_retries": ', CAST(c_custkey % 14 - 1 AS STRING)) ELSE '' END,
        CASE WHEN c_custkey % 7 = 0 THEN concat(', "timeout_sec": ', CAST((c_custkey % 5) * 21601 AS STRING)) ELSE '' END,
-       CASE WHEN c_custkey % 47 = 0 THEN ', "color": "red"' ELSE '' END,
+       CASE WHEN c_custkey % 47 = 0 THEN ', "owner": "ops"' ELSE '' END,
        CASE WHEN c_custkey % 53 = 0 THEN '' ELSE '}}' END,
-       CASE WHEN c_custkey % 59 = 0 THEN ' {{}}' ELSE '' END) AS body"""]),
+       CASE WHEN c_custkey % 59 = 0 THEN ' 0' ELSE '' END) AS body"""]),
     # One event stream per conversation turn; blank lines of the text end a block.
     "sse_texts": ("conversations", [
         "conv_id", "turn",

@@ -26,32 +26,33 @@ def test_batches_hold_at_most_their_size_and_unnest_to_the_same_lines(spark):
     assert lines_of(source.unnest(batches)) == lines_of(table)
 
 
+# Attempt 3 holds lines 1 to 7 and 9 to 12; the run is in attempt 4, whose lines start at 2.
 @pytest.fixture(scope="module")
 def paged(spark):
-    table = logs(spark, *[dict(attempt=a, seq=s, line=l) for a, s, l in
-                          [(1, 1, "a1"), (1, 2, "a2"), (2, 1, "b1"), (2, 2, "b2"), (2, 3, "b3")]])
-    return table, runs(spark, dict(status="RUNNING", attempt=2))
+    table = logs(spark, *[dict(attempt=3, seq=s, line=f"step {s}") for s in range(1, 13) if s != 8],
+                 *[dict(attempt=4, seq=s, line=f"again {s}") for s in (2, 3)], dict(attempt=5, seq=1, line="ahead"))
+    return table, runs(spark, dict(status="RUNNING", attempt=4))
 
 
-# attempt, from_seq, limit, wanted attempt, lines, next_seq
+# Pages by what bounds them: the limit, the end, a missing line, a start behind the end, an attempt without lines.
 @pytest.mark.parametrize("attempt,start,limit,at,want,after", [
-    (None, 1, 500, 2, ["b1", "b2", "b3"], 4), (None, 3, 500, 2, ["b3"], 4), (None, 1, 2, 2, ["b1", "b2"], 3),
-    (1, 1, 500, 1, ["a1", "a2"], 3), (None, 9, 500, 2, [], 9)])
+    (3, 1, 4, 3, [1, 2, 3, 4], 5), (3, 10, 50, 3, [10, 11, 12], 13), (3, 7, 2, 3, [7, 9], 10), (3, 8, 1, 3, [9], 10),
+    (3, 40, 5, 3, [], 40), (None, 1, 9, 4, [2, 3], 4), (None, 6, 5, 4, [], 6)])
 def test_log_page_cursor(spark, paged, attempt, start, limit, at, want, after):
     asked = spark.createDataFrame([("r1", attempt, start)], "run_id string, attempt int, from_seq bigint")
     got = row(lookup.log_page_cursors(*paged, asked, limit))
-    assert (got.attempt, [x.line for x in got.lines], got.next_seq, got.status) == (at, want, after, "RUNNING")
+    assert (got.attempt, [x.seq for x in got.lines], got.next_seq, got.status) == (at, want, after, "RUNNING")
 
 
-@pytest.mark.parametrize("run,attempt,start", [("r1", 3, 1), ("r1", 0, 1), ("r9", None, 1), ("r1", None, 0)])
+@pytest.mark.parametrize("run,attempt,start", [("r1", 5, 1), ("r1", 0, 1), ("r9", None, 1), ("r1", None, 0)])
 def test_refused_pages_give_no_row(spark, paged, run, attempt, start):
     asked = spark.createDataFrame([(run, attempt, start)], "run_id string, attempt int, from_seq bigint")
     assert lookup.log_page_cursors(*paged, asked).count() == 0
 
 
 def test_single_page_and_limits(spark, paged):
-    assert [r.line for r in lookup.log_page(paged[0], "r1", 2, 2, 1).collect()] == ["b2"]
-    assert sorted(r.line for r in lookup.current_attempt_lines(*paged).collect()) == ["b1", "b2", "b3"]
+    assert [r.line for r in lookup.log_page(paged[0], "r1", 3, 8, 1).collect()] == ["step 9"]
+    assert sorted(r.line for r in lookup.current_attempt_lines(*paged).collect()) == ["again 2", "again 3"]
     for bad in (0, 1001):
         with pytest.raises(ValueError):
             lookup.log_page(paged[0], "r1", 2, 1, bad)
@@ -66,17 +67,18 @@ def told(df):
 
 @pytest.mark.parametrize("block", [1, 2, 65_536])
 def test_events_follow_every_attempt(spark, paged, block):
-    done = runs(spark, dict(status="SUCCEEDED", attempt=3))
+    done = runs(spark, dict(status="CANCELLED", error="stopped", attempt=4))
     got = events.number_in_order(events.event_rows(done, paged[0]), block)
-    assert told(got) == ['attempt {"attempt":1}', "line a1", "line a2", 'attempt {"attempt":2}', "line b1", "line b2", "line b3",
-                         'attempt {"attempt":3}', 'end {"attempt":3,"error":null,"status":"SUCCEEDED"}']
-    assert sorted(r.ord for r in got.collect()) == list(range(1, 10))
+    steps = [f"line step {s}" for s in range(1, 13) if s != 8]
+    assert told(got) == [*(f'attempt {{"attempt":{a}}}' for a in (1, 2, 3)), *steps, 'attempt {"attempt":4}', "line again 2", "line again 3",
+                         'end {"attempt":4,"error":"stopped","status":"CANCELLED"}']
+    assert sorted(r.ord for r in got.collect()) == list(range(1, len(steps) + 8))
 
 
 def test_from_seq_cuts_only_the_first_attempt_shown(spark, paged):
-    starts = spark.createDataFrame([("r1", 1, 2)], "run_id string, attempt int, from_seq bigint")
+    starts = spark.createDataFrame([("r1", 3, 11)], "run_id string, attempt int, from_seq bigint")
     assert told(events.log_events(paged[1], paged[0], starts)) == [
-        'attempt {"attempt":1}', "line a2", 'attempt {"attempt":2}', "line b1", "line b2", "line b3"]
+        'attempt {"attempt":3}', "line step 11", "line step 12", 'attempt {"attempt":4}', "line again 2", "line again 3"]
 
 
 def test_sse_round_trip(spark):
@@ -108,7 +110,7 @@ def test_sse_decode_against_line_by_line_reading(spark):
     rng = random.Random(5)
     pieces = ["event: a", "event:b ", "event:", "data: x", "data:  y", "data:", ": ping", "id: 4", "\n", "\n", "\r\n", "\r", "\n\n"]
     texts = ["".join(rng.choice(pieces) + rng.choice(["\n", "\n", "\r\n", ""]) for _ in range(rng.randint(0, 14))) for _ in range(400)]
-    texts += ['event: attempt\ndata: {"attempt":1}\n\n: ping\n\nevent: line\ndata: {"line":"a"}\n\nevent: end\ndata: {}\n\n', "data: cut"]
+    texts += ["data: only\n\n: nothing\n\n\n\nevent: two\nretry: 9\ndata: 1\ndata: 2\n\nevent: bare\n\n", "event: left open\ndata: never"]
     df = spark.createDataFrame(list(enumerate(texts)), "stream_id int, text string")
     got = {}
     for r in sorted(events.sse_decode(df).collect(), key=lambda r: (r.stream_id, r.position)):
@@ -126,16 +128,16 @@ def test_follow_result(spark):
 
 
 def test_dispatch_messages(spark):
-    bodies = ["not json", "{}", '{"job_id": "job-1"}', '{"run_id": "run-a"}', '{"run_id": 7}', '{"run_id": "a", "extra": [1]}',
+    bodies = ["run 5, please", '{"run_id": null}', '{"attempt": 4}', '{"run_id": "r-77"}', '{"run_id": 7}', '{"run_id": "a", "extra": [1]}',
               '{"run_id": "a"} x', "null", '{"run_id": "a", "attempt": "2"}', '{"run_id": "a"}, "z": 1, "y": {"q": 1}']
     df = dispatch.decode(spark.createDataFrame(list(enumerate(bodies)), "offset_no int, value string"))
     good, dead = dispatch.split(df)
-    assert {r.offset_no: (r.run_id, r.attempt) for r in good.collect()} == {3: ("run-a", 0), 5: ("a", 0)}
+    assert {r.offset_no: (r.run_id, r.attempt) for r in good.collect()} == {3: ("r-77", 0), 5: ("a", 0)}
     assert {r.offset_no for r in dead.filter("reject_reason LIKE '%missing run_id'").collect()} == {1, 2, 7}
-    sent = spark.createDataFrame([("run-1", "job-1", "generate_text", 2)], "run_id string, job_id string, job_type string, attempt int")
+    sent = spark.createDataFrame([("r-20", "j-4", "generate_text", 2)], "run_id string, job_id string, job_type string, attempt int")
     message = dispatch.encode(sent)
-    assert row(message).key == "run-1"
-    assert tuple(row(dispatch.split(dispatch.decode(message))[0]))[2:] == ("run-1", "job-1", "generate_text", 2)
+    assert row(message).key == "r-20"
+    assert tuple(row(dispatch.split(dispatch.decode(message))[0]))[2:] == ("r-20", "j-4", "generate_text", 2)
 
 
 def test_cascade_audits_and_counts(spark):
