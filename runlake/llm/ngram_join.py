@@ -259,10 +259,11 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, at_least: int) -> Da
             .mapInArrow(_verify(words, at_least), "a long, b long"))
 
 
-def _collapse(shared: DataFrame, near: DataFrame, tried: DataFrame, texts: DataFrame, alike, words: int, at_least: int) -> DataFrame:
+def _collapse(shared: DataFrame, near: DataFrame, tried: DataFrame, texts: DataFrame, alike, words: int, at_least: int,
+              crowd: int) -> DataFrame:
     """(rep, comp) after further stars: a crowd that links in itself, but not with its first document, becomes one component.
 
-    Every round each segment that still lies in several components picks one of its sets, by a hash salted by the
+    Every round each segment of more than ``crowd`` sets, so of more than one group, that still lies in several components picks one of its sets, by a hash salted by the
     round, and compares the sets of other components with it: as many pairs as rows, whatever a crowd's size. Rounds go on
     while they pay; what they leave apart is for the groups to compare.
     """
@@ -270,7 +271,8 @@ def _collapse(shared: DataFrame, near: DataFrame, tried: DataFrame, texts: DataF
     for salt in range(1, MOST_STARS):
         keyed = shared.join(near, "rep").select("key", "rep", "n_shingles", "comp")
         pick = F.min(F.struct(F.xxhash64(F.lit(salt), "rep").alias("h"), "rep", "n_shingles", "comp")).alias("c")
-        picks = materialize(keyed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), pick).filter("low < high").select("key", "c"), "picks")
+        picks = materialize(keyed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n"), pick).filter(
+            (F.col("low") < F.col("high")) & (F.col("n") > crowd)).select("key", "c"), "picks")
         pairs = keyed.join(picks, "key").filter("comp <> c.comp").filter(alike("n_shingles", "c.n_shingles")).select(
             F.least("rep", "c.rep").alias("b"), F.greatest("rep", "c.rep").alias("a")).distinct().select("a", "b")
         fresh = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "star")
@@ -320,7 +322,7 @@ def link_documents(docs: DataFrame, words: int = 5, at_least: int = 80, group_si
             .select(F.col("rep").alias("a"), F.col("first.rep").alias("b")).distinct())
     star = materialize(star, "star")
     near = components(_linked(star, texts, words, at_least), "a", "b")
-    near = _collapse(shared, near.select(F.col("node").alias("rep"), F.col("component").alias("comp")), star, texts, alike, words, at_least)
+    near = _collapse(shared, near.select(F.col("node").alias("rep"), F.col("component").alias("comp")), star, texts, alike, words, at_least, group_size)
 
     # Groups of similar sets: those that met the same smallest one, whether they link or not.
     open_keys = materialize(
