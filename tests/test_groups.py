@@ -4,7 +4,8 @@ import json
 
 import pandas as pd
 
-from runlake.streaming import tail
+from runlake.config import DEFAULT_POLICY
+from runlake.streaming import state, tail
 
 RUNS = 500
 
@@ -66,3 +67,24 @@ def test_a_batch_of_many_runs_reads_and_writes_a_groups_cursors_once():
     assert handle.list.calls == ["appendValue", "get", "put"] and handle.value.calls == ["get", "update"] * 3
     third = give(keeper, [run(i, 2) for i in range(RUNS)])
     assert sorted((e["run_id"], e["kind"]) for e in third) == [(i, k) for i in range(1, RUNS, 2) for k in (tail.MARKER, tail.LINE)]
+
+
+def test_a_batch_of_many_runs_reads_and_writes_a_groups_runs_once_and_arms_one_timer():
+    keeper, handle = state.GroupKeeper(DEFAULT_POLICY, True), Handle()
+    keeper.init(handle)
+    blank = dict.fromkeys(state.FIELDS) | dict(status="QUEUED", attempt=1, max_retries=1, accepted=0, rejected=0)
+    keeper.handleInitialState((1,), pd.DataFrame({"runs": [json.dumps([blank | {"run_id": str(i)} for i in range(RUNS)])]}), None)
+    assert handle.value.calls == ["update"] and not handle.timers
+    claim = lambda i: dict(run_id=str(i), at_us=1_000_000 * (1 + i), tiebreak=None, kind="claim", worker_id="w", attempt=1, message=None)
+    got = give(keeper, [*map(claim, range(RUNS)), claim(RUNS)])
+    assert {r["id"] for r in got} == {str(i) for i in range(RUNS)} and {r["status"] for r in got} == {"RUNNING"}
+    assert handle.value.calls == ["update", "get", "update"] and len(handle.timers) == 1
+    (ms,) = handle.timers
+
+    class Clock:
+        def getCurrentWatermarkInMs(self):
+            return ms + 1000 * 9
+    handle.timers.clear()
+    lost = [json.loads(text) for frame in keeper.handleExpiredTimer((1,), Clock(), None) for text in frame["row"]]
+    assert [r["id"] for r in lost] == [str(i) for i in range(10)] and {r["attempt"] for r in lost} == {2}
+    assert len(handle.timers) == 1 and min(handle.timers) > ms + 1000 * 9 and len(handle.value.calls) == 5
