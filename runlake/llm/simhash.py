@@ -66,7 +66,8 @@ def with_edits(docs: DataFrame) -> DataFrame:
     of the smallest hash is meant. Texts cross the network once, and the heads of the next ones; rows are left partitioned
     by ``key``, which stands for ``doc_id``.
     """
-    key = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(-(1 << 63) - 1)).cast("decimal(20,0)"))
+    none = F.lit(str(-(1 << 63) - 1)).cast("decimal(20,0)")
+    key = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), none)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", key)
     ids = materialize(rows.groupBy("key", "doc_id").agg(
         F.min(F.xxhash64("text")).alias("first"), F.max(F.floor(F.length("text") / 4)).cast("int").alias("most")), "ids")
@@ -74,13 +75,15 @@ def with_edits(docs: DataFrame) -> DataFrame:
     before = ids.select(F.col("key").alias("prev_id"), F.col("most").alias("asked"))
     after = ids.select(F.col("key").alias("next_id"), F.col("doc_id").alias("next_doc"), F.col("first").alias("next_mark"))
     places = materialize(order.join(before, "prev_id").join(after, "next_id").join(ids.select("key", "first"), "key"), "order")
-    texts = rows.join(places, "key").withColumn("mark", F.xxhash64("text"))
+    # With ``doc_id`` beside them, which the heads don't need, the texts would be shuffled once for them and once for the rows.
+    texts = rows.select("key", "text").join(places, "key").withColumn("mark", F.xxhash64("text"))
+    doc_id = F.when(F.col("key") != none, F.col("key").cast(docs.schema["doc_id"].dataType)).alias("doc_id")
     # A condition on both sides' columns would become a join key, and the texts would be shuffled anew for it.
     head = F.when(F.col("mark") == F.col("first"), F.col("text").substr(F.lit(1), F.col("asked")))
     heads = texts.groupBy(F.col("prev_id").alias("key")).agg(F.min(head).alias("head"))
     n, k = F.length("text"), F.floor(F.length("text") / 4).cast("int")
     both = texts.join(heads, "key").select(
-        "key", "doc_id", "mark", n.cast("long").alias("n_chars"), F.col("next_doc").alias("next_id"), "next_mark", F.inline(F.array(
+        "key", doc_id, "mark", n.cast("long").alias("n_chars"), F.col("next_doc").alias("next_id"), "next_mark", F.inline(F.array(
             F.struct(F.lit(False).alias("edited"), F.col("text")),
             F.struct(F.lit(True).alias("edited"), F.concat(F.col("text").substr(F.lit(1), n - k), F.col("head").substr(F.lit(1), k)).alias("text")))))
     return both

@@ -69,3 +69,19 @@ def test_small_tables(spark, tmp_path):
     assert made(spark, tmp_path / "none", []) == []
     one = [(5, "only one text here")]
     assert made(spark, tmp_path / "one", one) == want(one)
+
+
+def test_texts_cross_the_network_once(spark):
+    """The heads' branch of the plan reads the same exchange of (key, text) as the rows' branch."""
+    docs = spark.createDataFrame([(i, f"text number {i} of a few") for i in range(50)] + [(None, "no id")], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both = simhash.with_edits(docs)
+        both.collect()
+        shown = both._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    read = [x for x in shown.splitlines() if re.search(r"Scan ExistingRDD\[doc_id", x)]
+    assert len(read) == 1 and "ReusedExchange" in shown
+    assert {r.doc_id for r in both.select("doc_id").collect()} == {None, *range(50)}
