@@ -51,24 +51,27 @@ def tempered(cells: DataFrame, column: str, power: float) -> DataFrame:
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """``cells`` (marginal columns, weight) with ``fitted``, the weights scaled to every target (value, share)."""
-    now = materialize(cells.withColumn("fitted", F.col("weight")), "cells")
-    goals = {c: materialize(t.filter("share > 0"), "targets") for c, t in targets.items()}
-    total = now.agg(F.sum("weight")).first()[0] or 0.0
+    total = cells.agg(F.sum("weight")).first()[0] or 0.0
+    # Targets stand beside the cells from the start: every join is a table broadcast, so made at the driver, in every round.
+    aimed = cells.withColumn("fitted", F.col("weight"))
+    for i, (column, target) in enumerate(targets.items()):
+        goal = target.filter("share > 0").select(F.col("value").alias(column), F.col("share").alias(f"share_{i}"))
+        aimed = aimed.join(goal, column, "left")
+    now = materialize(aimed, "cells")
     for _ in range(ROUNDS):
         step, drift = now, F.lit(0.0)
-        for i, (column, goal) in enumerate(goals.items()):
+        for i, column in enumerate(targets):
             have = step.groupBy(column).agg(F.sum("fitted").alias("have"))
-            scale = have.join(goal.select(F.col("value").alias(column), "share"), column, "left").select(
-                column, F.when((F.col("have") > 0) & F.col("share").isNotNull(),
-                               F.col("share") * total / F.col("have")).otherwise(1.0).alias(f"scale_{i}"))
-            step = step.join(scale, column).withColumn("fitted", F.col("fitted") * F.col(f"scale_{i}"))
+            scale = F.when((F.col("have") > 0) & F.col(f"share_{i}").isNotNull(), F.col(f"share_{i}") * total / F.col("have")).otherwise(1.0)
+            step = step.join(have, column).withColumn(f"scale_{i}", scale).withColumn(
+                "fitted", F.col("fitted") * F.col(f"scale_{i}")).drop("have")
             drift = F.greatest(drift, F.abs(F.col(f"scale_{i}") - 1))
         done = materialize(step.withColumn("drift", drift), "cells")
         worst = done.filter("weight > 0").agg(F.max("drift")).first()[0]
         now = done.select(*now.columns)
         if worst is None or worst < TOLERANCE:
             break
-    return now
+    return now.select(*cells.columns, "fitted")
 
 
 def mix(docs: DataFrame, marginals: dict[str, Column], powers: dict[str, float] | None = None,

@@ -102,6 +102,14 @@ def _gather(batches):
             done += n
 
 
+def _numbers(column, kind) -> list[np.ndarray]:
+    """The numbers in every row of a binary column, as views of what the driver has received."""
+    out = []
+    for data, offsets in map(text_bytes, column.chunks):
+        out += [data[low:high].view(kind) for low, high in zip(offsets[:-1], offsets[1:])]
+    return out
+
+
 class Machine:
     """Bias, weights and factor vectors; dense statistics follow the word buckets."""
 
@@ -189,10 +197,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
     found = sample.mapInArrow(_gather, "bucket binary, value binary, stats binary, quality int").toArrow()
     if not len(found):
         return None
-    columns = [found.column(c).to_pylist() for c in ("bucket", "value", "stats")]
-    kinds = (np.int32, np.float32, np.float64)
-    documents = [tuple(np.frombuffer(x, kind) for x, kind in zip(d, kinds)) for d in zip(*columns)]
-    return Machine(len(documents[0][2])).fit(documents, np.array(found.column("quality").to_pylist(), float))
+    documents = list(zip(*(_numbers(found.column(c), kind) for c, kind in (("bucket", np.int32), ("value", np.float32), ("stats", np.float64)))))
+    machine = Machine(len(documents[0][2])).fit(documents, found.column("quality").to_numpy().astype(float))
+    del documents, found
+    pa.default_memory_pool().release_unused()  # the driver keeps the machine only
+    return machine
 
 
 def _score(machine, whole):

@@ -261,3 +261,34 @@ def test_rows_at_the_driver_are_bounded_however_often_an_id_repeats(spark, monke
     odd = docs.withColumnRenamed("n_chars", "n chars").withColumn("n_chars", F.lit("7")).withColumn("row", F.lit(1)).withColumn("score", F.lit("x"))
     got = quality.score(odd, quality.train(odd, labels, rows=20), whole=True)
     assert got.columns == ["row", "score"] and got.select("row.*").columns == odd.columns and got.count() == 3000
+
+
+def test_raking_joins_cells_once_a_marginal(spark, monkeypatch):
+    """Every join of small tables is a broadcast made at the driver, round after round."""
+    plans, real = [], mixing.materialize
+
+    def seen(df, *where):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, *where)
+    monkeypatch.setattr(mixing, "materialize", seen)
+    cells = spark.createDataFrame([(a, b, float(1 + i + 3 * j)) for i, a in enumerate("vw") for j, b in enumerate("xyz")], "a string, b string, weight double")
+    mixing.rake(cells, {c: mixing.tempered(cells, c, 0.5) for c in "ab"})
+    rounds = [p for p in plans if "scale_1" in p]
+    assert rounds
+    for p in rounds:  # one for each marginal, and the first one's again below the second one's sums
+        assert sum("Join " in x for x in p.splitlines()) == 3
+
+
+def test_classifier_holds_its_rows_once(spark, monkeypatch):
+    """The numbers of all rows are views of the buffers received, one beside the other."""
+    held, real = [], quality.Machine.fit
+
+    def fit(machine, documents, labels):
+        held.extend(documents)
+        return real(machine, documents, labels)
+    monkeypatch.setattr(quality.Machine, "fit", fit)
+    docs = spark.createDataFrame([(i, f"some words of text {i}", 10) for i in range(40)], "doc_id long, text string, n_chars long").coalesce(1)
+    quality.train(docs, docs.select("doc_id", (docs.doc_id % 2).cast("int").alias("quality")))
+    assert len(held) > 20
+    for a, b in zip(held, held[1:]):
+        assert all(x.ctypes.data + x.nbytes == y.ctypes.data for x, y in zip(a, b))
