@@ -87,7 +87,7 @@ class Words:
         ends = np.flatnonzero(inside & last) + 1
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.value[data] * self.power[:n])))
         hashes = mix((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
-        rows = np.searchsorted(offsets, starts, "right") - 1
+        rows = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
         return starts, ends, rows, hashes
 
 

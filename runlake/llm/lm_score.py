@@ -36,25 +36,35 @@ SHARDS, SHARD_WINDOWS = 1024, 500_000
 ALPHA = 0.5
 HELD = 1 << 20  # words of shared classes, and rows, whose distinct words are looked up together
 COUNTED = 1 << 20  # distinct words a task holds before it passes its counts on
+BLOCK = 208  # windows whose values of all classes stay in a core's cache
+LOG2E = np.float32(np.log2(np.e))
 
 
 def _count(batches):
     split = Words()
-    held = [np.zeros(0, np.uint64), np.zeros(0, np.int64)]
+    nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    held, size = [nothing], 0
 
-    def out():
-        return pa.RecordBatch.from_arrays([pa.array(held[0].view(np.int64)), pa.array(held[1])], ["word", "n"])
+    def merged():
+        words, n = (np.concatenate(x) for x in zip(*held))
+        word, at = np.unique(words, return_inverse=True)
+        return word, np.bincount(at, n, len(word)).astype(np.int64)
+
+    def out(word, n):
+        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
     for batch in batches:
         data, offsets = text_bytes(batch.column(0))
         for low, high in chunks(offsets):
             _, _, _, hashes = split(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
-            word, n = np.unique(hashes, return_counts=True)
-            word, at = np.unique(np.concatenate((held[0], word)), return_inverse=True)
-            held[:] = word, np.bincount(at, np.concatenate((held[1], n)), len(word)).astype(np.int64)
-            if len(word) > COUNTED:
-                yield out()
-                held[:] = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    yield out()
+            held.append(np.unique(hashes, return_counts=True))
+            size += len(held[-1][0])
+            if size > 2 * COUNTED:  # merged seldom, as a merge sorts all that is held
+                held = [merged()]
+                size = len(held[0][0])
+                if size > COUNTED:
+                    yield out(*held[0])
+                    held, size = [nothing], 0
+    yield out(*merged())
 
 
 class Vocabulary(NamedTuple):
@@ -150,46 +160,66 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in (self.near, self.out, self.bias)]).astype(np.float64)
 
-    def forward(self, windows):
-        """Hidden values with a last column of ones, and exp(logits) in a buffer that the next call overwrites."""
-        n = len(windows)
-        if not hasattr(self, "cells") or len(self.cells) < n:
-            self.cells = np.empty((n, CLASSES), np.float32)
-        hidden = np.ones((n, WIDTH + 1), np.float32)
+    def hidden(self, windows):
+        """Hidden values, with a last column of ones."""
         total = self.near[0].take(windows[:, SIDES[0] + 2], 0)
         for i, side in enumerate(SIDES[1:], 1):
             total += self.near[i].take(windows[:, side + 2], 0)
-        np.tanh(total, out=hidden[:, :WIDTH])
-        out = np.concatenate((self.out, self.bias[:, None]), 1)
-        cells = np.matmul(hidden, out.T, out=self.cells[:n])
-        if np.abs(out).sum(1).max() > 60:  # else no logit can be larger
-            np.minimum(cells, np.float32(60), out=cells)
-        return hidden, np.exp(cells, out=cells)
+        out = np.ones((len(windows), WIDTH + 1), np.float32)
+        np.tanh(total, out=out[:, :WIDTH])
+        return out
+
+    def weights(self):
+        """What makes logits of hidden values, as powers of two, and whether one can be over 60 as a power of e."""
+        out = np.concatenate((self.out.T, self.bias[None])) * LOG2E
+        return out, np.abs(out).sum(0).max() > 60 * LOG2E
+
+    def blocks(self, hidden, weights, large):
+        """First row of each block of rows, and exp(logits) in a buffer that the next block overwrites."""
+        if not hasattr(self, "cells"):
+            self.cells = np.empty((BLOCK, CLASSES), np.float32)
+        for low in range(0, len(hidden), BLOCK):
+            part = hidden[low:low + BLOCK]
+            cells = np.matmul(part, weights, out=self.cells[:len(part)])
+            if large:
+                np.minimum(cells, 60 * LOG2E, out=cells)
+            yield low, np.exp2(cells, out=cells)
 
     def log_probabilities(self, windows) -> np.ndarray:
-        parts = [np.zeros(0, np.float32)]
-        for low in range(0, len(windows), STEP):
-            part = windows[low:low + STEP]
-            _, cells = self.forward(part)
-            parts.append(np.log(cells[np.arange(len(part)), part[:, 2]] / (cells @ np.ones(CLASSES, np.float32))))
-        return np.concatenate(parts)
+        weights, ones = self.weights(), np.ones(CLASSES, np.float32)
+        own, total = np.empty(len(windows), np.float32), np.empty(len(windows), np.float32)
+        for start in range(0, len(windows), STEP):
+            part = windows[start:start + STEP]
+            at = np.arange(len(part)) % BLOCK * CLASSES + part[:, 2]
+            for low, cells in self.blocks(self.hidden(part), *weights):
+                high = low + len(cells)
+                cells.ravel().take(at[low:high], out=own[start + low:start + high])
+                np.matmul(cells, ones, out=total[start + low:start + high])
+        return np.log(own / total)
 
     def train(self, windows, past):
         """One AdaGrad step over the windows."""
-        n = len(windows)
-        hidden, p = self.forward(windows)
-        total = p @ np.ones(CLASSES, np.float32)
-        p[np.arange(n), windows[:, 2]] -= total
-        scale = (1 / (total * n))[:, None]  # of every row of p, applied where there are fewer columns
-        back = (p @ self.out) * scale * (1 - hidden[:, :WIDTH] * hidden[:, :WIDTH])
-        if not hasattr(self, "at") or len(self.at) != n:
-            self.at, self.push = np.empty((n, len(SIDES), WIDTH), np.int64), np.empty((n, len(SIDES), WIDTH))
-        at = (windows[:, [s + 2 for s in SIDES]] + np.arange(len(SIDES)) * CLASSES) * WIDTH
-        np.add(at[:, :, None], np.arange(WIDTH), out=self.at)
-        self.push[:] = back[:, None, :]
-        near = np.bincount(self.at.ravel(), self.push.ravel(), self.near.size)
-        out = p.T @ (hidden * scale)
-        for i, (name, g) in enumerate((("near", near.reshape(self.near.shape).astype(np.float32)), ("out", out[:, :WIDTH]), ("bias", out[:, WIDTH]))):
+        n, sides, half = len(windows), len(SIDES), WIDTH // 2
+        if not hasattr(self, "push") or len(self.push) != n:
+            # Numbers of a class's vector for a side are added up in pairs, as complex ones.
+            self.push, self.pairs = np.empty((n, sides, half), np.complex64), np.arange(sides * CLASSES * half).reshape(-1, half)
+            self.first, self.sums = np.arange(n) % BLOCK * CLASSES, np.empty((n, WIDTH + 1), np.float32)
+        hidden, target, sums = self.hidden(windows), windows[:, 2], self.sums
+        at = self.first + target
+        with_one = np.concatenate((self.out, np.ones((CLASSES, 1), np.float32)), 1)
+        out = np.zeros((CLASSES, WIDTH + 1), np.float32)
+        for low, cells in self.blocks(hidden, *self.weights()):
+            high = low + len(cells)
+            total = np.matmul(cells, with_one, out=sums[low:high])[:, WIDTH]
+            cells.ravel()[at[low:high]] -= total
+            out += cells.T @ (hidden[low:high] / (total * n)[:, None])
+        total = sums[:, WIDTH:]
+        slope = 1 - hidden[:, :WIDTH] * hidden[:, :WIDTH]
+        back = (sums[:, :WIDTH] - total * self.out.take(target, 0)) * (slope / (total * n))
+        self.push[:] = back.view(np.complex64)[:, None, :]
+        near = np.zeros(sides * CLASSES * half, np.complex64)
+        np.add.at(near, self.pairs.take(windows[:, [s + 2 for s in SIDES]] + np.arange(sides) * CLASSES, 0).ravel(), self.push.ravel())
+        for i, (name, g) in enumerate((("near", near.view(np.float32).reshape(self.near.shape)), ("out", out[:, :WIDTH]), ("bias", out[:, WIDTH]))):
             past[i] += g * g
             setattr(self, name, getattr(self, name) - np.float32(RATE) * g / np.sqrt(past[i]))
 

@@ -192,6 +192,36 @@ def test_lm_step_follows_the_gradient():
         assert step[at] == pytest.approx((loss(at, 0.05) - loss(at, -0.05)) / 0.1, rel=0.05, abs=2e-3)
 
 
+def test_lm_step_holds_the_classes_of_a_block_only():
+    windows = np.random.default_rng(5).integers(0, 200, (lm_score.STEP, 5)).astype(np.uint8)
+    net, past = lm_score.Network(), [np.full(s, 1e-4, np.float32) for s in lm_score.Network.shapes]
+    one = lm_score.Network()
+    net.train(windows, past)
+    got = net.log_probabilities(windows)
+    assert net.cells.shape == (lm_score.BLOCK, lm_score.CLASSES) and lm_score.BLOCK < lm_score.STEP
+    assert got.mean() > one.log_probabilities(windows).mean()
+    hidden = np.tanh(sum(net.near[i][windows[:, s + 2]] for i, s in enumerate(lm_score.SIDES)).astype(float))
+    logits = hidden @ net.out.T + net.bias
+    want = logits[np.arange(len(windows)), windows[:, 2]] - np.log(np.exp(logits).sum(1))
+    assert np.abs(got - want).max() < 1e-4
+
+
+def test_lm_counts_are_merged_seldom(monkeypatch):
+    """A merge sorts all words held, so it may not come with every chunk."""
+    texts = [f"a b w{i} w{i + 1} v{i % 7}" for i in range(600)] + [None, ""]
+    monkeypatch.setattr(lm_score, "chunks", lambda offsets: ((i, i + 1) for i in range(len(offsets) - 1)))
+    monkeypatch.setattr(lm_score, "COUNTED", 150)
+    merges, real = [], np.unique
+    monkeypatch.setattr(lm_score.np, "unique", lambda x, **how: (how.get("return_inverse") and merges.append(len(x)), real(x, **how))[1])
+    table = pa.Table.from_batches(list(lm_score._count([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])])))
+    got = {}
+    for r in table.to_pylist():
+        got[r["word"]] = got.get(r["word"], 0) + r["n"]
+    hashes = lm_score.Words()(*text_bytes(pa.array(texts)))[3].view(np.int64)
+    assert got == dict(zip(*(x.tolist() for x in real(hashes, return_counts=True)))) and sum(got.values()) == 3000
+    assert len(merges) < 30
+
+
 def test_lm_scores_are_of_words(spark, monkeypatch):
     monkeypatch.setattr(lm_score, "CLASSES", lm_score.HASHED + 4)  # three words with classes of their own
     monkeypatch.setattr(lm_score.Network, "shapes", ((4, 68, lm_score.WIDTH), (68, lm_score.WIDTH), (68,)))
