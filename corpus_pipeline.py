@@ -44,7 +44,8 @@ def sample_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, text) of every row; ``text`` is what the ids decode to."""
-    decoded = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    encoded = materialize(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), "ids")  # so that a core runs one Python worker at a time
+    decoded = bpe.decode(encoded, RANKS)
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("text"))
 
 

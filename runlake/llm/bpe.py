@@ -19,11 +19,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from runlake.llm.common import arrow_friendly, mix
+from runlake.llm.common import arrow_friendly, chunks, mix, text_bytes
 
 # Pieces whose ids a worker remembers, and cells of one matrix.
-KNOWN_PIECES = 400_000
-MATRIX_CELLS = 1 << 20
+KNOWN_PIECES = 1 << 17
+MATRIX_CELLS = 1 << 17
+# Bytes of text encoded at once, and ids decoded at once; a longer text is by itself.
+ENCODED_BYTES = 1 << 18
+DECODED_IDS = 1 << 16
 NO_RANK = np.int32(2**31 - 1)
 
 
@@ -117,11 +120,19 @@ class Encoder:
         self.whole = {t: i for i, t in enumerate(tokens)}
         self.pairs, self.cut = pairs, regex.compile(pattern).findall
         self.byte = np.array([self.whole[bytes([b])] for b in range(256)], np.int32)
-        self.forget()
-
-    def forget(self):
         self.known, self.ids = {}, np.zeros(0, np.int32)
         self.begin = self.count = np.zeros(0, np.int64)
+        self.again = np.zeros(0, bool)  # pieces met in a later call than the one that learnt them, or that last forgot
+
+    def forget(self):
+        """Only pieces met again stay, if they leave room for others."""
+        keep = np.flatnonzero(self.again)
+        if len(keep) > KNOWN_PIECES // 2:
+            keep = keep[:0]
+        pieces = list(self.known)
+        self.known = {pieces[k]: i for i, k in enumerate(keep.tolist())}
+        self.ids, self.count = self.ids[ragged(self.begin[keep], self.count[keep])], self.count[keep]
+        self.begin, self.again = np.cumsum(self.count) - self.count, np.zeros(len(keep), bool)
 
     def _learn(self, pieces: list[str]):
         raw = [p.encode() for p in pieces]
@@ -144,6 +155,7 @@ class Encoder:
         self.begin = np.concatenate((self.begin, len(self.ids) + np.cumsum(counts) - counts))
         self.count = np.concatenate((self.count, counts))
         self.ids = np.concatenate((self.ids, *found))
+        self.again = np.concatenate((self.again, np.zeros(len(pieces), bool)))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has."""
@@ -151,13 +163,14 @@ class Encoder:
         fresh = set().union(*pieces)
         if len(self.known) + len(fresh) > KNOWN_PIECES:
             self.forget()
-        fresh = list(fresh.difference(self.known))
+        fresh, before = list(fresh.difference(self.known)), len(self.known)
         if fresh:
             self._learn(fresh)
         look = self.known.__getitem__
         index = [np.fromiter(map(look, p), np.int64, len(p)) for p in pieces]
         sizes = np.array([self.count[i].sum() for i in index], np.int64)
         index = np.concatenate(index) if index else np.zeros(0, np.int64)
+        self.again[index[index < before]] = True
         return self.ids[ragged(self.begin[index], self.count[index])], sizes
 
 
@@ -170,9 +183,12 @@ def _encode(tokens, pairs, pattern):
     def run(batches):
         encode = Encoder(tokens, pairs, pattern)
         for batch in batches:
-            ids, sizes = encode([t or "" for t in batch.column(1).to_pylist()])
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "ids"])
+            _, offsets = text_bytes(batch.column(1))
+            for low, high in chunks(offsets, ENCODED_BYTES):
+                part = batch.slice(low, high - low)
+                ids, sizes = encode([t or "" for t in part.column(1).to_pylist()])
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], ["doc_id", "ids"])
     return run
 
 
@@ -182,14 +198,16 @@ def _decode(tokens):
         count = np.array([len(t) for t in tokens], np.int64)
         begin = np.cumsum(count) - count
         for batch in batches:
-            lists = batch.column(1)
-            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            data = blob[ragged(begin[ids], count[ids])]
-            ends = np.concatenate(([0], np.cumsum(count[ids])))
-            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            cuts = ends[np.concatenate(([0], np.cumsum(sizes)))].astype(np.int32)
-            decoded = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(data.tobytes())])
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, decoded], ["doc_id", "ids", "decoded"])
+            sizes = batch.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            for low, high in chunks(np.concatenate(([0], np.cumsum(sizes))), DECODED_IDS):
+                part = batch.slice(low, high - low)
+                lists = part.column(1)
+                ids = lists.flatten().to_numpy(zero_copy_only=False)
+                data = blob[ragged(begin[ids], count[ids])]
+                ends = np.concatenate(([0], np.cumsum(count[ids])))
+                cuts = ends[np.concatenate(([0], np.cumsum(sizes[low:high])))].astype(np.int32)
+                decoded = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(data.tobytes())])
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, decoded], ["doc_id", "ids", "decoded"])
     return run
 
 

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from runlake.llm.common import Words, arrow_friendly, chunks, components, mix, shingle_sets, starts_of, text_bytes
+from runlake.llm.common import CHUNK_BYTES, Words, arrow_friendly, chunks, components, mix, shingle_sets, starts_of, text_bytes
 from runlake.session import materialize
 
 GROUP_SIZE = 512
@@ -128,7 +128,7 @@ def _sets(words: int):
 
     def of(column):
         data, offsets = text_bytes(column)
-        for low, high in chunks(offsets):
+        for low, high in chunks(offsets, CHUNK_BYTES // 4):
             part = offsets[low:high + 1] - offsets[low]
             _, _, rows, hashes = split(data[offsets[low]:offsets[high]], part)
             yield (low, *shingle_sets(hashes, rows, high - low, words))

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -49,6 +50,38 @@ def test_bpe_when_a_worker_forgets(reference_tokenizer, monkeypatch):
         assert ids.tolist() == reference_tokenizer.encode_ordinary(text) and sizes.tolist() == [len(ids), 0]
 
 
+def test_bpe_holds_a_bounded_part_of_a_batch(reference_tokenizer, monkeypatch):
+    """However long a batch's texts are together, a worker cuts and decodes them part by part."""
+    tokens = bpe.read_ranks(RANKS)
+    texts = [*ODD, *(f"word{i} again and again " * 40 for i in range(60))]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    monkeypatch.setattr(bpe, "ENCODED_BYTES", 3000, raising=False)
+    monkeypatch.setattr(bpe, "DECODED_IDS", 500, raising=False)
+    cut, opened, encode, ragged = [], [], bpe.Encoder.__call__, bpe.ragged
+    monkeypatch.setattr(bpe.Encoder, "__call__", lambda self, part: cut.append(part) or encode(self, part))
+    encoded = pa.Table.from_batches(list(bpe._encode(tokens, bpe.PairTable(tokens), public_tokenizers.PATTERN)([batch]))).combine_chunks().to_batches()
+    monkeypatch.setattr(bpe, "ragged", lambda begin, count: opened.append(len(count)) or ragged(begin, count))
+    null = pa.RecordBatch.from_arrays([pa.array([-1, -2], pa.int64()), pa.array([None, []], pa.list_(pa.int32()))], ["doc_id", "ids"])
+    got = pa.Table.from_batches(list(bpe._decode(tokens)([*encoded, null]))).to_pylist()
+    assert all(len(part) == 1 or sum(len(t.encode()) for t in part) <= 3000 for part in cut)
+    most = max(len(reference_tokenizer.encode_ordinary(t or "")) for t in texts)
+    assert max(opened) <= max(500, most) < sum(opened)
+    assert [(r["doc_id"], r["ids"], r["decoded"].decode()) for r in got] == [
+        (i, reference_tokenizer.encode_ordinary(t or ""), t or "") for i, t in enumerate(texts)] + [(-1, None, ""), (-2, [], "")]
+
+
+def test_bpe_forgets_pieces_met_once(reference_tokenizer, monkeypatch):
+    tokens = bpe.read_ranks(RANKS)
+    encode = bpe.Encoder(tokens, bpe.PairTable(tokens), public_tokenizers.PATTERN)
+    monkeypatch.setattr(bpe, "KNOWN_PIECES", 12)
+    learnt, real = [], bpe.Encoder._learn
+    monkeypatch.setattr(bpe.Encoder, "_learn", lambda self, pieces: learnt.extend(pieces) or real(self, pieces))
+    for i in range(12):
+        text = f"usualword unusual{'abcdefghijkl'[i]}xq {i}"
+        assert encode([text])[0].tolist() == reference_tokenizer.encode_ordinary(text) and len(encode.known) <= 12
+    assert learnt.count("usualword") == 1 and len(learnt) > 24
+
+
 KEYWORDS = re.compile(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
