@@ -15,6 +15,7 @@ many empty parts adds the segments of a second cut under each empty part, and so
    that has it (a star, never all pairs), and what links is a component; further stars around other sets
    join the components of a crowd. Sets that met the same
    smallest document, linked or not, are dealt into groups of about ``group_size``.
+   A set that shares fewer segments with others, under one cut, than a linked set must is left out of all that follows, before and after the stars.
 2. *Union.* The matrix holds each group's segments once, beside the components they come from.
    A segment, or a pair of groups, within one component has nothing left to find.
 3. *Bound.* Two groups whose unions share fewer segments than a linked pair must stay shut; so does,
@@ -259,6 +260,19 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, at_least: int) -> Da
             .mapInArrow(_verify(words, at_least), "a long, b long"))
 
 
+def _able(keyed: DataFrame, apart: str) -> DataFrame:
+    """The rows of ``keyed`` (key, rep, need, ...) whose set may link with one of another ``apart``.
+
+    A linked set shares at least ``need`` segments of one cut with the other set alone, so one that shares fewer with all others links with none.
+    Who shares only what many texts have in common, like a line, goes here, before any text is moved.
+    """
+    by_key, by_set = Window.partitionBy("key"), Window.partitionBy("rep", F.expr(f"key & {_SCHEMES - 1}"))
+    met = (keyed.withColumn("low", F.min(apart).over(by_key)).withColumn("high", F.max(apart).over(by_key))
+           .filter("low < high").drop("low", "high"))
+    return (met.withColumn("shares", F.count(F.lit(1)).over(by_set)).withColumn("least", F.min("need").over(by_set))
+            .filter("shares >= least").drop("shares", "least"))
+
+
 def _collapse(shared: DataFrame, near: DataFrame, tried: DataFrame, texts: DataFrame, alike, words: int, at_least: int,
               crowd: int) -> DataFrame:
     """(rep, comp) after further stars: a crowd that links in itself, but not with its first document, becomes one component.
@@ -309,7 +323,7 @@ def link_documents(docs: DataFrame, words: int = 5, at_least: int = 80, group_si
         "high", F.max("doc_id").over(by_key)).filter("low < high").select("key", "doc_id", "need"), "segments")
     one = rep_of.select("doc_id", "rep", "n_shingles")
     first = F.min(F.struct("rep", "n_shingles")).over(by_key)
-    shared = materialize(met.join(one, "doc_id").select("key", "rep", "n_shingles", "need").distinct()
+    shared = materialize(_able(met.join(one, "doc_id").select("key", "rep", "n_shingles", "need").distinct(), "rep")
                          .withColumn("first", first).withColumn("last", F.max("rep").over(by_key))
                          .filter("first.rep < last").drop("last"), "segments")
 
@@ -325,10 +339,8 @@ def link_documents(docs: DataFrame, words: int = 5, at_least: int = 80, group_si
     near = _collapse(shared, near.select(F.col("node").alias("rep"), F.col("component").alias("comp")), star, texts, alike, words, at_least, group_size)
 
     # Groups of similar sets: those that met the same smallest one, whether they link or not.
-    open_keys = materialize(
-        shared.join(near, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-        .withColumn("low", F.min("comp").over(by_key)).withColumn("high", F.max("comp").over(by_key))
-        .filter("low < high").select("key", "rep", "comp", "need", F.col("first.rep").alias("center")), "segments")
+    open_keys = materialize(_able(shared.join(near, "rep", "left").select(
+        "key", "rep", F.coalesce("comp", "rep").alias("comp"), "need", F.col("first.rep").alias("center")), "comp"), "segments")
     inside = open_keys.groupBy("rep", "comp").agg(F.min("center").alias("center"))
     blocks = inside.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / group_size).alias("blocks"))
     groups = materialize(inside.join(blocks, "center").select(

@@ -16,6 +16,8 @@ SQL_SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SQL_SETTINGS.items():
@@ -39,7 +41,15 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def materialize(df: DataFrame, purpose: str, *partitions: str) -> DataFrame:
-    """Write ``df`` to the shared folder, by folders of ``partitions``, and read it back, cutting its lineage."""
-    path = shared_dir(df.sparkSession, purpose)
-    df.write.partitionBy(*partitions).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the shared folder, by folders of ``partitions``, and read it back, cutting its lineage.
+
+    The exchanges of the write are its own, so their files go with it, not when the driver happens to collect its garbage.
+    """
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, purpose)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.partitionBy(*partitions).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

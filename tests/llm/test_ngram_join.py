@@ -128,3 +128,44 @@ def test_a_crowd_of_near_copies_collapses_before_groups_are_opened(spark, monkey
     assert [got[i] for i in range(len(rows))] == want.tolist()
     left = stars[0].join(spark.createDataFrame([(i, int(w)) for i, w in enumerate(want)], "rep long, top long"), "rep")
     assert left.filter("comp <> top").count() < 100, "the stars alone join most of them"
+
+
+def test_linked_sets_share_as_many_segments_as_both_need():
+    """What sets are left out by: enough common segments of one cut for either side."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    for at_least in (80, 85):
+        classes, linked = size_classes(at_least), 0
+        for _ in range(400):
+            n = int(rng.integers(1, 400))
+            x = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+            y = np.unique(np.concatenate((x[rng.random(n) > 0.08], rng.integers(0, 2**64, int(rng.integers(0, 1 + n // 12)), dtype=np.uint64))))
+            both = len(np.intersect1d(x, y))
+            if both and 100 * both >= at_least * (len(x) + len(y) - both):
+                linked += 1
+                where, tokens = np.repeat([0, 1], [len(x), len(y)]), np.concatenate((x, y))
+                row, key, need = segments(where, tokens, np.array([len(x), len(y)]), classes, at_least)
+                shared = np.intersect1d(key[row == 0], key[row == 1])
+                cut = key & np.uint64(127)
+                assert any((shared & np.uint64(127) == s).sum() >= need[cut == s].max() for s in np.unique(shared & np.uint64(127)))
+        assert linked > 100
+
+
+def test_texts_that_share_too_little_are_not_moved(spark, monkeypatch):
+    """A passage that all texts have makes segments of its own, but no text goes to another for it."""
+    from runlake.llm import ngram_join
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(25))
+    rows = [(i, passage + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))) for i in range(80)]
+    copies = [edited(rng, rows[i][1].split(), 1) for i in range(6)]
+    rows += [(100 + i, t) for i, t in enumerate(copies)]
+    moved, write = {}, ngram_join.materialize
+
+    def seen(df, purpose):
+        moved[purpose] = write(df, purpose)
+        return moved[purpose]
+    monkeypatch.setattr(ngram_join, "materialize", seen)
+    check(spark, rows, 5, 80)
+    texts = {r.doc_id for r in moved["texts"].collect()}
+    assert texts >= {*range(6), *range(100, 106)} and len(texts) < 24
+    assert moved["groups"].count() < 24
