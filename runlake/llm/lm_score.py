@@ -20,13 +20,15 @@ scored by itself, repeated or not; further columns are ignored. An empty table g
 empty result. Texts at a file's edges are not neighbours.
 """
 
+from types import SimpleNamespace
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from runlake.llm.common import Words, arrow_friendly, chunks, text_bytes
+from runlake.llm import common
+from runlake.llm.common import Words, arrow_friendly, text_bytes
 from runlake.session import materialize
 
 CLASSES, HASHED, WIDTH = 256, 64, 16
@@ -40,6 +42,11 @@ BLOCK = 208  # windows whose values of all classes stay in a core's cache
 LOG2E = np.float32(np.log2(np.e))
 
 
+def chunks(offsets):
+    """Row ranges whose words stay in a core's cache."""
+    return common.chunks(offsets, common.CHUNK_BYTES // 4)
+
+
 def _count(batches):
     split = Words()
     nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -99,15 +106,26 @@ class Windows:
 
     def __init__(self, words: Vocabulary):
         self.split, self.frequent = Words(), words.frequent
+        # A word's first bits name the one frequent word that it may be, by its class; they are as many as keep those apart.
+        bits = next((b for b in range(8, 23) if len(np.unique(self.frequent >> np.uint64(64 - b))) == len(self.frequent)), None)
+        self.shift = bits and np.uint64(64 - bits)
+        if bits:
+            self.first = np.zeros(1 << bits, np.uint8)
+            self.first[self.frequent >> self.shift] = np.arange(1, len(self.frequent) + 1)
+            self.word_of = np.concatenate((np.zeros(1, np.uint64), self.frequent))
+
+    def classes(self, hashes):
+        own = (CLASSES - HASHED + (hashes >> np.uint64(58)).astype(np.int64)).astype(np.uint8)
+        if self.shift:
+            at = self.first.take(hashes >> self.shift, mode="clip")
+            return np.where((self.word_of.take(at) == hashes) & (at > 0), at, own)
+        at = np.minimum(np.searchsorted(self.frequent, hashes), len(self.frequent) - 1)
+        return np.where(self.frequent[at] == hashes, at + 1, own).astype(np.uint8)
 
     def __call__(self, data, offsets):
         """Row and hash of every word, and a matrix of (left, left, word, right, right) classes."""
         _, _, rows, hashes = self.split(data, offsets)
-        classes = (CLASSES - HASHED + (hashes >> np.uint64(58)).astype(np.int64)).astype(np.uint8)
-        if len(self.frequent):
-            at = np.minimum(np.searchsorted(self.frequent, hashes), len(self.frequent) - 1)
-            known = self.frequent[at] == hashes
-            classes[known] = at[known] + 1
+        classes = self.classes(hashes)
         n = len(rows)
         out = np.zeros((n, 5), np.uint8)
         for side in (-2, -1, 0, 1, 2):
@@ -128,9 +146,9 @@ def _sequences(words):
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
             for low, high in chunks(offsets):
-                rows, _, near = windows(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
+                _, _, rows, hashes = windows.split(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
                 out = np.zeros(len(rows) + 2 * (high - low), np.uint8)
-                out[np.arange(len(rows)) + 2 * rows] = near[:, 2]
+                out[np.arange(len(rows)) + 2 * rows] = windows.classes(hashes)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([EDGE + out.tobytes()], pa.binary()), pa.array([len(rows)], pa.int64())], ["classes", "n"])
     return run
@@ -166,7 +184,7 @@ class Network:
         for i, side in enumerate(SIDES[1:], 1):
             total += self.near[i].take(windows[:, side + 2], 0)
         out = np.ones((len(windows), WIDTH + 1), np.float32)
-        np.tanh(total, out=out[:, :WIDTH])
+        out[:, :WIDTH] = np.tanh(total, out=total)
         return out
 
     def weights(self):
@@ -197,31 +215,56 @@ class Network:
                 np.matmul(cells, ones, out=total[start + low:start + high])
         return np.log(own / total)
 
+    def room(self, n):
+        """What a step over ``n`` windows writes to, kept from step to step."""
+        if not hasattr(self, "kept") or len(self.kept.first) != n:
+            rows, classes, half = (n, WIDTH), (CLASSES, WIDTH + 1), WIDTH // 2
+            self.kept = SimpleNamespace(
+                first=np.arange(n) % BLOCK * CLASSES, total=np.empty(n, np.float32), hidden=np.ones((n, WIDTH + 1), np.float32),
+                **{x: np.empty((n, WIDTH + 1), np.float32) for x in ("sums", "scaled")}, **{x: np.empty(rows, np.float32) for x in ("tanh", "some", "back")},
+                with_one=np.ones(classes, np.float32), **{x: np.empty(classes, np.float32) for x in ("out", "more")},
+                pairs=np.arange(CLASSES * half).reshape(-1, half), at=np.empty((n, half), np.intp),
+                slopes=[np.empty(s, np.float32) for s in self.shapes], steps=[np.empty(s, np.float32) for s in self.shapes])
+        return self.kept
+
     def train(self, windows, past):
         """One AdaGrad step over the windows."""
-        n, sides, half = len(windows), len(SIDES), WIDTH // 2
-        if not hasattr(self, "push") or len(self.push) != n:
-            # Numbers of a class's vector for a side are added up in pairs, as complex ones.
-            self.push, self.pairs = np.empty((n, sides, half), np.complex64), np.arange(sides * CLASSES * half).reshape(-1, half)
-            self.first, self.sums = np.arange(n) % BLOCK * CLASSES, np.empty((n, WIDTH + 1), np.float32)
-        hidden, target, sums = self.hidden(windows), windows[:, 2], self.sums
-        at = self.first + target
-        with_one = np.concatenate((self.out, np.ones((CLASSES, 1), np.float32)), 1)
-        out = np.zeros((CLASSES, WIDTH + 1), np.float32)
-        for low, cells in self.blocks(hidden, *self.weights()):
+        n = len(windows)
+        room, classes = self.room(n), windows.T.astype(np.intp)
+        target, sides = classes[2], [classes[side + 2] for side in SIDES]
+        hidden = self.near[0].take(sides[0], 0, out=room.tanh, mode="clip")
+        for near, side in zip(self.near[1:], sides[1:]):
+            hidden += near.take(side, 0, out=room.some, mode="clip")
+        room.hidden[:, :WIDTH] = np.tanh(hidden, out=hidden)
+        room.with_one[:, :WIDTH] = self.out
+        at, out = room.first + target, room.out
+        for low, cells in self.blocks(room.hidden, *self.weights()):
             high = low + len(cells)
-            total = np.matmul(cells, with_one, out=sums[low:high])[:, WIDTH]
-            cells.ravel()[at[low:high]] -= total
-            out += cells.T @ (hidden[low:high] / (total * n)[:, None])
-        total = sums[:, WIDTH:]
-        slope = 1 - hidden[:, :WIDTH] * hidden[:, :WIDTH]
-        back = (sums[:, :WIDTH] - total * self.out.take(target, 0)) * (slope / (total * n))
-        self.push[:] = back.view(np.complex64)[:, None, :]
-        near = np.zeros(sides * CLASSES * half, np.complex64)
-        np.add.at(near, self.pairs.take(windows[:, [s + 2 for s in SIDES]] + np.arange(sides) * CLASSES, 0).ravel(), self.push.ravel())
-        for i, (name, g) in enumerate((("near", near.view(np.float32).reshape(self.near.shape)), ("out", out[:, :WIDTH]), ("bias", out[:, WIDTH]))):
-            past[i] += g * g
-            setattr(self, name, getattr(self, name) - np.float32(RATE) * g / np.sqrt(past[i]))
+            total, line, own = room.total[low:high], cells.reshape(-1), at[low:high]
+            total[:] = np.matmul(cells, room.with_one, out=room.sums[low:high])[:, WIDTH]
+            line[own] = line.take(own) - total
+            total *= np.float32(n)
+            scaled = np.divide(room.hidden[low:high], total[:, None], out=room.scaled[low:high])
+            if low:
+                out += np.matmul(cells.T, scaled, out=room.more)
+            else:
+                np.matmul(cells.T, scaled, out=out)
+        back = self.out.take(target, 0, out=room.back, mode="clip")
+        back *= room.sums[:, WIDTH:]
+        np.subtract(room.sums[:, :WIDTH], back, out=back)
+        slope = np.subtract(1, np.multiply(hidden, hidden, out=hidden), out=hidden)
+        slope /= room.total[:, None]
+        back *= slope
+        # Numbers of a class's vector for a side are added up in pairs, as complex ones.
+        back, slopes = back.view(np.complex64).ravel(), room.slopes
+        slopes[0][:] = 0
+        for slope, side in zip(slopes[0], sides):
+            np.add.at(slope.view(np.complex64).ravel(), room.pairs.take(side, 0, out=room.at, mode="clip").ravel(), back)
+        slopes[1][:], slopes[2][:] = out[:, :WIDTH], out[:, WIDTH]
+        for values, g, seen, step in zip((self.near, self.out, self.bias), slopes, past, room.steps):
+            seen += np.multiply(g, g, out=step)
+            g *= np.float32(RATE)
+            values -= np.divide(g, np.sqrt(seen, out=step), out=step)
 
 
 def _train(flat):
@@ -278,7 +321,7 @@ def _classed(words, flat):
                 ["doc_id", "n", "total", "shared", "word", "place"])
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            for low, high in chunks(offsets):
+            for low, high in common.chunks(offsets):
                 rows, hashes, near = windows(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
                 logs, shared = net.log_probabilities(near).astype(float), near[:, 2] >= CLASSES - HASHED
                 held.append((batch.column(0).slice(low, high - low), np.bincount(rows, minlength=high - low),

@@ -322,3 +322,52 @@ def test_classifier_holds_its_rows_once(spark, monkeypatch):
     assert len(held) > 20
     for a, b in zip(held, held[1:]):
         assert all(x.ctypes.data + x.nbytes == y.ctypes.data for x, y in zip(a, b))
+
+
+def test_lm_step_writes_to_what_is_kept():
+    """A step makes no large arrays anew, and goes where it went when it did."""
+    import tracemalloc
+    rng = np.random.default_rng(9)
+    net, past = lm_score.Network(), [np.full(s, 1e-4, np.float32) for s in lm_score.Network.shapes]
+    near, out, bias = (x.astype(float) for x in (net.near, net.out, net.bias))
+    seen = [x.astype(float) for x in past]
+    for k in range(4):
+        windows = rng.integers(0, 256, (lm_score.STEP if k < 3 else 77, 5)).astype(np.uint8)
+        tracemalloc.start()
+        net.train(windows, past)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 150_000 or k in (0, 3)
+        n, sides, target = len(windows), [windows[:, s + 2] for s in lm_score.SIDES], windows[:, 2]
+        hidden = np.tanh(sum(near[i][c] for i, c in enumerate(sides)))
+        p = np.exp(hidden @ out.T + bias)
+        p /= p.sum(1, keepdims=True)
+        p[np.arange(n), target] -= 1
+        back, g_near = p @ out * (1 - hidden * hidden) / n, np.zeros_like(near)
+        for i, c in enumerate(sides):
+            np.add.at(g_near[i], c, back)
+        for x, g, s in zip((near, out, bias), (g_near, p.T @ hidden / n, p.sum(0) / n), seen):
+            s += g * g
+            x -= lm_score.RATE * g / np.sqrt(s)
+    for got, want in zip((net.near, net.out, net.bias), (near, out, bias)):
+        assert np.abs(got - want).max() < 1e-4
+
+
+@pytest.mark.parametrize("frequent", [0, 1, 191, "alike"])
+def test_lm_classes_of_words(frequent):
+    rng = np.random.default_rng(6)
+    words = rng.integers(0, 2**64, 191 if frequent == "alike" else frequent, dtype=np.uint64)
+    if frequent == "alike":  # first bits that don't tell words apart
+        words[1] = words[0] ^ np.uint64(1)
+    words = np.sort(words)
+    hashes = np.concatenate((words, rng.integers(0, 2**64, 5000, dtype=np.uint64), words ^ np.uint64(2), [np.uint64(0)]))
+    got = lm_score.Windows(lm_score.Vocabulary(words, None, None, None)).classes(hashes)
+    place = {int(w): i + 1 for i, w in enumerate(words)}
+    assert got.dtype == np.uint8 and got.tolist() == [place.get(int(h), 192 + (int(h) >> 58)) for h in hashes]
+
+
+def test_lm_chunks_stay_in_cache():
+    offsets = np.arange(0, 3_000_000, 1000)
+    ranges = list(lm_score.chunks(offsets))
+    assert [x[0] for x in ranges] == [0, *(x[1] for x in ranges[:-1])] and ranges[-1][1] == len(offsets) - 1
+    assert max(offsets[high] - offsets[low] for low, high in ranges) <= 1 << 18
